@@ -9,6 +9,7 @@ from mixloom.functions.text import normalize_name
 from mixloom.operators import cards, flatten, quality, ranking, split, stats
 from mixloom.operators.indexing import dictionary
 from mixloom.plans import etl, model, report
+from mixloom.schema import slice_schema
 from mixloom.sources import sinks, versions
 from mixloom.sources import slices as slice_files
 from mixloom.storage import scratch_path
@@ -29,14 +30,29 @@ def _rounded(df: DataFrame, *names: str, digits: int = 9) -> DataFrame:
 # --- flattening ---------------------------------------------------------------
 
 
+def _slice_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The corpus as slice files, written once per application."""
+    path = views.stage_path(spark, sf_dir, "slice_files")
+    if path is not None:
+        return path
+    path = scratch_path(spark, "slice_files")
+    slice_files.write_slices(views.slices(spark, sf_dir).orderBy("slice_no").drop("slice_no"), path)
+    return views.keep_path(spark, sf_dir, "slice_files", path)
+
+
+def _flat_slices(spark, sf_dir) -> DataFrame:
+    fields = slice_schema(["pid"], flatten.FLAT_FIELDS)
+    return slice_files.read_slices(spark, _slice_dir(spark, sf_dir), schema=fields)
+
+
 @query
-def flatten_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten.flatten_entries(views.slices(spark, sf_dir))
+def flatten_entries(spark, sf_dir):
+    return flatten.flatten_entries(_flat_slices(spark, sf_dir))
 
 
 @query
 def clean_entries(spark, sf_dir):
-    return flatten.clean_entries(views.slices(spark, sf_dir))
+    return flatten.clean_entries(_flat_slices(spark, sf_dir))
 
 
 @query
@@ -185,17 +201,17 @@ def dq_playlist_rules(spark, sf_dir):
 
 @query
 def dq_entry_rules(spark, sf_dir):
-    return quality.entry_rules(flatten.entries_of(views.nested_playlists(spark, sf_dir)))
+    return quality.entry_rules(views.nested_playlists(spark, sf_dir))
 
 
 @query
 def dq_position(spark, sf_dir):
-    return quality.position_rule(flatten.entries_of(views.nested_playlists(spark, sf_dir)))
+    return quality.position_rule(views.nested_playlists(spark, sf_dir))
 
 
 @query
 def dq_name_mismatch(spark, sf_dir):
-    return quality.name_mismatches(flatten.entries_of(views.nested_playlists(spark, sf_dir)))
+    return quality.name_mismatches(views.nested_playlists(spark, sf_dir))
 
 
 @query
@@ -244,7 +260,7 @@ def dq_fields(spark, sf_dir):
 def dq_summary(spark, sf_dir):
     nested = views.nested_playlists(spark, sf_dir)
     n = views.table(spark, sf_dir, "orders").count() + 25
-    return quality.summary(quality.all_violations(nested, flatten.entries_of(nested), n))
+    return quality.summary(quality.all_violations(nested, n))
 
 
 # --- ranking ------------------------------------------------------------------
@@ -479,15 +495,6 @@ def als_grid(spark, sf_dir):
 # --- files --------------------------------------------------------------------
 
 
-def _slice_dir(spark, sf_dir) -> str:
-    path = views.stage_path(spark, sf_dir, "slice_files")
-    if path is not None:
-        return path
-    path = scratch_path(spark, "slice_files")
-    slice_files.write_slices(views.slices(spark, sf_dir).orderBy("slice_no").drop("slice_no"), path)
-    return views.keep_path(spark, sf_dir, "slice_files", path)
-
-
 @query
 def scan_slices(spark, sf_dir):
     read = slice_files.read_slices(spark, _slice_dir(spark, sf_dir))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catalog import shape
 from mixloom.operators.flatten import implicit_entries, interactions_of, keep_tracks
 from mixloom.operators.ranking import without_seeds
-from mixloom.operators.skew import dense_numbers, numbers_in_group
+from mixloom.operators.skew import HOT_KEYS, dense_numbers, numbers_in_group, skew_join
 from mixloom.operators.split import heldout_rows, mark_test, train_rows
 from mixloom.schema import TRACK_PREFIX
 from mixloom.sources.sinks import write_parquet
@@ -40,21 +40,24 @@ def keep_path(spark: SparkSession, sf_dir: str, name: str, path: str) -> str:
     return path
 
 
-def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat entries with ``pid`` = order key and the columns that order them.
+def _tracks(lines: DataFrame, spark: SparkSession, sf_dir: str, *kept) -> DataFrame:
+    """Lines with the track columns of their part.
 
     A plain equi-join: Spark broadcasts ``part`` when its size allows, and splits
     a heavy part at run time otherwise, as no later step keeps this partitioning.
     """
-    lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
     return lines.join(parts, "l_partkey").select(
-        F.col("l_orderkey").alias("pid"),
-        *shape.LINE_ORDER,
-        *[F.expr(sql).alias(name) for name, sql in shape.ENTRY.items()],
+        *kept, *[F.expr(sql).alias(name) for name, sql in shape.ENTRY.items()]
     )
 
 
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat entries with ``pid`` = order key and the columns that order them."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("pid", F.col("l_orderkey"))
+    return _tracks(lines, spark, sf_dir, "pid", *shape.LINE_ORDER)
+
+
 SEEN = ["pid", *shape.LINE_ORDER]
 
 
@@ -96,23 +99,24 @@ def nested_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _build_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = shape.LINE_ORDER
-    numbered = numbers_in_group(entries(spark, sf_dir), ["pid"], order, "place")
-    place, chunk = F.col("place"), F.floor(F.col("place") / shape.CHUNK)
+    # Only the narrow numeric columns go through the numbering; the names are
+    # joined to the numbered lines.
+    columns = ["l_orderkey", *shape.LINE_ORDER, "l_quantity"]
+    lines = table(spark, sf_dir, "lineitem").select(*columns)
+    numbered = numbers_in_group(lines, ["l_orderkey"], shape.LINE_ORDER, "line")
+    chunk = F.expr(f"line div {shape.CHUNK}")
     # Some entries state a place that is not theirs.
     wrong = F.when((F.col("l_suppkey") % 37 == 0) & (F.col("l_partkey") % 5 == 0), 1).otherwise(0)
-    track = F.struct(
-        (place % shape.CHUNK + wrong).alias("pos"), *shape.ENTRY
-    )
+    numbered = numbered.select(
+        "*",
+        (F.col("l_orderkey") + chunk * shape.NEXT_CHUNK).alias("pid"),
+        (F.col("line") % shape.CHUNK).alias("place"),
+    ).withColumn("pos", F.col("place") + wrong)
+    tracks = _tracks(numbered, spark, sf_dir, F.col("l_orderkey").alias("o_orderkey"), "pid", "place", "pos")
+    track = F.struct("pos", *shape.ENTRY)
     grouped = (
-        numbered.select(
-            F.col("pid").alias("o_orderkey"),
-            (F.col("pid") + chunk * shape.NEXT_CHUNK).alias("pid"),
-            (place % shape.CHUNK).alias("place"),
-            track.alias("track"),
-        )
-        .groupBy("o_orderkey", "pid")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "track"))).alias("placed"))
+        tracks.groupBy("o_orderkey", "pid")
+        .agg(F.array_sort(F.collect_list(F.struct("place", track.alias("track")))).alias("placed"))
         .withColumn("tracks", F.transform("placed", lambda one: one["track"]))
         .drop("placed")
     )
@@ -158,7 +162,7 @@ def slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def to_slices(nested: DataFrame) -> DataFrame:
-    number = F.floor(F.col("pid") / shape.SLICE_SIZE)
+    number = F.expr(f"pid div {shape.SLICE_SIZE}")
     low = F.col("slice_no") * shape.SLICE_SIZE
     span = F.concat_ws("-", low, low + shape.SLICE_SIZE - 1)
     info = F.struct(
@@ -241,7 +245,9 @@ def ranked(spark: SparkSession, sf_dir: str, k: int = DEPTH) -> DataFrame:
         walk = sizes.select(
             "playlist_idx", F.explode(F.sequence(F.lit(1), (F.col("n") + k).cast("int"))).alias("rank")
         )
-        return without_seeds(walk.join(popular(spark, sf_dir), "rank"), seeds, k)
+        # Nearly every playlist walks the first ranks: those rows stay in place.
+        first = list(range(1, HOT_KEYS + 1))
+        return without_seeds(skew_join(walk, popular(spark, sf_dir), "rank", first), seeds, k)
 
     return stage(spark, sf_dir, "ranked", build)
 

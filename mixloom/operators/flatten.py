@@ -19,15 +19,19 @@ def playlists_in_file_order(slices: DataFrame) -> DataFrame:
     ).select(F.struct("file", "place").alias("seen_at"), "playlist.*")
 
 
-def entries_of(playlists: DataFrame) -> DataFrame:
-    """One row per track entry: ``pid``, its ``ordinal`` (0-based) and the track.
+def entries_of(playlists: DataFrame, fields: list | None = None) -> DataFrame:
+    """One row per track entry: ``pid``, its ``ordinal`` (0-based) and the track
+    ``fields`` (all that are there by default).
 
-    Selecting fewer columns afterwards prunes the nested read.
+    The named fields are zipped before the explode, so a columnar scan reads
+    those alone; an explode of the whole struct would read every field.
     """
+    if fields is None:
+        fields = playlists.schema["tracks"].dataType.elementType.names
     kept = [name for name in ("seen_at",) if name in playlists.columns]
-    return playlists.select(
-        "pid", *kept, F.posexplode("tracks").alias("ordinal", "track")
-    ).select("pid", *kept, "ordinal", "track.*")
+    zipped = F.arrays_zip(*[F.col(f"tracks.{name}") for name in fields])
+    exploded = playlists.select("pid", *kept, F.posexplode(zipped).alias("ordinal", "track"))
+    return exploded.select("pid", *kept, "ordinal", *[F.col("track")[name].alias(name) for name in fields])
 
 
 def implicit_entries(entries: DataFrame) -> DataFrame:
@@ -41,8 +45,11 @@ def implicit_entries(entries: DataFrame) -> DataFrame:
     )
 
 
+FLAT_FIELDS = ["track_uri", "track_name", "artist_name"]
+
+
 def flatten_entries(slices: DataFrame) -> DataFrame:
-    return implicit_entries(entries_of(playlists_of(slices)))
+    return implicit_entries(entries_of(playlists_of(slices), FLAT_FIELDS))
 
 
 def keep_tracks(flat: DataFrame) -> DataFrame:

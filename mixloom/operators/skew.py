@@ -23,10 +23,14 @@ def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS, min_rows: int = HOT
     return [item["item"] for item in top["items"] if item["item"] is not None and item["count"] >= floor]
 
 
-def hot_keys_from_counts(counts: DataFrame, key: str, n: str, limit: int = HOT_KEYS, min_rows: int = HOT_ROWS) -> list:
+def hot_keys_from_counts(
+    counts: DataFrame, key: str, n: str, limit: int = HOT_KEYS, min_rows: int = HOT_ROWS
+) -> list:
     """The same from exact counts per key, where a dictionary has them already."""
-    rows = counts.agg(F.sum(n)).first()[0] or 0
-    floor = max(min_rows, rows / limit)
+    size = counts.agg(F.sum(n).alias("rows"), F.max(n).alias("largest")).first()
+    floor = max(min_rows, (size["rows"] or 0) / limit)
+    if (size["largest"] or 0) < floor:
+        return []
     heavy = counts.filter(F.col(n) >= floor).orderBy(F.desc(n)).limit(limit)
     return [row[key] for row in heavy.select(key).collect()]
 

@@ -33,12 +33,15 @@ def als_rows(interactions: DataFrame) -> DataFrame:
 
 
 def als_input(interactions: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Clean rows, spread by playlist and kept in memory or on disk for the
-    iterations. Empty input is an error."""
+    """Clean rows, spread evenly and kept in memory or on disk for the
+    iterations. Empty input is an error.
+
+    Spread by both keys: the solver groups the rows into its own blocks, and by
+    playlist alone a large playlist would fill one partition.
+    """
+    keys = ["playlist_idx", "track_idx"]
     rows = als_rows(interactions)
-    spread = (
-        rows.repartition(partitions, "playlist_idx") if partitions else rows.repartition("playlist_idx")
-    )
+    spread = rows.repartition(partitions, *keys) if partitions else rows.repartition(*keys)
     spread = spread.persist(StorageLevel.MEMORY_AND_DISK)
     if spread.isEmpty():
         spread.unpersist()
@@ -98,17 +101,18 @@ def recommend_unseen(model: ALSModel, seeds: DataFrame, k: int = K) -> DataFrame
     """The best ``k`` tracks that are not among a playlist's own.
 
     A playlist with s seeds needs the best k + s to be sure of k. Playlists are
-    taken in classes of s up to 1, 3, 7, 15, …, so one with very many seeds
-    deepens the lists of its own class only. There are at most 31 classes, as
-    track indices are INT.
+    taken in classes of s up to k, 2k, 4k, …, so one with very many seeds
+    deepens the lists of its own class only. Ordinary playlists all fall in the
+    first class; there are at most 31, as track indices are INT.
     """
     sized = seeds.groupBy("playlist_idx").agg(F.count(F.lit(1)).alias("n"))
-    sized = sized.select("playlist_idx", F.ceil(F.log2(F.col("n") + 1)).cast("int").alias("size_class"))
+    doublings = F.ceil(F.log2(F.greatest(F.col("n") / k, F.lit(1.0)))).cast("int")
+    sized = sized.select("playlist_idx", doublings.alias("size_class"))
     classes = [row[0] for row in sized.select("size_class").distinct().collect()]
     if not classes:
         return recommend_all(model, k).limit(0)
     deep = [
-        recommend_subset(model, sized.filter(F.col("size_class") == one), k + 2**one - 1)
+        recommend_subset(model, sized.filter(F.col("size_class") == one), k + k * 2**one)
         for one in sorted(classes)
     ]
     return without_seeds(reduce(DataFrame.unionByName, deep), seeds, k)

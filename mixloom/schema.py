@@ -50,6 +50,24 @@ PLAYLIST = _struct(
 
 SLICE = _struct(info=INFO, playlists=ArrayType(PLAYLIST, True))
 
+
+def _only(struct, names):
+    unknown = set(names) - set(struct.names)
+    if unknown:
+        raise ValueError(f"unknown fields: {sorted(unknown)}")
+    return StructType([field for field in struct.fields if field.name in names])
+
+
+def slice_schema(playlist_fields: list | None = None, track_fields: list | None = None) -> StructType:
+    """The slice schema cut to some fields; ``info`` is left out, and ``tracks``
+    is read only if track fields are named."""
+    playlist = _only(PLAYLIST, playlist_fields or [])
+    if track_fields:
+        track = ArrayType(_only(TRACK, track_fields), True)
+        playlist = StructType([one for one in playlist.fields if one.name != "tracks"]).add("tracks", track)
+    return _struct(playlists=ArrayType(playlist, True))
+
+
 # The same file with the nested objects left as JSON text, for rules that need
 # to tell an absent field from a null one.
 RAW_SLICE = _struct(info=TEXT, playlists=ArrayType(TEXT, True))
