@@ -42,7 +42,10 @@ def approximate_totals(playlists: DataFrame, entries: DataFrame, log_size: int =
     keys. A sketch has 2**log_size cells; 14 gives an error of about 1 %."""
 
     def about(value, name):
-        return F.hll_sketch_estimate(F.hll_sketch_agg(value, log_size)).alias(name)
+        # Sketched by hash, as a sketch of strings passes over the empty string.
+        value = F.col(value) if isinstance(value, str) else value
+        hashed = F.when(value.isNotNull(), F.xxhash64(value))
+        return F.hll_sketch_estimate(F.hll_sketch_agg(hashed, log_size)).alias(name)
 
     by_playlist = playlists.agg(
         F.count(F.lit(1)).alias("playlists"),
