@@ -68,15 +68,22 @@ sized_playlist as (
     coalesce(n, 0) + case when pid % 97 = 0 then 1 else 0 end as num_tracks
   from head left join counted on l_orderkey = pid)"""
 
-PAIRS = f"""{FLAT},
-pair as (select distinct pid as playlist_id, track_uri from flat where track_uri like 'spotify:track:%'),
-playlist_dict as (
+DICTIONARIES = """playlist_dict as (
   select playlist_id, cast(row_number() over (order by playlist_id) - 1 as int) as playlist_idx
   from (select distinct playlist_id from pair)),
 track_dict as (
   select track_uri, cast(row_number() over (order by track_uri) - 1 as int) as track_idx
   from (select distinct track_uri from pair))"""
 
+
+def pairs(ctes: str, source: str) -> str:
+    return f"""{ctes},
+pair as (select distinct pid as playlist_id, track_uri from {source} where track_uri like 'spotify:track:%'),
+{DICTIONARIES}"""
+
+
+PAIRS = pairs(FLAT, "flat")
+
 INTERACTIONS = """inter as (
   select distinct cast(o_custkey as int) as playlist_idx, cast(l_partkey as int) as track_idx,
     1 as count
@@ -254,7 +261,7 @@ from head group by 1 order by 3 desc, 1 limit 20"""
     sql["dict_tracks"] = f"with {PAIRS} select track_uri, track_idx from track_dict"
     encoded = "select playlist_idx, track_idx, 1 as count from pair join playlist_dict using (playlist_id) join track_dict using (track_uri)"
     sql["encode_interactions"] = f"with {PAIRS} {encoded}"
-    sql["etl_roundtrip"] = f"with {PAIRS} {encoded}"
+    sql["etl_roundtrip"] = f"with {pairs(PLACED, 'entry')} {encoded}"
 
     sql["dq_playlist_rules"] = f"""with {NESTED},
 twice as (select *, unnest(case when pid % 499 = 0 then [0, 1] else [0] end) as copy from playlist)

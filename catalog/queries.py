@@ -8,7 +8,7 @@ from mixloom.functions.arrays import ids_of
 from mixloom.functions.text import normalize_name
 from mixloom.operators import cards, flatten, quality, ranking, split, stats
 from mixloom.operators.indexing import dictionary
-from mixloom.plans import etl, model, report
+from mixloom.plans import etl, model, report, run
 from mixloom.schema import slice_schema
 from mixloom.sources import sinks, versions
 from mixloom.sources import slices as slice_files
@@ -492,6 +492,15 @@ def als_grid(spark, sf_dir):
     return model.grid_search(views.train(spark, sf_dir), views.truth(spark, sf_dir), grid, K)
 
 
+@query
+def end_to_end(spark, sf_dir):
+    """Slices to submission, with a small model; gives the metrics history."""
+    out = scratch_path(spark, "run")
+    return run.run_all(
+        spark, _slice_dir(spark, sf_dir), out, "20171101_000000", k=K, rank=8, maxIter=3
+    ).drop("training_time")
+
+
 # --- files --------------------------------------------------------------------
 
 
@@ -509,7 +518,7 @@ def scan_first_n_files(spark, sf_dir):
 
 @query
 def slice_info(spark, sf_dir):
-    return stats.slice_info(slice_files.read_slices(spark, _slice_dir(spark, sf_dir)))
+    return stats.slice_info(slice_files.read_raw_slices(spark, _slice_dir(spark, sf_dir)))
 
 
 @query

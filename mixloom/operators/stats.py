@@ -151,7 +151,8 @@ def description_counts(
     return histogram(described, value, "description", n, seen)
 
 
-def slice_info(slices: DataFrame) -> DataFrame:
-    """The ``info`` record of every slice as (slice, key, value) rows."""
-    keys = ["generated_on", "slice", "version"]
-    return slices.select("info.*").unpivot([], keys, "key", "value").filter("value is not null")
+def slice_info(raw_slices: DataFrame) -> DataFrame:
+    """Every field of every slice's ``info`` record as (key, value) rows, also
+    fields the format does not know. Takes the raw slices."""
+    fields = F.from_json("info", "map<string, string>")
+    return raw_slices.select(F.explode(fields).alias("key", "value"))

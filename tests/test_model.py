@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mixloom.operators import ranking, split
-from mixloom.plans import model, report
+from mixloom.plans import model, report, run
 
 
 @pytest.fixture(scope="module")
@@ -122,3 +122,17 @@ def test_train_summary(spark, planted):
     train, _, _ = planted
     row = model.train_summary(train, model.make_als(), "now").first()
     assert (row.timestamp, row.num_interactions, row.rank, row.num_blocks) == ("now", train.count(), 32, 16)
+
+
+def test_run_all(spark, slice_dir, tmp_path):
+    out = str(tmp_path / "run")
+    for stamp in ("20240101_000000", "20240102_000000"):
+        history = run.run_all(
+            spark, slice_dir, out, stamp, k=5, test_share=0.4, rank=2, maxIter=1, numUserBlocks=2, numItemBlocks=2
+        )
+    rows = history.orderBy("timestamp").collect()
+    assert [row.timestamp for row in rows] == ["20240101_000000", "20240102_000000"]
+    assert all(row.num_playlists > 0 and row.training_time > 0 for row in rows)
+    lists = spark.read.option("header", True).csv(f"{out}/submission").collect()
+    assert lists and all(one.startswith("spotify:track:") for row in lists for one in row.recommended_track_uris.split(","))
+    assert model.load_newest(spark, f"{out}/models").rank == 2

@@ -2,6 +2,7 @@ import collections
 import random
 
 import pytest
+from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -95,6 +96,12 @@ def test_encode_with_and_without_hot_keys(spark, skewed, monkeypatch):
     assert plain(indexing.encode_interactions(pairs, lists, tracks)) == wanted
 
 
+def test_too_many_keys_fail_loudly(spark, skewed, monkeypatch):
+    monkeypatch.setattr(indexing, "LARGEST", 100)
+    with pytest.raises(Exception, match="distinct values of v"):
+        indexing.dictionary(skewed, "v", "i").collect()
+
+
 # --- splits -------------------------------------------------------------------
 
 
@@ -304,6 +311,18 @@ def test_both_score_forms_equal_plain_python(lists, k, missing):
     assert (row.min_ap, row.max_ap) == pytest.approx((min(wanted.values()), max(wanted.values())))
 
 
+def test_scores_agree_with_the_ranking_evaluator(lists):
+    ranked, truth, _, _ = lists
+    predicted = ranking.collect_ranked(ranked, "track_idx", "prediction", 5)
+    relevant = truth.groupBy("playlist_idx").agg(F.collect_list("track_idx").alias("label"))
+    both = predicted.join(relevant, "playlist_idx").select(
+        F.col("prediction").cast("array<double>"), F.col("label").cast("array<double>")
+    )
+    theirs = RankingEvaluator(metricName="meanAveragePrecisionAtK", k=5).evaluate(both)
+    mine = ranking.score_summary(ranking.scores(ranked, truth, 5)).first().mean_ap
+    assert mine == pytest.approx(theirs)
+
+
 def test_unknown_missing_mode(lists):
     with pytest.raises(ValueError):
         ranking.scores(lists[0], lists[1], 5, "maybe")
