@@ -338,6 +338,13 @@ select '20171101_000000' as timestamp, count(*) as num_interactions, 10 as num_i
     sql["als_model_roundtrip"] = f"""with {HELD}
 select distinct track_idx as id, 32 as rank from train"""
 
+    sql["recommend_unseen_sizes"] = f"""with {HELD},
+known as (select count(distinct track_idx) as n from train),
+fresh as (
+  select playlist_idx, least({K}, (select n from known) - count(*)) as n from train group by playlist_idx)
+select playlist_idx, n as tracks, n as distinct_tracks, cast(0 as bigint) as own_tracks, n as last_rank
+from fresh where n > 0"""
+
     sql["scan_slices"] = f"""with {PLACED}
 select pid, ordinal, pos, track_uri, track_name, album_uri, album_name, artist_uri, artist_name, duration_ms
 from entry"""

@@ -456,6 +456,19 @@ def recommend_unseen(spark, sf_dir):
     )
 
 
+@query
+def recommend_unseen_sizes(spark, sf_dir):
+    """Per playlist: the tracks listed, how many are distinct, how many are its own."""
+    own = views.train(spark, sf_dir).select("playlist_idx", "track_idx", F.lit(1).alias("own"))
+    listed = recommend_unseen(spark, sf_dir).join(own, ["playlist_idx", "track_idx"], "left")
+    return listed.groupBy("playlist_idx").agg(
+        F.count(F.lit(1)).alias("tracks"),
+        F.count_distinct("track_idx").alias("distinct_tracks"),
+        F.count("own").alias("own_tracks"),
+        F.max("rank").cast("bigint").alias("last_rank"),
+    )
+
+
 @query
 def als_evaluate(spark, sf_dir):
     fitted = model.load_model(_model_path(spark, sf_dir))

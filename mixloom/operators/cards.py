@@ -42,6 +42,9 @@ def _block(*lines) -> Column:
     return F.array(*[F.coalesce(line, F.lit("")) for line in lines])
 
 
+# The layouts below are fixed values: the printed form of a card.
+
+
 def _text(layout: str, *values) -> Column:
     return F.format_string(layout, *values)
 

@@ -69,7 +69,9 @@ def collect_chunks(df: DataFrame, key: str, value: str, name: str, max_len: int
 def decode(ranked: DataFrame, dictionary: DataFrame, key: str, how: str = "inner", hot: list | None = None) -> DataFrame:
     """Add the natural key of ``key``. ``how="left"`` keeps unknown indices as null.
 
-    A popular track stands in most lists, so its rows are joined apart.
+    A popular track stands in most lists, so its rows are joined apart. Unless
+    ``hot`` is given, ``ranked`` is read once more to find such tracks and should
+    be a written table.
     """
     hot = hot_keys(ranked, key) if hot is None else hot
     return skew_join(ranked, dictionary, key, hot, how)

@@ -1,0 +1,85 @@
+import collections
+import json
+
+import pytest
+
+from mixloom.plans import tools
+from tests.conftest import INFO, corpus, playlist
+
+
+def in_order():
+    return [one for part in corpus() for one in part]
+
+
+def test_statistics_equal_counters_in_order_of_sight(spark, slice_dir):
+    got = tools.statistics(spark, slice_dir)
+    tracks = [track for one in in_order() for track in one["tracks"] or []]
+    labels = collections.Counter(f"{one['track_name']} by {one['artist_name']}" for one in tracks)
+    assert [tuple(row) for row in got["tracks"].collect()] == labels.most_common(20)
+    artists = collections.Counter(one["artist_name"] for one in tracks)
+    assert [tuple(row) for row in got["artists"].collect()] == artists.most_common(20)
+    for name, field in (("lengths", "num_tracks"), ("followers", "num_followers")):
+        wanted = collections.Counter(one[field] for one in in_order())
+        assert [tuple(row) for row in got[name].collect()] == wanted.most_common(20)
+    times = collections.Counter(one["modified_at"] for one in in_order())
+    assert [(row.modified_at, row["count"]) for row in got["modified"].collect()] == times.most_common(20)
+    assert got["totals"].first().playlists == len(in_order())
+    assert got["titles"].count() == 13
+
+
+def test_first_files_limit_every_tool(spark, slice_dir):
+    first = corpus()[0]
+    assert tools.statistics(spark, slice_dir, 1)["totals"].first().playlists == len(first)
+    deep = tools.deep_statistics(spark, slice_dir, 1)
+    assert deep["info"].count() == 3 and deep["totals"].first().playlists == len(first)
+    assert "with_description" not in deep["totals"].columns
+    assert tools.descriptions(spark, slice_dir, 1)["descriptions"].count() == 2
+    assert tools.check(spark, slice_dir, 6, 1)["summary"].filter("rule = 'missing_pid'").count() == 0
+
+
+def test_deep_statistics(spark, slice_dir):
+    got = tools.deep_statistics(spark, slice_dir)
+    titles = collections.Counter(one["name"].lower() for one in in_order())
+    assert [tuple(row) for row in got["full_titles"].collect()] == titles.most_common()
+    assert got["info"].count() == 6
+    entries = [track for one in in_order() for track in one["tracks"] or []]
+    labels = collections.Counter(f"{one['track_name']} by {one['artist_name']}" for one in entries)
+    assert [tuple(row) for row in got["tracks"].collect()] == labels.most_common(10_000)
+
+
+def test_check(spark, slice_dir):
+    got = tools.check(spark, slice_dir, 15)
+    totals = {row.rule: row.errors for row in got["summary"].collect()}
+    assert totals["missing_track_field"] == 1 and totals["missing_pid"] == 2
+    assert got["violations"].count() == sum(totals.values())
+
+
+@pytest.fixture(scope="module")
+def named(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("named")
+    for low in (0, 1000, 2000):
+        lists = [playlist(pid, [1, 2, 3, 4, 5]) for pid in range(low, low + 1000, 100)]
+        text = json.dumps({"info": INFO, "playlists": lists})
+        (folder / f"mpd.slice.{low}-{low + 999}.json").write_text(text)
+    return str(folder)
+
+
+def test_show_opens_the_named_slices_only(spark, named):
+    def pids(df):
+        return sorted({row.pid for row in df.select("pid").collect()})
+
+    some = tools.show(spark, named, ["100", 2100, -5, 5_000_000, 150])
+    assert pids(some) == [100, 2100]
+    assert sorted(one.rsplit("/", 1)[1] for one in some.inputFiles()) == [
+        "mpd.slice.0-999.json",
+        "mpd.slice.2000-2999.json",
+    ]
+    span = tools.show(spark, named, start="900", end="1200", style="compact")
+    assert pids(span) == [900, 1000, 1100]
+    assert len(span.inputFiles()) == 2
+    assert pids(tools.show(spark, named, start=0, end=900_000, style="raw")) == list(range(0, 3000, 100))
+    assert pids(tools.show(spark, named, style="full")) == list(range(0, 3000, 100))
+    assert pids(tools.show(spark, named, [])) == []
+    assert pids(tools.show(spark, named, start=7, end=3)) == []
+    with pytest.raises(ValueError, match="bad pid"):
+        tools.show(spark, named, start="x", end=3)
