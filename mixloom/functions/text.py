@@ -3,16 +3,21 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters a title loses, and Python's notion of white
-# space (Java's Unicode class plus the four ASCII separators).
+# Fixed value: the characters a title loses.
 DROPPED = ".,/#!$%^*;:{}=_`~()@"
-SPACES = r"(?U)[\s\x1c-\x1f]+"
+# All white space of Unicode; the last of it is U+3000.
+SPACES = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
 def normalize_name(text) -> Column:
-    """Lower case, dropped characters to blanks, blanks squeezed and stripped."""
-    blanked = F.translate(F.lower(text), DROPPED, " " * len(DROPPED))
-    return F.trim(F.regexp_replace(blanked, SPACES, " "))
+    """Lower case, dropped characters to blanks, blanks squeezed and stripped.
+
+    Every kind of white space becomes a blank in the same pass, which leaves
+    only runs of blanks to the regular expression.
+    """
+    blanked = DROPPED + SPACES
+    plain = F.translate(F.lower(text), blanked, " " * len(blanked))
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
 def _moment(epoch, zone: str) -> Column:

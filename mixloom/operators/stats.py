@@ -1,6 +1,6 @@
 """Corpus totals and histograms."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.functions.text import date_text, normalize_name
@@ -72,18 +72,29 @@ def _fold(by_playlist: DataFrame, by_entry: DataFrame) -> DataFrame:
 
 
 def histogram(
-    df: DataFrame, value, name: str = "value", n: int | None = TOP, seen: list | None = None
+    df: DataFrame,
+    value,
+    name: str = "value",
+    n: int | None = TOP,
+    seen: list | None = None,
+    first_by: list | None = None,
 ) -> DataFrame:
     """(value, count) by falling count; the first ``n`` or all.
 
     Ties go to the smaller value, or, with ``seen``, to the value that occurs
     first in the order of those columns. The count is reduced before its
     shuffle, and the cut is a top-n per partition, not a full sort.
+
+    ``first_by`` names the columns ``value`` is made of where they repeat often:
+    they are counted first, and ``value`` is computed once for each.
     """
     value = F.col(value) if isinstance(value, str) else value
-    aggregates = [F.count(F.lit(1)).alias("count")]
-    if seen:
-        aggregates.append(F.min(F.struct(*seen)).alias("_first"))
+    rows, first = F.count(F.lit(1)), F.min(F.struct(*seen)) if seen else None
+    if first_by:
+        reduced = [rows.alias("_rows")] + ([first.alias("_first")] if seen else [])
+        df = df.groupBy(*first_by).agg(*reduced)
+        rows, first = F.sum("_rows"), F.min("_first") if seen else None
+    aggregates = [rows.alias("count")] + ([first.alias("_first")] if seen else [])
     counted = df.groupBy(value.alias(name)).agg(*aggregates)
     ranked = counted.orderBy(F.desc("count"), "_first" if seen else name)
     if n is not None:
@@ -92,29 +103,17 @@ def histogram(
 
 
 def normalized_titles(playlists: DataFrame, n: int | None = TOP, seen: list | None = None) -> DataFrame:
-    return histogram(playlists, normalize_name("name"), "title", n, seen)
+    return histogram(playlists, normalize_name("name"), "title", n, seen, ["name"])
 
 
 def lowered_titles(playlists: DataFrame, n: int | None = None, seen: list | None = None) -> DataFrame:
-    return histogram(playlists, F.lower("name"), "title", n, seen)
+    return histogram(playlists, F.lower("name"), "title", n, seen, ["name"])
 
 
 def track_counts(entries: DataFrame, n: int | None = TOP, seen: list | None = None) -> DataFrame:
-    """Entries per "track by artist" label.
-
-    Counted on the two names, and the label made from the few distinct pairs;
-    different pairs may give one label, so those counts are added up again.
-    """
-    if seen:
-        return histogram(entries, _track_label(), "track", n, seen)
-    pairs = entries.groupBy("track_name", "artist_name").agg(F.count(F.lit(1)).alias("rows"))
-    labels = pairs.groupBy(_track_label().alias("track")).agg(F.sum("rows").alias("count"))
-    ranked = labels.orderBy(F.desc("count"), "track")
-    return ranked.limit(n) if n is not None else ranked
-
-
-def _track_label() -> Column:
-    return F.concat("track_name", F.lit(" by "), "artist_name")
+    """Entries per "track by artist" label; two pairs of names may give one label."""
+    label = F.concat("track_name", F.lit(" by "), "artist_name")
+    return histogram(entries, label, "track", n, seen, ["track_name", "artist_name"])
 
 
 def artist_counts(entries: DataFrame, n: int | None = TOP, seen: list | None = None) -> DataFrame:
