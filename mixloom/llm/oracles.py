@@ -1,7 +1,82 @@
 """SQL of the numbered queries that SQL can express on whole tables."""
 
+from mixloom.llm.quality import LEVELS
+
+RISK, ERROR = 0.02, 0.1
 SQL: dict[str, str] = {}
 
+LEVELS_SQL = ", ".join(f"({j}, {a}, {b}, {c}, {d})" for j, (a, b, c, d) in enumerate(LEVELS))
+
+#: The rows of ``docs`` (doc_id, text, lang), judged; ``{docs}`` names them.
+QUALITY_CTE = rf"""
+q_text as (select row_number() over () as r, doc_id, lang, coalesce(text, '') as t from {{docs}}),
+q_words as (
+  select r, doc_id, lang, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from q_text),
+q_windows as (
+  select r, unnest(range(1, len(w) - 3)) as i, w from q_words where len(w) >= 5),
+q_grams as (select r, i, count(*) over (partition by r, w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) as n from q_windows),
+q_covered as (select r, count(distinct i + k)::bigint as n_repeat_words from q_grams, range(5) as s(k) where n > 1 group by r),
+q_measured as (
+  select r, doc_id, lang, len(w) as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+    (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
+    len(lines) as n_lines, length(t) - length(regexp_replace(t, '\p{{{{Lu}}}}', '', 'g')) as n_capitals
+  from q_words left join q_covered using (r)),
+q_levels(j, a, b, c, d) as (values {LEVELS_SQL}),
+q_judged as (
+  select m.*, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    (select count(*) from q_levels where 100 * n_symbols <= a * word_chars and 100 * n_capitals <= b * word_chars
+      and 100 * n_dup_lines <= c * n_lines and 100 * n_repeat_words <= d * n_words) as level
+  from q_measured m),
+q_good as (select doc_id from labels group by doc_id having min(quality) = 1),
+q_strata as (
+  select lang, j, count(*) as n, count(*) filter (level <= j) as k
+  from q_judged, q_levels where not base_failed and doc_id in (select doc_id from q_good) group by lang, j),
+q_tested as (
+  select lang, j, case when k < n * {RISK} then list_sum(list_transform(range(k + 1), lambda i:
+    exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) else 1 end as p
+  from q_strata),
+q_certified as (
+  select lang, coalesce(min(j) filter (p > {ERROR} / (select count(distinct coalesce('=' || lang, '')) from q_tested)), {len(LEVELS)}) as certified
+  from q_tested group by lang),
+q_result as (
+  select q_judged.*, not base_failed and level >= coalesce(certified, 0) as kept
+  from q_judged left join q_certified on q_judged.lang is not distinct from q_certified.lang)
+"""
+
+SQL["op1_quality_rules"] = f"""
+with {QUALITY_CTE.format(docs="documents")}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from q_result
+"""
+
+SQL["op2_warc_archive"] = """
+with stored as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), held as (select *, min(page_id) over (partition by payload_digest) as holder from stored)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes >= 100 and page_id is distinct from holder and holder is not null then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 100 and page_id is distinct from holder then holder end as refers_to
+from held
+"""
+
+SQL["op4_chat_round_trip"] = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), formatted as (
+  select *, 24 + length(role) + length(case when regexp_matches(text, '<\|im_start\|>|<\|im_end\|>|<\\+\|')
+    then regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') else text end) as chars from turns
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(chars)::bigint as formatted_chars
+from formatted group by conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
