@@ -77,6 +77,17 @@ select conv_id, count(*) as n_turns,
 from formatted group by conv_id
 """
 
+SQL["op6_substring_dedup"] = r"""
+with texts as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+starts as (select doc_id, w, unnest(range(1, len(w) - 11)) as i from texts where len(w) >= 13),
+firsts as (select doc_id, i, min(doc_id) over (partition by array_to_string(w[i : i + 12], ' ')) as holder from starts),
+covered as (select distinct doc_id, i + k as p from firsts, range(13) as s(k) where holder < doc_id),
+words as (select doc_id, w, unnest(range(1, len(w) + 1)) as p from texts),
+kept as (select doc_id, string_agg(w[p], ' ' order by p) as t, count(*) as n from words anti join covered using (doc_id, p) group by doc_id)
+select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from texts left join kept using (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -8,6 +8,7 @@ from mixloom.llm import warc
 from mixloom.llm.chat import read_back, render_turns
 from mixloom.llm.packing import pack_documents
 from mixloom.llm.quality import quality_rules
+from mixloom.llm.substring import repeat_digests
 from mixloom.llm.url_filter import filter_urls
 from mixloom.llm.word_bpe import code_digests
 from mixloom.storage import scratch_path
@@ -58,6 +59,11 @@ def op5_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+@register
+def op6_substring_dedup(spark, sf_dir):
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 @register
 def op8_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
