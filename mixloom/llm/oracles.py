@@ -88,6 +88,28 @@ select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(c
 from texts left join kept using (doc_id)
 """
 
+#: Shingle sets of ``{docs}`` (doc_id, text), their links and components.
+NGRAM_CTE = r"""
+n_words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from {docs}),
+n_sets as (
+  select doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) as s
+  from n_words where len(w) > 0),
+n_grams as (select doc_id, unnest(s) as g from n_sets),
+n_common as (select x.doc_id as a, y.doc_id as b, count(*) as n from n_grams x join n_grams y on x.g = y.g and x.doc_id < y.doc_id group by all),
+n_links as (
+  select a, b from n_common join n_sets x on x.doc_id = a join n_sets y on y.doc_id = b
+  where 100 * n >= 80 * (len(x.s) + len(y.s) - n)),
+n_both as (select a, b from n_links union all select b, a from n_links),
+n_reach as (select doc_id as a, doc_id as b from {docs} union select r.a, l.b from n_reach r join n_both l on r.b = l.a),
+n_result as (
+  select d.doc_id, coalesce(len(s), 0) as n_shingles, (select min(b) from n_reach where a = d.doc_id) as component_id
+  from {docs} d left join n_sets using (doc_id))
+"""
+
+SQL["op7_ngram_join"] = f"with recursive {NGRAM_CTE.format(docs='documents')} select * from n_result"
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from mixloom.llm import warc
 from mixloom.llm.chat import read_back, render_turns
+from mixloom.llm.ngram_join import ngram_components
 from mixloom.llm.packing import pack_documents
 from mixloom.llm.quality import quality_rules
 from mixloom.llm.substring import repeat_digests
@@ -64,6 +65,11 @@ def op6_substring_dedup(spark, sf_dir):
     return repeat_digests(table(spark, sf_dir, "documents"))
 
 
+@register
+def op7_ngram_join(spark, sf_dir):
+    return ngram_components(table(spark, sf_dir, "documents"), words=5, percent=80)
+
+
 @register
 def op8_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
