@@ -110,6 +110,17 @@ n_result as (
 
 SQL["op7_ngram_join"] = f"with recursive {NGRAM_CTE.format(docs='documents')} select * from n_result"
 
+SQL["op10_exact_topk"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as x from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.x) = len(c.x) where q.vec_id % 50 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -8,8 +8,10 @@ from mixloom.llm import warc
 from mixloom.llm.chat import read_back, render_turns
 from mixloom.llm.ngram_join import ngram_components
 from mixloom.llm.packing import pack_documents
+from mixloom.llm.pitman_yor import language_scores
 from mixloom.llm.quality import quality_rules
 from mixloom.llm.substring import repeat_digests
+from mixloom.llm.topk import exact_top_k
 from mixloom.llm.url_filter import filter_urls
 from mixloom.llm.word_bpe import code_digests
 from mixloom.storage import scratch_path
@@ -47,6 +49,11 @@ def op2_warc_archive(spark, sf_dir):
     )
 
 
+@register
+def op3_pitman_yor(spark, sf_dir):
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_chat_round_trip(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -78,3 +85,8 @@ def op8_packing(spark, sf_dir):
 @register
 def op9_bpe_coding(spark, sf_dir):
     return code_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op10_exact_topk(spark, sf_dir):
+    return exact_top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
