@@ -171,3 +171,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error:
     found = join_small(rows.withColumn("_key", key), levels.select(key.alias("_key"), "certified"), ["_key"], "left")
     kept = ~F.col("base_failed") & (F.col("level") >= F.coalesce("certified", none))
     return found.withColumn("kept", kept).drop("_key")
+
+
+def rejected_dropped(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.1) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang and others) without those of ids whose every row
+    is rejected. Rows with a null id stay."""
+    judged_rows = quality_rules(docs, labels, risk, error).filter("doc_id is not null")
+    path = scratch_path(docs.sparkSession, "quality-rejected")
+    judged_rows.groupBy("doc_id").agg(F.max("kept").alias("any")).filter("not any").select("doc_id").write.parquet(path)
+    return join_small(docs, docs.sparkSession.read.parquet(path), ["doc_id"], "left_anti")
