@@ -34,6 +34,9 @@ REMEMBERED = 200_000
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 
+#: The first code point that no version of Unicode has assigned.
+FIRST_UNASSIGNED = "\u0378"
+
 
 def merge_by_scan(parts: list[int], pairs: dict[int, tuple[int, int]]) -> list[int]:
     """Merge the ids in ``parts``; ``pairs`` has (rank, merged id) by left << 32 | right."""
@@ -107,7 +110,8 @@ class WordBpe:
         self.pairs = {}
         for rank, (a, b) in enumerate(model["merges"]):
             self.pairs[vocab[a] << 32 | vocab[b]] = (rank, vocab[a + b])
-        char = {b: c for c, b in byte_of_char().items()}
+        self.path, self.library, self.to_byte = path, None, byte_of_char()
+        char = {b: c for c, b in self.to_byte.items()}
         self.inner = [vocab[char[b]] for b in range(256)]
         self.last = [vocab[char[b] + self.end] for b in range(256)]
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
@@ -127,12 +131,23 @@ class WordBpe:
         for k, part in enumerate(self.split.split(text) if "<|" in text else [text]):
             if k % 2:
                 found.append(part)
+            elif part and max(part) >= FIRST_UNASSIGNED and any(unicodedata.category(c) == "Cn" for c in set(part)):
+                found += self._split_by_library(part)
             elif part:
                 part = unicodedata.normalize("NFC", part)
                 # lower() alone would turn a sigma at a word's end into its other form
                 found += WORD.findall(part.replace("\u03a3", "\u03c3").lower())
         return found
 
+    def _split_by_library(self, part: str) -> list[str]:
+        """For characters newer than Python's tables, whose case and class only the library knows."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))
+        return [bytes(map(self.to_byte.__getitem__, piece)).decode() for piece, _ in pieces]
+
     def encode(self, text: str) -> list[int]:
         return [i for word in self.split_words(text) for i in self.encode_word(word)]
 
