@@ -1,0 +1,176 @@
+"""The Pitman-Yor model and the exact top-k, against plain Python."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from mixloom.llm import pitman_yor as py
+from mixloom.llm import topk
+
+LOW = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+
+
+def tokens(text):
+    return [*(text or "").encode().translate(LOW).split(), py.END]
+
+
+def corpus(seed=1, docs=120):
+    rng = np.random.default_rng(seed)
+    words = [f"{'Wo' if k % 3 else 'wo'}{k}" for k in range(80)]
+    return [(k, " ".join(rng.choice(words, rng.integers(0, 60), p=np.arange(80, 0, -1) / 3240))) for k in range(docs)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "clash", 0.5) for r in rows], "doc_id long, text string, block string, score double")
+
+
+def test_base_scores_and_counts(spark):
+    rows = [*corpus(), (None, "no id"), (500, None), (501, ""), (502, "unheard of"), (3, "twice")]
+    known: Counter = Counter()
+    for doc, text in rows:
+        if zlib.crc32(b"" if doc is None else str(doc).encode()) % 10:
+            known.update(tokens(text))
+    n, v = sum(known.values()), len(known)
+    found = py.language_scores(frame(spark, rows)).collect()
+    assert len(found) == len(rows)
+
+    def base(text):
+        return sum(math.log10((known[t] + 0.1) / (n + 0.1 * (v + 1))) for t in tokens(text))
+
+    wanted = sorted((repr(d), len(tokens(t)), sum(known[x] > 0 for x in tokens(t)), n, round(base(t), 6)) for d, t in rows)
+    assert sorted((repr(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in found) == wanted
+    assert all(r["held_out"] == (zlib.crc32(b"" if r["doc_id"] is None else str(r["doc_id"]).encode()) % 10 == 0) for r in found)
+    assert all(r["score"] < 0 for r in found)
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    rows = corpus(2)
+    one = {r["doc_id"]: r["score"] for r in py.language_scores(frame(spark, rows).coalesce(1)).collect()}
+    again = {r["doc_id"]: r["score"] for r in py.language_scores(frame(spark, rows).coalesce(1)).collect()}
+    assert one == again
+
+
+def test_empty_and_untrained(spark):
+    assert py.language_scores(frame(spark, corpus()).limit(0)).collect() == []
+    held_out = [(k, "a b") for k in range(200) if py.is_held_out(k)][:3]
+    assert {r["score"] for r in py.language_scores(frame(spark, held_out)).collect()} == {0.0}
+
+
+def bucket_of(counts, width):
+    """A bucket of one packet: ``counts`` by (hash, context)."""
+    hashes = sorted({w for w, _ in counts})
+    cells = sorted(counts)
+    packet = py.pack(
+        np.array(hashes, np.uint64), np.array([sum(w == h for w, _ in cells) for h in hashes], np.uint16),
+        np.array([c for _, c in cells], np.uint16), np.array([counts[c] for c in cells], np.uint32),
+    )
+    return py.Bucket(0, [packet], width)
+
+
+def test_predictive_probabilities_sum_to_one():
+    rng = np.random.default_rng(4)
+    width, words = 4, 30
+    counts = {(w, c): int(rng.poisson(2)) for w in range(words) for c in range(width)}
+    bucket = bucket_of(counts, width)
+    customers, dishes = bucket.totals()
+    tables = np.append(dishes[:-1], 0)
+    model = py.Totals(customers, tables, tables.sum() + customers[-1], dishes[-1], dishes[-1])
+    realised = [py.Totals(customers, np.append(r[:-2], 0), r[-2], r[-1], dishes[-1]) for r in bucket.sampled_totals(model, 7)]
+    p = 10 ** bucket.log_probabilities(model, realised, 7)
+    unheard = np.zeros(width)
+    for now in realised:
+        base = now.root_weight() / (py.ROOT_STRENGTH + now.root_customers)
+        inside = now.strengths() * base / (py.STRENGTH + now.customers)
+        unheard += np.append(inside[:-1], base) / len(realised)
+    unknown = words - int(dishes[-1])  # cells of the bucket that training never saw share the one class
+    for context in range(width):
+        known = p[(bucket.context == context) & (bucket.known[bucket.word] > 0)].sum()
+        assert known + unheard[context] == pytest.approx(1, abs=1e-9)
+    assert unknown >= 0
+
+
+def stirling(c, d):
+    """S[n][t] of type (-1, -d, 0)."""
+    table = [[1.0]]
+    for n in range(c):
+        row = [0.0] * (n + 2)
+        for t, value in enumerate(table[-1]):
+            row[t + 1] += value
+            row[t] += (n - d * t) * value if n else 0
+        table.append(row)
+    return table[c]
+
+
+@pytest.mark.parametrize(("customers", "weight", "discount"), [(2, 0.3, 0.8), (4, 1.5, 0.5), (7, 0.05, 0.8), (6, 3.0, 0.0)])
+def test_gibbs_seating_has_the_right_distribution(customers, weight, discount):
+    rng = np.random.default_rng(1)
+    n = 20_000
+    seating = py.Seating(np.full(n, customers), np.full(n, weight), discount)
+    for _ in range(60):
+        seating.move(np.full(n, weight), rng)
+    assert (np.add.reduceat(seating.sizes, seating.begin) == customers).all()
+    assert (np.add.reduceat((seating.sizes > 0).astype(int), seating.begin) == seating.tables).all()
+    exact = np.array([s * weight**t for t, s in enumerate(stirling(customers, discount))])[1:]
+    share = np.bincount(seating.tables, minlength=customers + 1)[1:] / n
+    assert np.abs(share - exact / exact.sum()).max() < 0.015
+
+
+def test_model_beats_the_base_on_held_out_text(spark):
+    rng = np.random.default_rng(9)
+    follows = {f"w{k}": [f"w{(7 * k + j) % 150}" for j in range(4)] for k in range(150)}
+    rows = []
+    for doc in range(400):
+        word, text = "w0", []
+        for _ in range(40):
+            word = str(rng.choice(follows[word]))
+            text.append(word)
+        rows.append((doc, " ".join(text)))
+    scored = py.language_scores(frame(spark, rows)).persist()
+    assert py.perplexity(scored) < 0.8 * py.perplexity(scored, "base_score")
+
+
+def brute_top(rows, k=5, every=50, scale=256):
+    usable = [(i, [math.floor(scale * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, x in usable:
+        if q % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in usable if i != q and len(x) == len(y))[:k]
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored, start=1)]
+    return sorted(out)
+
+
+def top(spark, rows):
+    vectors = spark.createDataFrame([(*r, "clash", 1) for r in rows], "vec_id long, embedding array<float>, query_id string, rank int")
+    return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.exact_top_k(vectors).collect())
+
+
+def test_top_k_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.2, 16)]) for i in range(400)]
+    rows += [(400, None), (450, [None, *rows[0][1][1:]]), (500, [math.nan, *rows[0][1][1:]]), (550, [math.inf, *rows[0][1][1:]]), (None, rows[0][1])]
+    rows += [(600, [0.0] * 16), (601, rows[0][1]), (602, rows[0][1]), (650, [0.5, 0.25]), (651, [0.5, 0.25]), (700, []), (750, [1.0])]
+    assert top(spark, rows) == brute_top(rows)
+
+
+def test_few_vectors_and_none(spark):
+    rows = [(0, [0.1, 0.2]), (1, [0.2, 0.1]), (50, [-0.1, 0.0])]
+    assert top(spark, rows) == brute_top(rows)
+    assert top(spark, [(0, [0.1])]) == []
+    assert topk.exact_top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**32), st.integers(1, 300), st.integers(1, 20), st.sampled_from([1, 3, 140, 10**9]))
+def test_index_is_exact(seed, n, dims, reach):
+    rng = np.random.default_rng(seed)
+    vectors = rng.integers(-reach, reach, (n, dims), endpoint=True)
+    index = topk.ImpactIndex(np.arange(n), vectors)
+    query = vectors[0]
+    ids, scores = index.search(0, query, 5)
+    wanted = sorted((-int(vectors[i] @ query), i) for i in range(1, n))[:5]
+    assert [(-int(s), int(i)) for i, s in zip(ids, scores, strict=True)] == wanted

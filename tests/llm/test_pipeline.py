@@ -1,0 +1,67 @@
+"""The pipeline, stage by stage on what its predecessor kept, against SQL and plain Python."""
+
+import os
+
+import duckdb
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from mixloom.llm.oracles import QUALITY_CTE
+from mixloom.llm.queries import REGISTRY
+from tests.llm.test_coding import check_pieces
+from tests.llm.test_repeats import brute_components, kept_words
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+def test_the_numbered_queries_are_registered():
+    assert sorted(int(name[2:].partition("_")[0]) for name in REGISTRY) == list(range(1, 11))
+
+
+def test_stages(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, stages, kept = docs.columns, dict(corpus_pipeline.STAGES), {}
+    assert list(stages) == ["quality_rules", "ngram_join", "substring_dedup", "packing"]
+    for name, stage in stages.items():
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        kept[name] = [r.asDict() for r in docs.collect()]
+        if name != "packing":
+            assert docs.columns == columns
+
+    duck = duckdb.connect()
+    for table in ("documents", "labels"):
+        duck.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
+    good = {r[0] for r in duck.execute(f"with {QUALITY_CTE.format(docs='documents')} select doc_id from q_result where kept").fetchall()}
+    assert {r["doc_id"] for r in kept["quality_rules"]} == good and 0 < len(good) < 200
+
+    rows = [(r["doc_id"], r["text"]) for r in kept["quality_rules"]]
+    firsts = {d for d, _, c in brute_components(rows) if d == c}
+    assert {r["doc_id"] for r in kept["ngram_join"]} == firsts and len(firsts) < len(rows)
+
+    rows = [(r["doc_id"], r["text"]) for r in kept["ngram_join"]]
+    texts = {}
+    for (doc, words, left), (_, text) in zip(kept_words(rows, 13), rows, strict=True):
+        texts[doc] = text if len(left.split()) == words else left.decode()
+    assert {r["doc_id"]: r["text"] for r in kept["substring_dedup"]} == texts and texts != dict(rows)
+    assert all(r["n_chars"] == len(r["text"]) for r in kept["substring_dedup"])
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    check_pieces(kept["packing"], {d: [*library.encode(t or "", add_special_tokens=False).ids, 0] for d, t in texts.items()})
+
+
+def test_hostile_tables(spark, tmp_path):
+    """Nulls everywhere, empty tables, repeated rows and other columns."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, block long, rep long"
+    rows = [(None,) * 8, (1, None, None, None, None, None, None, None), (2, "", "en", "s", 0, True, 1, 2)] + [
+        (k, f"{' '.join(f'w{i}' for i in range(40))} tail{k % 2}", "en", "s", 3, False, 1, 2) for k in (3, 4, 4, 5)
+    ]
+    for name, content in (("some", rows), ("none", [])):
+        spark.createDataFrame(content, schema).write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.createDataFrame([(1, 1, 0), (None, None, None)][: len(content)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / name / "labels.parquet"))
+    pieces = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
+    assert {p["doc_id"] for p in pieces} == {None, 3}
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
