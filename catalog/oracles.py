@@ -3,6 +3,7 @@
 from catalog import shape, views
 from mixloom.functions.text import DROPPED
 from mixloom.operators.quality import LATEST_CHANGE
+from mixloom.operators.split import RANGES
 
 K = views.DEPTH
 ORDER = ", ".join(shape.LINE_ORDER)
@@ -90,13 +91,17 @@ INTERACTIONS = """inter as (
   from lineitem join orders on o_orderkey = l_orderkey)"""
 
 
-def bucket(*keys: str) -> str:
+def key_hash(*keys: str) -> str:
     text = " || '|' || ".join([f"cast({key} as varchar)" for key in keys] + ["'42'"])
-    return f"(cast(('0x' || substr(md5({text}), 1, 8)) as bigint) % 1000)"
+    return f"cast(('0x' || substr(md5({text}), 1, 8)) as bigint)"
+
+
+# The hash from which on a row belongs to the tenth that is held out.
+TENTH = round((1 - 0.1) * RANGES["md5"])
 
 
 HELD = f"""{INTERACTIONS},
-marked as (select *, {bucket("playlist_idx", "track_idx")} >= 900 as is_test from inter),
+marked as (select *, {key_hash("playlist_idx", "track_idx")} >= {TENTH} as is_test from inter),
 train as (select playlist_idx, track_idx, count from marked where not is_test),
 truth as (select playlist_idx, track_idx, count from marked where is_test)"""
 
@@ -316,16 +321,17 @@ select run.ts as timestamp, mean_ap as map_score, num_playlists, run.seconds as
 from metric, (values ('20171101_000000', cast(1.5 as double)), ('20171102_000000', cast(2.5 as double)))
   run(ts, seconds)"""
 
-    side = bucket("playlist_idx")
-    sql["split_train"] = f"with {INTERACTIONS} select playlist_idx, track_idx, count from inter where {side} < 900"
-    sql["split_test"] = f"with {INTERACTIONS} select playlist_idx, track_idx, count from inter where {side} >= 900"
+    side = key_hash("playlist_idx")
+    sql["split_train"] = f"with {INTERACTIONS} select playlist_idx, track_idx, count from inter where {side} < {TENTH}"
+    sql["split_test"] = f"with {INTERACTIONS} select playlist_idx, track_idx, count from inter where {side} >= {TENTH}"
     sql["split_summary"] = f"""with {INTERACTIONS}
-select count(*) as total_rows, count(*) filter ({side} < 900) as train_rows,
-  count(*) filter ({side} >= 900) as test_rows,
-  round(count(*) filter ({side} >= 900) / count(*), 9) as test_share from inter"""
+select count(*) as total_rows, count(*) filter ({side} < {TENTH}) as train_rows,
+  count(*) filter ({side} >= {TENTH}) as test_rows,
+  round(count(*) filter ({side} >= {TENTH}) / count(*), 9) as test_share from inter"""
     sql["split_holdout_tail"] = f"""with {PLACED}
-select pid, ordinal, track_uri,
-  ordinal >= ceil(count(*) over (partition by pid) * cast(0.9 as double)) as is_test from entry"""
+select pid, ordinal, track_uri, ordinal >= n - floor(n * cast(0.1 as double))
+    - cast({key_hash("pid")} / cast({RANGES["md5"]} as double) < n * cast(0.1 as double) - floor(n * cast(0.1 as double)) as int) as is_test
+from (select *, count(*) over (partition by pid) as n from entry)"""
     sql["split_roundtrip"] = f"""with {INTERACTIONS}
 select playlist_idx, count(*) as rows, cast(1 as bigint) as sides from inter group by 1"""
 
@@ -383,18 +389,20 @@ union all select 'version', 'v1' from slice"""
         "''",
     ]
 
-    def card(head: list, line: str | None) -> str:
+    def card(head: list, line: str | None, wanted: str = "true") -> str:
         parts = [
-            f"select pid, {number} as line_no, {text} as text from playlist" for number, text in enumerate(head)
+            f"select pid, {number} as line_no, {text} as text from playlist where {wanted}" for number, text in enumerate(head)
         ]
         if line:
-            parts.append(f"select pid, cast({len(head)} + ordinal as int), {line} from entry")
-            parts.append(f"select pid, cast({len(head)} + tracks as int), '' from playlist")
+            parts.append(f"select pid, cast({len(head)} + ordinal as int), {line} from entry where {wanted}")
+            parts.append(f"select pid, cast({len(head)} + tracks as int), '' from playlist where {wanted}")
         return f"with {NESTED} " + " union all ".join(parts)
 
+    pretty_line = "printf('%3d %s - %s', pos, track_name, album_name)"
+    full_line = "printf('   %3d %s - %s - %s', ordinal + 1, track_name, album_name, artist_name)"
     sql["cards_compact"] = card(short, None)
-    sql["cards_pretty"] = card(short, "printf('%3d %s - %s', pos, track_name, album_name)")
-    sql["cards_full"] = card(
-        long, "printf('   %3d %s - %s - %s', ordinal + 1, track_name, album_name, artist_name)"
-    )
+    sql["cards_pretty"] = card(short, pretty_line)
+    sql["cards_full"] = card(long, full_line)
+    sql["show_ids"] = card(short, pretty_line, "(pid >= 1000 and pid < 1020 or pid in (7, 5, 1120))")
+    sql["show_range"] = card(long, full_line, "(pid >= 1000 and pid < 1300)")
     return sql

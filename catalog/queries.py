@@ -8,7 +8,7 @@ from mixloom.functions.arrays import ids_of
 from mixloom.functions.text import normalize_name
 from mixloom.operators import cards, flatten, quality, ranking, split, stats
 from mixloom.operators.indexing import dictionary
-from mixloom.plans import etl, model, report, run
+from mixloom.plans import etl, model, report, run, tools
 from mixloom.schema import slice_schema
 from mixloom.sources import sinks, versions
 from mixloom.sources import slices as slice_files
@@ -553,7 +553,7 @@ def split_roundtrip(spark, sf_dir):
 @query
 def submission_write(spark, sf_dir):
     path = scratch_path(spark, "submission")
-    sinks.write_submission(submission(spark, sf_dir), path, compression="gzip", one_file_up_to=10_000)
+    sinks.write_submission(submission(spark, sf_dir), path, compression="gzip")
     schema = "playlist_id bigint, recommended_track_uris string"
     return spark.read.schema(schema).option("header", True).csv(path)
 
@@ -606,3 +606,14 @@ def cards_full(spark, sf_dir):
 @query
 def cards_raw(spark, sf_dir):
     return cards.raw_cards(views.nested_playlists(spark, sf_dir))
+
+
+@query
+def show_ids(spark, sf_dir):
+    """Ids and ranges in one call, whatever files they are in."""
+    return tools.show(spark, _slice_dir(spark, sf_dir), ["1000-1020", 7, "5", 1120, "90000000-90000010"])
+
+
+@query
+def show_range(spark, sf_dir):
+    return tools.show(spark, _slice_dir(spark, sf_dir), start="1000", end="1300", style="full")

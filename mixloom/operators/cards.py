@@ -9,27 +9,52 @@ from pyspark.sql import functions as F
 
 from mixloom.functions.text import date_text, time_text
 
-# Fixed value: ids are below this.
-ID_LIMIT = 1_000_000
+
+def wanted_ids(items: list) -> tuple[list, list]:
+    """The single ids and the [start, end) ranges named by ``items``: whole numbers, their
+    text, or text like ``1000-1020``, whose end is not included. Anything else raises
+    ``ValueError``."""
+    ids, ranges = [], []
+    for item in items:
+        try:
+            bounds = [int(part) for part in item.split("-")] if isinstance(item, str) and "-" in item else [int(item)]
+        except (TypeError, ValueError) as problem:
+            raise ValueError(f"bad pid: {item!r}") from problem
+        if len(bounds) > 2:
+            raise ValueError(f"bad pid: {item!r}")
+        ids.append(bounds[0]) if len(bounds) == 1 else ranges.append(tuple(bounds))
+    return ids, ranges
+
+
+def _usable(start: int, end: int, limit: int | None) -> bool:
+    return 0 <= start <= end and (limit is None or end <= limit)
+
+
+def lookup(playlists: DataFrame, items: list, limit: int | None = None) -> DataFrame:
+    """The playlists of all the ids and ranges in ``items``, each once. Ids below 0, and with
+    a ``limit`` those from it on, are skipped, and so are ranges that are not within them."""
+    ids, ranges = wanted_ids(items)
+    found = F.col("pid").isin([pid for pid in ids if _usable(pid, pid + 1, limit)])
+    for start, end in ranges:
+        if _usable(start, end, limit):
+            found = found | ((F.col("pid") >= start) & (F.col("pid") < end))
+    return playlists.filter(found)
 
 
-def lookup_pids(playlists: DataFrame, pids: list | None = None, limit: int = ID_LIMIT) -> DataFrame:
-    """The playlists with these ids; ids outside 0…limit-1 are skipped. Without
-    ids, all playlists."""
-    if pids is None:
-        return playlists
-    return playlists.filter(F.col("pid").isin([int(pid) for pid in pids if 0 <= int(pid) < limit]))
+def lookup_pids(playlists: DataFrame, pids: list | None = None, limit: int | None = None) -> DataFrame:
+    """The playlists with these ids; without ids, all playlists."""
+    return playlists if pids is None else lookup(playlists, [int(pid) for pid in pids], limit)
 
 
-def lookup_pid_range(playlists: DataFrame, start, end, limit: int = ID_LIMIT) -> DataFrame:
+def lookup_pid_range(playlists: DataFrame, start, end, limit: int | None = None) -> DataFrame:
     """Ids in [start, end): the end is not included. A range that is not
-    0 <= start <= end <= limit gives no rows; a bound that is no number raises
+    0 <= start <= end (<= limit) gives no rows; a bound that is no number raises
     ``ValueError``."""
     try:
         start, end = int(start), int(end)
     except (TypeError, ValueError) as problem:
         raise ValueError("bad pid") from problem
-    if not 0 <= start <= end <= limit:
+    if not _usable(start, end, limit):
         return playlists.limit(0)
     return playlists.filter((F.col("pid") >= start) & (F.col("pid") < end))
 

@@ -8,16 +8,18 @@ two sets.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 1000
+# How many values each hash can take.
+RANGES = {"xxhash64": 1 << 62, "md5": 1 << 32}
 
 
-def key_bucket(keys: list, seed: int = 42, algorithm: str = "xxhash64") -> Column:
-    """A bucket 0…999 for the key. ``md5`` is slower but common to all engines."""
+def key_hash(keys: list, seed: int = 42, algorithm: str = "xxhash64") -> Column:
+    """A whole number below ``RANGES[algorithm]`` for the key. ``md5`` is slower but
+    common to all engines."""
     if algorithm == "xxhash64":
-        return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(BUCKETS))
+        return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(RANGES[algorithm]))
     if algorithm == "md5":
         text = F.concat_ws("|", *[F.col(key).cast("string") for key in keys], F.lit(str(seed)))
-        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % BUCKETS
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     raise ValueError(f"unknown hash: {algorithm}")
 
 
@@ -28,10 +30,11 @@ def mark_test(
 
     With the playlist as key, whole playlists go to one side. With playlist and
     track as keys, a share of each playlist's tracks is held out instead, which
-    keeps every test playlist known to a model fitted on the other side.
+    keeps every test playlist known to a model fitted on the other side. The whole
+    hash is compared, so a share as small as one row in many gets its rows.
     """
-    limit = round((1 - test_share) * BUCKETS)
-    return df.withColumn("is_test", key_bucket(keys, seed, algorithm) >= limit)
+    value = key_hash(keys, seed, algorithm)
+    return df.withColumn("is_test", value >= round((1 - test_share) * RANGES[algorithm]))
 
 
 def train_rows(marked: DataFrame) -> DataFrame:
@@ -42,14 +45,19 @@ def heldout_rows(marked: DataFrame) -> DataFrame:
     return marked.filter("is_test").drop("is_test")
 
 
-def hold_out_tail(playlists: DataFrame, test_share: float = 0.1) -> DataFrame:
-    """Entries with ``is_test`` for the last share of each playlist's tracks.
+def hold_out_tail(playlists: DataFrame, test_share: float = 0.1, seed: int = 42) -> DataFrame:
+    """Entries with ``is_test`` for the last tracks of each playlist.
 
-    Works on the nested rows, where the length is at hand: no shuffle.
+    A playlist's share is seldom a whole number of tracks; it is rounded up for a part
+    of the playlists, chosen by a hash of the pid, and down for the others, so that the
+    share holds over the corpus and short playlists are not left whole. Works on the
+    nested rows, where the length is at hand: no shuffle.
     """
-    kept = F.ceil(F.size("tracks") * F.lit(1 - test_share))
+    wanted = F.size("tracks") * F.lit(float(test_share))
+    chance = key_hash(["pid"], seed, "md5") / F.lit(RANGES["md5"])
+    held = F.floor(wanted) + (chance < wanted - F.floor(wanted)).cast("int")
     return (
-        playlists.select("pid", kept.alias("kept"), F.posexplode("tracks").alias("ordinal", "track"))
+        playlists.select("pid", (F.size("tracks") - held).alias("kept"), F.posexplode("tracks").alias("ordinal", "track"))
         .select("pid", "ordinal", "track.track_uri", (F.col("ordinal") >= F.col("kept")).alias("is_test"))
     )
 

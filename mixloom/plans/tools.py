@@ -11,14 +11,12 @@ from pyspark.sql import functions as F
 
 from mixloom.operators import cards, quality, stats
 from mixloom.operators.flatten import entries_of, playlists_in_file_order, playlists_of
-from mixloom.schema import SLICE_GLOB
 from mixloom.sources.sinks import write_parquet
 from mixloom.sources.slices import first_slice_paths, read_raw_slices, read_slices
 from mixloom.storage import scratch_path
 
 # Fixed value: a slice file holds this many ids and is named after them.
 IDS_PER_FILE = 1000
-NAMED_FILES = 50
 
 PLAYLIST_ORDER = ["seen_at"]
 ENTRY_ORDER = ["seen_at", "ordinal"]
@@ -88,13 +86,14 @@ def check(
     return {"violations": found, "summary": quality.summary(found)}
 
 
-def _files_of(pids: list) -> str:
-    """A name pattern for the slices that hold these ids; all slices if many."""
-    lows = sorted({pid - pid % IDS_PER_FILE for pid in pids})
-    if not lows or len(lows) > NAMED_FILES:
-        return SLICE_GLOB
-    names = [f"mpd.slice.{low}-{low + IDS_PER_FILE - 1}.json" for low in lows]
-    return "{" + ",".join(names) + "}"
+def _slices_named_after(path: str, items: list) -> list:
+    """The paths of the slices that hold these ids and ranges, by their names."""
+    ids, ranges = cards.wanted_ids(items)
+    lows = {pid - pid % IDS_PER_FILE for pid in ids if pid >= 0}
+    for start, end in ranges:
+        if 0 <= start < end:
+            lows |= set(range(start - start % IDS_PER_FILE, end, IDS_PER_FILE))
+    return [f"{path}/mpd.slice.{low}-{low + IDS_PER_FILE - 1}.json" for low in sorted(lows)]
 
 
 CARDS = {
@@ -112,23 +111,23 @@ def show(
     start=None,
     end=None,
     style: str = "pretty",
+    limit: int | None = None,
+    named_files: bool = False,
 ) -> DataFrame:
-    """Cards of the playlists with these ids, of the ids in [start, end), or of all.
+    """Cards of the playlists named by ``pids``, which may mix ids and ranges
+    (``["1000-1020", 1989, "99870-99999"]``), of the ids in [start, end), or of all.
 
-    Slices are named after their ids, so only the files that can hold the wanted
-    ones are opened.
+    The ids decide, in whatever file they are. With ``named_files`` only the slices
+    named after the wanted ids are opened, however many; one that is not there is an
+    error. ``limit`` skips ids from it on.
     """
-    glob = SLICE_GLOB
+    if pids is None and start is not None:
+        try:
+            pids = [f"{int(start)}-{int(end)}"] if int(start) >= 0 else []
+        except (TypeError, ValueError) as problem:
+            raise ValueError("bad pid") from problem
+    files = _slices_named_after(path, pids) if named_files and pids else path
+    playlists = playlists_of(read_slices(spark, files))
     if pids is not None:
-        pids = [int(pid) for pid in pids if 0 <= int(pid) < cards.ID_LIMIT]
-        glob = _files_of(pids)
-    elif start is not None and str(start).isdigit() and str(end).isdigit():
-        low = int(start) - int(start) % IDS_PER_FILE
-        if int(end) - low <= NAMED_FILES * IDS_PER_FILE:
-            glob = _files_of(list(range(low, int(end), IDS_PER_FILE)))
-    playlists = playlists_of(read_slices(spark, path, glob))
-    if pids is not None:
-        playlists = cards.lookup_pids(playlists, pids)
-    elif start is not None:
-        playlists = cards.lookup_pid_range(playlists, start, end)
+        playlists = cards.lookup(playlists, pids, limit)
     return CARDS[style](playlists)

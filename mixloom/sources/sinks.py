@@ -10,22 +10,9 @@ def write_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_submission(
-    submission: DataFrame,
-    path: str,
-    compression: str | None = None,
-    one_file_up_to: int = 0,
-) -> None:
-    """CSV with a header, optionally compressed (``gzip``).
-
-    A single part file is written only where the row count is checked to be at
-    most ``one_file_up_to``; a larger result keeps its partitions, because one
-    task must not carry all of it.
-    """
-    if one_file_up_to:
-        few = submission.limit(one_file_up_to + 1).count() <= one_file_up_to
-        if few:
-            submission = submission.coalesce(1)
+def write_submission(submission: DataFrame, path: str, compression: str | None = None) -> None:
+    """CSV with a header, optionally compressed (``gzip``), a part file for each
+    partition."""
     writer = submission.write.mode("overwrite").option("header", True)
     if compression:
         writer = writer.option("compression", compression)

@@ -28,9 +28,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables, below the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/mixloom-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; never one that exists already."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the scratch folder; never one that exists already."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all this application has staged; DataFrames that still read it fail then."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df):

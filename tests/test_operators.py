@@ -119,7 +119,21 @@ def test_split_is_disjoint_complete_and_independent_of_partitions(spark, skewed,
     sides = by_group.groupBy("g").agg(F.count_distinct("is_test").alias("n"))
     assert {row.n for row in sides.collect()} == {1}
     with pytest.raises(ValueError):
-        split.key_bucket(["g"], algorithm="crc")
+        split.key_hash(["g"], algorithm="crc")
+
+
+@pytest.mark.parametrize("algorithm", ["xxhash64", "md5"])
+def test_a_small_share_gets_its_rows(spark, algorithm):
+    rows = spark.range(50_000)
+    for share, least, most in ((0.0004, 6, 40), (0.9996, 49_960, 49_994)):
+        held = split.heldout_rows(split.mark_test(rows, ["id"], share, 42, algorithm)).count()
+        assert least <= held <= most
+
+
+def test_the_tail_share_holds_over_short_playlists(spark):
+    lists = spark.range(2000).select(F.col("id").alias("pid"), F.expr("transform(sequence(1, 1 + int(id % 6)), i -> struct(string(i) as track_uri))").alias("tracks"))
+    row = split.split_summary(split.hold_out_tail(lists, 0.1)).first()
+    assert row.test_share == pytest.approx(0.1, abs=0.01)
 
 
 def test_split_changes_with_the_seed(skewed):
@@ -419,6 +433,7 @@ def test_lookup(spark, slice_dir):
     assert pids(cards.lookup_pid_range(playlists, "3", "6")) == [3, 4, 5]
     assert pids(cards.lookup_pid_range(playlists, 6, 6)) == []
     for start, end in ((6, 3), (-1, 3), (0, 1_000_001)):
-        assert pids(cards.lookup_pid_range(playlists, start, end)) == []
+        assert pids(cards.lookup_pid_range(playlists, start, end, 1_000_000)) == []
+    assert pids(cards.lookup_pid_range(playlists, 3, 1_000_001)) == list(range(3, 13))
     with pytest.raises(ValueError, match="bad pid"):
         cards.lookup_pid_range(playlists, "a", 3)

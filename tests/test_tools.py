@@ -2,6 +2,7 @@ import collections
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from mixloom.plans import tools
 from tests.conftest import INFO, corpus, playlist
@@ -64,22 +65,40 @@ def named(tmp_path_factory):
     return str(folder)
 
 
-def test_show_opens_the_named_slices_only(spark, named):
-    def pids(df):
-        return sorted({row.pid for row in df.select("pid").collect()})
+def pids(df):
+    return sorted({row.pid for row in df.select("pid").collect()})
 
-    some = tools.show(spark, named, ["100", 2100, -5, 5_000_000, 150])
-    assert pids(some) == [100, 2100]
-    assert sorted(one.rsplit("/", 1)[1] for one in some.inputFiles()) == [
-        "mpd.slice.0-999.json",
-        "mpd.slice.2000-2999.json",
-    ]
-    span = tools.show(spark, named, start="900", end="1200", style="compact")
-    assert pids(span) == [900, 1000, 1100]
-    assert len(span.inputFiles()) == 2
+
+def test_show_finds_an_id_whatever_else_is_asked_for(spark, named, tmp_path):
+    """The same cards alone and among 100 others, in named slices and in others, at any id."""
+    odd = tmp_path / "odd"
+    odd.mkdir()
+    lists = [playlist(pid, [1, 2, 3, 4, 5]) for pid in (5, 7, 1_000_000, 3_000_001)]
+    (odd / "mpd.slice.part-0.json").write_text(json.dumps({"info": INFO, "playlists": lists}))
+    for folder, pid in ((named, 2100), (str(odd), 7), (str(odd), 3_000_001)):
+        alone = sorted(tools.show(spark, folder, [pid]).collect())
+        among = tools.show(spark, folder, [pid, *range(10_000_000, 10_000_100)])
+        assert alone and alone == sorted(among.collect()) == sorted(tools.show(spark, folder).filter(F.col("pid") == pid).collect())
+    assert pids(tools.show(spark, str(odd), start=0, end=20)) == [5, 7]
+    assert pids(tools.show(spark, str(odd), [7, 1_000_000], limit=1_000_000)) == [7]
+
+
+def test_show_takes_ids_and_ranges_together(spark, named):
+    assert pids(tools.show(spark, named, ["900-1101", 100, "2100", "7-3", 5_000_000, -5])) == [100, 900, 1000, 1100, 2100]
+    assert pids(tools.show(spark, named, ["1000-1020", 1989, "99870-99999"])) == [1000]
+    assert pids(tools.show(spark, named, start="900", end="1200", style="compact")) == [900, 1000, 1100]
     assert pids(tools.show(spark, named, start=0, end=900_000, style="raw")) == list(range(0, 3000, 100))
     assert pids(tools.show(spark, named, style="full")) == list(range(0, 3000, 100))
     assert pids(tools.show(spark, named, [])) == []
     assert pids(tools.show(spark, named, start=7, end=3)) == []
-    with pytest.raises(ValueError, match="bad pid"):
-        tools.show(spark, named, start="x", end=3)
+    for bad in ({"start": "x", "end": 3}, {"pids": ["x"]}, {"pids": ["1-2-3"]}, {"pids": ["-5"]}):
+        with pytest.raises(ValueError, match="bad pid"):
+            tools.show(spark, named, **bad)
+
+
+def test_show_opens_the_named_slices_only_on_request(spark, named):
+    some = tools.show(spark, named, ["100", "2100-2101"], named_files=True)
+    assert pids(some) == [100, 2100]
+    assert sorted(one.rsplit("/", 1)[1] for one in some.inputFiles()) == ["mpd.slice.0-999.json", "mpd.slice.2000-2999.json"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        tools.show(spark, named, [100, 9000], named_files=True)
