@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 8192
-QUERY_ROWS = 256
+QUERY_ROWS = 8192
 SEGMENT = 8  # values per segment
 ROUNDS = (0.5, 0.65, 1.0)  # shares of the impacts' range, as points of proof
 TRIED = 32  # vectors scored exactly at a point of proof, to learn the score to beat
