@@ -127,39 +127,36 @@ class Seating:
             self._lay_out(np.where(full, np.minimum(self.customers, 2 * room + 2), room))
             self.sizes[np.repeat(self.begin - begin, room) + np.arange(len(sizes))] = sizes
 
-    def _table_of(self, customer: np.ndarray) -> np.ndarray:
-        """The place of each dish's customer of the given number."""
-        filled = np.cumsum(self.sizes)
-        before = filled[self.begin] - self.sizes[self.begin]
-        return np.searchsorted(filled, before + customer, side="right")
-
     def move(self, weight: np.ndarray, rng: np.random.Generator) -> None:
         """One customer of every dish leaves and is seated again."""
         if not len(self.customers):
             return
         self._make_room()
         draw = rng.random((4, len(self.customers)))
-        left = self._table_of((draw[0] * self.customers).astype(np.int64))
+        filled = np.cumsum(self.sizes)
+        before = filled[self.begin] - self.sizes[self.begin]
+        left = np.searchsorted(filled, before + (draw[0] * self.customers).astype(np.int64), side="right")
         self.sizes[left] -= 1
         self.tables -= self.sizes[left] == 0
         others = self.customers - 1
         opens = draw[1] * (weight + others - self.discount * self.tables) < weight
-        # an old table in proportion to size less discount: by size, kept with chance (size - d) / size
-        chosen = self._table_of((draw[2] * others).astype(np.int64))
-        open_now, waiting = np.flatnonzero(opens), np.flatnonzero(~opens)
-        keep = rng.random(len(waiting))
+        # an old table in proportion to size less discount: found by size, kept with chance
+        # (size - discount) / size, and always where it is the only one
+        filled = np.cumsum(self.sizes)
+        before = filled[self.begin] - self.sizes[self.begin]
+        chosen = left
+        waiting, place, keep = np.flatnonzero(~opens), draw[2], draw[3]
+        place, keep = place[waiting], keep[waiting]
         while len(waiting):
-            at = chosen[waiting]
-            refused = keep * self.sizes[at] >= self.sizes[at] - self.discount
+            at = np.searchsorted(filled, before[waiting] + (place * others[waiting]).astype(np.int64), side="right")
+            chosen[waiting] = at
+            refused = (keep * self.sizes[at] >= self.sizes[at] - self.discount) & (self.tables[waiting] > 1)
             waiting = waiting[refused]
-            if len(waiting):
-                again = self._table_of((rng.random(len(self.customers)) * others).astype(np.int64))
-                chosen[waiting] = again[waiting]
-                keep = rng.random(len(waiting))
+            place, keep = rng.random((2, len(waiting)))
+        open_now = np.flatnonzero(opens)
         if len(open_now):
-            empty = self.sizes == 0
-            first = np.searchsorted(np.flatnonzero(empty), self.begin[open_now])
-            chosen[open_now] = np.flatnonzero(empty)[first]
+            empty = np.flatnonzero(self.sizes == 0)
+            chosen[open_now] = empty[np.searchsorted(empty, self.begin[open_now])]
         self.sizes[chosen] += 1
         self.tables += opens
 
