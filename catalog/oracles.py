@@ -279,9 +279,7 @@ from twice group by pid having count(*) > 1"""
     sql["dq_missing_pids"] = f"""with listed as (select l_orderkey as pid from lineitem)
 {missing_ids("listed", "(select count(*) from orders)")}"""
     number = f"(pid // {shape.SLICE_SIZE})"
-    sql["dq_fields"] = f"""with {NESTED},
-slice as (select distinct {number} as slice_no from nested)
-select 'extra_info_field' as rule, cast(null as bigint) as pid, {PAST}, 'licence' as detail, {ONE}
+    fields = f"""select 'extra_info_field' as rule, cast(null as bigint) as pid, {PAST}, 'licence' as detail, {ONE}
   from slice where slice_no % 3 = 0
 union all select 'missing_info_field', null, null, 'version', 1 from slice where slice_no % 5 = 0
 union all select 'extra_playlist_field', pid, null, 'colour', 1 from nested where pid % 71 = 0
@@ -289,9 +287,26 @@ union all select 'missing_playlist_field', pid, null, 'collaborative', 1 from ne
 union all select 'missing_playlist_field', pid, null, 'tracks', 1 from nested where tracks = 0
 union all select 'extra_track_field', pid, ordinal, 'note', 1 from entry where duration_ms % 9000 = 0
 union all select 'missing_track_field', pid, ordinal, 'album_name', 1 from entry where duration_ms % 11000 = 0"""
+    sql["dq_fields"] = f"with {NESTED}, slice as (select distinct {number} as slice_no from nested) {fields}"
+    sql["dq_damaged"] = f"""with {NESTED},
+whole as (select *, {number} % 4 <> 1 as readable from nested)
+select distinct 'unreadable_slice' || '' as rule, cast(null as bigint) as pid, {PAST}, cast(null as varchar) as detail, {ONE}, {number} as s
+  from whole where not readable
+union all select 'wrong_type', case when pid % 59 <> 0 then pid end, null, 'num_followers', 1, null from whole where readable and pid % 71 = 0
+union all select 'wrong_type', null, null, 'pid', 1, null from whole where readable and pid % 59 = 0
+union all select 'wrong_type', case when pid % 59 <> 0 then pid end, ordinal, 'pos', 1, null
+  from entry where pos = 2 and pid % 53 = 0 and {number} % 4 <> 1"""
+    sql["dq_damaged"] = f"select * exclude (s) from ({sql['dq_damaged']})"
+    doubled = "unnest(case when pid % 499 = 0 then [0, 1] else [0] end) as copy"
+    over_copies = f"{URI_CHECKS} union all {POSITION} union all {NAMES}".replace("from entry", "from entry_twice")
     sql["dq_summary"] = f"""with {NESTED},
-violation as ({playlist_checks("playlist")} union all {URI_CHECKS} union all {POSITION} union all {NAMES}
-union all {missing_ids("playlist", "(select count(*) + 25 from orders)")})
+slice as (select distinct {number} as slice_no from nested),
+twice as (select *, {doubled} from playlist),
+entry_twice as (select *, {doubled} from entry),
+violation as ({playlist_checks("twice")} union all {over_copies}
+union all {missing_ids("playlist", "(select count(*) + 25 from orders)")}
+union all select 'repeated_pid', pid, {PAST}, count(*) || ' times', count(*) - 1 from twice group by pid having count(*) > 1
+union all {fields})
 select rule, cast(sum(errors) as bigint) as errors from violation group by rule"""
 
     sql["ground_truth"] = f"""with {HELD}

@@ -36,7 +36,7 @@ def _slice_dir(spark: SparkSession, sf_dir: str) -> str:
     if path is not None:
         return path
     path = scratch_path(spark, "slice_files")
-    slice_files.write_slices(views.slices(spark, sf_dir).orderBy("slice_no").drop("slice_no"), path)
+    slice_files.write_slices(views.slices(spark, sf_dir), path, order="slice_no")
     return views.keep_path(spark, sf_dir, "slice_files", path)
 
 
@@ -256,11 +256,41 @@ def dq_fields(spark, sf_dir):
     return quality.field_rules(raw)
 
 
+def _damaged_slices(spark, sf_dir) -> str:
+    """Slices as text, some of them cut short, with values of other types in some fields."""
+    path = views.stage_path(spark, sf_dir, "damaged_slices")
+    if path is not None:
+        return path
+    nested = views.nested_playlists(spark, sf_dir)
+    text = F.to_json(F.struct(*nested.columns))
+    for step, field, value in ((71, '"num_followers":[0-9]+', '"num_followers":"many"'), (59, '"pid":[0-9]+', '"pid":"one"'), (53, '"pos":2,', '"pos":2.5,')):
+        text = F.when(F.col("pid") % step == 0, F.regexp_replace(text, field, value)).otherwise(text)
+    number = F.expr(f"pid div {shape.SLICE_SIZE}")
+    lists = nested.select(number.alias("slice_no"), "pid", text.alias("text"))
+    slices = lists.groupBy("slice_no").agg(F.array_sort(F.collect_list(F.struct("pid", "text"))).alias("lists"))
+    body = F.concat(F.lit('{"playlists":['), F.array_join(ids_of("lists", "text"), ","), F.lit("]}"))
+    cut = F.when(F.col("slice_no") % 4 == 1, F.substring(body, 1, 900)).otherwise(body)
+    path = scratch_path(spark, "damaged_slices")
+    writer = slices.select(cut.alias("value")).write.option("maxRecordsPerFile", 1)
+    writer.option("mapreduce.output.basename", "mpd.slice.").text(path)
+    return views.keep_path(spark, sf_dir, "damaged_slices", path)
+
+
+@query
+def dq_damaged(spark, sf_dir):
+    """Unreadable files, without their names, and values of another type."""
+    raw = slice_files.read_raw_slices(spark, _damaged_slices(spark, sf_dir), "mpd.slice.*", damaged="report")
+    found = quality.field_rules(raw).filter("rule in ('unreadable_slice', 'wrong_type')")
+    return found.withColumn("detail", F.when(F.col("rule") == "wrong_type", F.col("detail")))
+
+
 @query
 def dq_summary(spark, sf_dir):
-    nested = views.nested_playlists(spark, sf_dir)
+    """All rules at once: repeated ids, and the field rules over the slices with wrong fields."""
+    nested = _with_repeats(views.nested_playlists(spark, sf_dir))
     n = views.table(spark, sf_dir, "orders").count() + 25
-    return quality.summary(quality.all_violations(nested, n))
+    raw = slice_files.read_raw_slices(spark, _broken_slices(spark, sf_dir), damaged="report")
+    return quality.summary(quality.all_violations(nested, n, raw))
 
 
 # --- ranking ------------------------------------------------------------------

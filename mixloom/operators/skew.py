@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mixloom.storage import cut_lineage
+from mixloom.storage import staged
 
 HOT_KEYS = 256
 HOT_ROWS = 100_000
@@ -76,7 +76,7 @@ def _placed(df: DataFrame, order: list) -> DataFrame:
         .withColumn("_row", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
         .drop("_at")
     )
-    return cut_lineage(placed)
+    return staged(placed, "placed")
 
 
 def dense_numbers(df: DataFrame, order: list, name: str) -> DataFrame:

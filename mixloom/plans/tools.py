@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from mixloom.operators import cards, quality, stats
 from mixloom.operators.flatten import entries_of, playlists_in_file_order, playlists_of
-from mixloom.sources.sinks import write_parquet
+from mixloom.schema import PLAYLIST
 from mixloom.sources.slices import first_slice_paths, read_raw_slices, read_slices
-from mixloom.storage import scratch_path
+from mixloom.storage import staged
 
 # Fixed value: a slice file holds this many ids and is named after them.
 IDS_PER_FILE = 1000
@@ -31,7 +31,7 @@ def _chosen(spark: SparkSession, path: str, first_files: int | None):
 def staged_playlists(spark: SparkSession, path: str, first_files: int | None = None) -> DataFrame:
     """The playlists with ``seen_at``, their place in the corpus, as a written table."""
     slices = read_slices(spark, _chosen(spark, path, first_files))
-    return write_parquet(playlists_in_file_order(slices), scratch_path(spark, "playlists"))
+    return staged(playlists_in_file_order(slices), "playlists")
 
 
 def statistics(spark: SparkSession, path: str, first_files: int | None = None) -> dict:
@@ -76,13 +76,16 @@ def descriptions(spark: SparkSession, path: str, first_files: int | None = None)
 def check(
     spark: SparkSession, path: str, n: int = quality.CORPUS_PLAYLISTS, first_files: int | None = None
 ) -> dict:
-    """All violations, and the number of errors per rule.
+    """All violations, damaged files and values among them, and the errors per rule.
 
-    The violations are written once, as both results read them.
+    The slices are read once, as text; the typed playlists are made from that. The
+    violations are written once, as both results read them.
     """
-    playlists = staged_playlists(spark, path, first_files)
-    raw = read_raw_slices(spark, _chosen(spark, path, first_files))
-    found = write_parquet(quality.all_violations(playlists, n, raw), scratch_path(spark, "violations"))
+    raw = staged(read_raw_slices(spark, _chosen(spark, path, first_files), damaged="report"), "raw-slices")
+    texts = raw.select("file", F.posexplode("playlists").alias("place", "text"))
+    typed = F.from_json("text", PLAYLIST).alias("playlist")
+    playlists = staged(texts.select(F.struct("file", "place").alias("seen_at"), typed).select("seen_at", "playlist.*"), "playlists")
+    found = staged(quality.all_violations(playlists, n, raw), "violations")
     return {"violations": found, "summary": quality.summary(found)}
 
 

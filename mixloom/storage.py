@@ -7,7 +7,7 @@ executor costs a re-read and not the job.
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,7 +45,9 @@ def drop_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def cut_lineage(df):
-    """Write ``df`` to the shared checkpoint folder and go on from the files."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and go on from the files: the lineage ends here,
+    later reads take only the columns they need, and the planner knows the size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

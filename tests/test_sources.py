@@ -1,4 +1,5 @@
 import gzip
+import json
 import os
 
 import pytest
@@ -6,9 +7,10 @@ from pyspark.sql import functions as F
 
 from mixloom import storage
 from mixloom.operators import flatten, stats
-from mixloom.plans import etl
+from mixloom.plans import etl, tools
 from mixloom.schema import slice_schema
 from mixloom.sources import sinks, slices, versions
+from tests.conftest import INFO, playlist
 
 
 def plain_rows(df):
@@ -41,7 +43,7 @@ def test_a_narrow_schema_reads_the_same_values(spark, slice_dir):
 def test_written_slices_match_the_name_pattern(spark, slice_dir, tmp_path):
     read = slices.read_slices(spark, slice_dir)
     path = str(tmp_path / "out")
-    slices.write_slices(read.orderBy("info.slice"), path)
+    slices.write_slices(read.withColumn("number", F.col("info.slice")), path, order="number")
     again = slices.read_slices(spark, path)
     assert sorted(row.info.slice for row in again.collect()) == ["0-999", "1000-1999"]
     assert flatten.flatten_entries(again).count() == flatten.flatten_entries(read).count()
@@ -144,3 +146,47 @@ def test_intermediate_tables_go_to_the_named_folder(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
     assert storage.scratch_path(spark, "x") != storage.scratch_path(spark, "x")
     assert storage.scratch_path(spark, "x").startswith(storage.scratch_dir(spark) + "/")
+
+
+@pytest.fixture(scope="module")
+def damaged_dir(tmp_path_factory):
+    """A good slice, one with values of other types, and one that ends too early."""
+    folder = tmp_path_factory.mktemp("damaged")
+    wrong = {**playlist(2, [1, 2, 3]), "num_followers": "many"}
+    nameless = {**playlist(3, [1, 2, 3]), "pid": "one", "num_edits": 1.5}
+    misplaced = playlist(4, [1, 2, 3])
+    misplaced["tracks"][1]["pos"] = "second"
+    for number, lists in enumerate(([playlist(0, [1]), playlist(1, [2])], [wrong, nameless, misplaced, {**playlist(5, [1]), "tracks": "none"}], [playlist(6, [1])])):
+        text = json.dumps({"info": INFO, "playlists": lists})
+        (folder / f"mpd.slice.{number}.json").write_text(text[: len(text) // 2] if number == 2 else text)
+    return str(folder)
+
+
+def test_damaged_slices_stop_the_job_with_their_name(spark, damaged_dir):
+    with pytest.raises(Exception, match=r"mpd\.slice\.[12]\.json"):
+        flatten.flatten_entries(slices.read_slices(spark, damaged_dir)).collect()
+    with pytest.raises(Exception, match=r"mpd\.slice\.2\.json"):
+        slices.read_raw_slices(spark, damaged_dir).collect()
+    with pytest.raises(ValueError, match="damaged"):
+        slices.read_slices(spark, damaged_dir, damaged="ignore")
+    assert slices.read_slices(spark, damaged_dir, damaged="null").count() == 3
+
+
+def test_check_reports_damage_and_goes_on(spark, damaged_dir):
+    found = tools.check(spark, damaged_dir, 7)["violations"]
+    rows = {(r.rule, r.pid, r.pos, r.detail) for r in found.filter("rule in ('unreadable_slice', 'wrong_type')").collect()}
+    assert rows == {
+        ("unreadable_slice", None, None, "mpd.slice.2.json"), ("wrong_type", 2, None, "num_followers"), ("wrong_type", None, None, "pid"),
+        ("wrong_type", None, None, "num_edits"), ("wrong_type", 4, 1, "pos"), ("wrong_type", 5, None, "tracks"),
+    }
+    assert {r.pid for r in found.filter("rule = 'missing_pid'").collect()} == {3, 6}
+    assert found.filter("rule = 'repeated_pid'").count() == 0
+
+
+def test_file_names_follow_the_order_past_a_thousand(spark, tmp_path):
+    many = spark.range(2500).select(F.col("id").alias("slice_no"), F.struct(F.col("id").cast("string").alias("slice")).alias("info"))
+    path = str(tmp_path / "many")
+    slices.write_slices(many.repartition(1), path, order="slice_no")
+    names = sorted(one for one in os.listdir(path) if one.endswith(".json"))
+    numbers = [int(json.loads(open(os.path.join(path, one)).read())["info"]["slice"]) for one in names]
+    assert numbers == list(range(2500))
