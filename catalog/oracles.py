@@ -150,7 +150,7 @@ METRICS = """round(avg(map_score), 9) as mean_ap, count(map_score) as num_playli
 SUBMISSION = f"""with {RANKED},
 {DECODER}
 select playlist_id, coalesce(string_agg(track_uri, ',' order by rank), '') as recommended_track_uris
-from ranked left join tracks using (track_idx) join playlists using (playlist_idx)
+from playlists left join ranked using (playlist_idx) left join tracks using (track_idx)
 group by playlist_id"""
 
 PAST = "cast(null as int) as pos"
@@ -355,16 +355,37 @@ select playlist_idx, track_idx, cast(1 as float) as count from inter
 where track_idx % 113 <> 0 and track_idx % 7 <> 0"""
     sql["train_summary"] = f"""with {HELD}
 select '20171101_000000' as timestamp, count(*) as num_interactions, 10 as num_iterations, 32 as rank,
-  cast(0.08 as double) as reg_param, cast(20 as double) as alpha, 16 as num_blocks from train"""
-    sql["als_model_roundtrip"] = f"""with {HELD}
-select distinct track_idx as id, 32 as rank from train"""
-
-    sql["recommend_unseen_sizes"] = f"""with {HELD},
-known as (select count(distinct track_idx) as n from train),
+  cast(0.08 as double) as reg_param, cast(20 as double) as alpha, 64 as num_blocks from train"""
+    factors = """(select distinct 'playlist' as side, playlist_idx as id from train
+union all select distinct 'track', track_idx from train)"""
+    sql["als_factor_shapes"] = f"with {HELD} select side, id, 32 as rank, 0 as negative from {factors}"
+    sql["als_model_roundtrip"] = f"with {HELD} select side, id, 32 as rank, 0 as differing from {factors}"
+    known = "known as (select count(distinct track_idx) as n from train)"
+    for name, wanted in (("all", "train"), ("subset", "train where playlist_idx in (select playlist_idx from truth)")):
+        sql[f"recommend_{name}_sizes"] = f"""with {HELD}, {known}
+select distinct playlist_idx, least({K}, n) as tracks, least({K}, n) as distinct_tracks, least({K}, n) as last_rank
+from (select playlist_idx from {wanted}), known"""
+    sql["recommend_unseen_sizes"] = f"""with {HELD}, {known},
 fresh as (
   select playlist_idx, least({K}, (select n from known) - count(*)) as n from train group by playlist_idx)
 select playlist_idx, n as tracks, n as distinct_tracks, cast(0 as bigint) as own_tracks, n as last_rank
 from fresh where n > 0"""
+    scored = "select count(distinct playlist_idx) as n from truth where playlist_idx in (select playlist_idx from train)"
+    sql["als_evaluate_counts"] = f"""with {HELD}
+select n as num_playlists, (select count(distinct playlist_idx) from truth) - n as num_left_out, true as in_range from ({scored})"""
+    sql["als_grid_counts"] = f"""with {HELD}
+select 32 as rank, cast(reg as double) as reg_param, cast(alpha as double) as alpha, n as num_playlists, true as in_range
+from ({scored}), (values (0.08, 20), (0.2, 20), (0.08, 1)) as grid(reg, alpha)"""
+    sql["als_submit_checks"] = f"""with {HELD}, {DECODER}
+select playlist_id, playlist_idx in (select playlist_idx from train) as listed, cast(0 as bigint) as doubled, cast(0 as bigint) as own_uris
+from playlists"""
+    sql["end_to_end_sizes"] = f"""with {pairs(PLACED, 'entry')},
+sized as (
+  select playlist_id, least({K}, (select count(*) from track_dict) - count(*)) as n from pair group by playlist_id)
+select playlist_id, n as uris, n as distinct_uris, cast(0 as bigint) as own_uris from sized"""
+    sql["split_fast_sides"] = sql["split_roundtrip"]
+    totals = ["playlists", "titles", "normalized_titles", "entries", "tracks", "albums", "artists", "mean_length", "with_description"]
+    sql["corpus_totals_within"] = "select " + ", ".join(f"true as {name}" for name in totals)
 
     sql["scan_slices"] = f"""with {PLACED}
 select pid, ordinal, pos, track_uri, track_name, album_uri, album_name, artist_uri, artist_name, duration_ms
@@ -415,6 +436,8 @@ union all select 'version', 'v1' from slice"""
 
     pretty_line = "printf('%3d %s - %s', pos, track_name, album_name)"
     full_line = "printf('   %3d %s - %s - %s', ordinal + 1, track_name, album_name, artist_name)"
+    sql["cards_raw_fields"] = f"""with {NESTED}
+select pid, name, modified_at, num_tracks, duration_ms, tracks, duration from playlist"""
     sql["cards_compact"] = card(short, None)
     sql["cards_pretty"] = card(short, pretty_line)
     sql["cards_full"] = card(long, full_line)

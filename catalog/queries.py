@@ -9,7 +9,7 @@ from mixloom.functions.text import normalize_name
 from mixloom.operators import cards, flatten, quality, ranking, split, stats
 from mixloom.operators.indexing import dictionary
 from mixloom.plans import etl, model, report, run, tools
-from mixloom.schema import slice_schema
+from mixloom.schema import PLAYLIST, slice_schema
 from mixloom.sources import sinks, versions
 from mixloom.sources import slices as slice_files
 from mixloom.storage import scratch_path
@@ -92,6 +92,17 @@ def corpus_totals_approximate(spark, sf_dir):
     )
 
 
+@query
+def corpus_totals_within(spark, sf_dir):
+    """For each sketched total, whether it is within a tenth of the exact one."""
+    described, flat = views.described_playlists(spark, sf_dir), views.entries(spark, sf_dir)
+    exact, sketched = stats.corpus_totals(described, flat), stats.approximate_totals(described, flat)
+    renamed = sketched.select(*[F.col(name).alias(f"{name}_sketched") for name in sketched.columns])
+    both = exact.crossJoin(renamed)  # one row each
+    names = [name for name in exact.columns if name in sketched.columns]
+    return both.select(*[(F.abs(F.col(name) - F.col(f"{name}_sketched")) <= 0.1 * F.col(name)).alias(name) for name in names])
+
+
 @query
 def hist_titles_norm(spark, sf_dir):
     return stats.normalized_titles(views.playlists(spark, sf_dir))
@@ -425,6 +436,13 @@ def split_fast(spark, sf_dir):
     return split.split_summary(marked)
 
 
+@query
+def split_fast_sides(spark, sf_dir):
+    """Per playlist: its rows, and how many sides they are on."""
+    marked = split.mark_test(views.interactions(spark, sf_dir), ["playlist_idx"])
+    return marked.groupBy("playlist_idx").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("is_test").alias("sides"))
+
+
 @query
 def split_holdout_tail(spark, sf_dir):
     return split.hold_out_tail(views.nested_playlists(spark, sf_dir))
@@ -462,28 +480,60 @@ def als_fit_factors(spark, sf_dir):
     )
 
 
+@query
+def als_factor_shapes(spark, sf_dir):
+    """Per factor row: its length, and how many of its values are negative."""
+    return als_fit_factors(spark, sf_dir).select(
+        "side",
+        "id",
+        F.size("features").alias("rank"),
+        F.size(F.filter("features", lambda x: (x < 0) | F.isnan(x))).alias("negative"),
+    )
+
+
 @query
 def train_summary(spark, sf_dir):
-    return model.train_summary(views.train(spark, sf_dir), model.make_als(), "20171101_000000")
+    return model.train_summary(model.als_input(views.train(spark, sf_dir), 64), model.make_als(), "20171101_000000")
+
+
+def _fitted(spark, sf_dir):
+    return model.load_model(_model_path(spark, sf_dir))
+
+
+def _sizes(listed: DataFrame) -> DataFrame:
+    return listed.groupBy("playlist_idx").agg(
+        F.count(F.lit(1)).alias("tracks"),
+        F.count_distinct("track_idx").alias("distinct_tracks"),
+        F.max("rank").cast("bigint").alias("last_rank"),
+    )
 
 
 @query
 def recommend_all(spark, sf_dir):
-    return model.recommend_all(model.load_model(_model_path(spark, sf_dir)), K)
+    return views.stage(spark, sf_dir, "recommend_all", lambda: model.recommend_all(_fitted(spark, sf_dir), K))
+
+
+@query
+def recommend_all_sizes(spark, sf_dir):
+    """Per playlist: the tracks listed, how many are distinct, the last rank."""
+    return _sizes(recommend_all(spark, sf_dir))
 
 
 @query
 def recommend_subset(spark, sf_dir):
     """Lists for the playlists with held-out tracks."""
     wanted = views.truth(spark, sf_dir).select("playlist_idx").distinct()
-    return model.recommend_subset(model.load_model(_model_path(spark, sf_dir)), wanted, K)
+    return model.recommend_subset(_fitted(spark, sf_dir), wanted, K)
+
+
+@query
+def recommend_subset_sizes(spark, sf_dir):
+    return _sizes(recommend_subset(spark, sf_dir))
 
 
 @query
 def recommend_unseen(spark, sf_dir):
-    return model.recommend_unseen(
-        model.load_model(_model_path(spark, sf_dir)), views.train(spark, sf_dir), K
-    )
+    return model.recommend_unseen(_fitted(spark, sf_dir), views.train(spark, sf_dir), K)
 
 
 @query
@@ -501,14 +551,20 @@ def recommend_unseen_sizes(spark, sf_dir):
 
 @query
 def als_evaluate(spark, sf_dir):
-    fitted = model.load_model(_model_path(spark, sf_dir))
-    return report.evaluate(fitted, views.truth(spark, sf_dir), K, views.train(spark, sf_dir))
+    return report.evaluate(_fitted(spark, sf_dir), views.truth(spark, sf_dir), K, views.train(spark, sf_dir))
+
+
+@query
+def als_evaluate_counts(spark, sf_dir):
+    """How many playlists the mean is over, and whether it is a mean of scores."""
+    in_range = (F.col("min_ap") >= 0) & (F.col("mean_ap").between(F.col("min_ap"), F.col("max_ap"))) & (F.col("max_ap") <= 1)
+    return als_evaluate(spark, sf_dir).select("num_playlists", "num_left_out", in_range.alias("in_range"))
 
 
 @query
 def als_submit(spark, sf_dir):
     return report.submit(
-        model.load_model(_model_path(spark, sf_dir)),
+        _fitted(spark, sf_dir),
         views.train(spark, sf_dir),
         views.track_dictionary(spark, sf_dir),
         views.playlist_dictionary(spark, sf_dir),
@@ -518,30 +574,88 @@ def als_submit(spark, sf_dir):
     )
 
 
+def _listed_uris(rows: DataFrame) -> DataFrame:
+    """(playlist_id, track_uri) of a submission; an empty list gives none."""
+    uris = F.filter(F.split("recommended_track_uris", ","), lambda uri: uri != "")
+    return rows.select("playlist_id", F.explode(uris).alias("track_uri"))
+
+
+def _submission_sizes(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """Per playlist of a submission: URIs, distinct ones, own ones; ``own`` has (playlist_id, track_uri)."""
+    listed = _listed_uris(rows).join(own.select("playlist_id", "track_uri", F.lit(1).alias("own")), ["playlist_id", "track_uri"], "left")
+    counted = listed.groupBy("playlist_id").agg(
+        F.count(F.lit(1)).alias("uris"), F.count_distinct("track_uri").alias("distinct_uris"), F.count("own").alias("own_uris")
+    )
+    return rows.select("playlist_id").join(counted, "playlist_id", "left").fillna(0)
+
+
+@query
+def als_submit_checks(spark, sf_dir):
+    """Per playlist: whether the list has 1 to K URIs, how many are doubled, how many its own."""
+    own = views.train(spark, sf_dir).join(views.track_dictionary(spark, sf_dir), "track_idx").join(views.playlist_dictionary(spark, sf_dir), "playlist_idx")
+    sizes = _submission_sizes(als_submit(spark, sf_dir), own)
+    return sizes.select(
+        "playlist_id", F.col("uris").between(1, K).alias("listed"), (F.col("uris") - F.col("distinct_uris")).alias("doubled"), "own_uris"
+    )
+
+
 @query
 def als_model_roundtrip(spark, sf_dir):
-    """Save two time-stamped copies and read the newest."""
+    """Save two time-stamped copies, read the newest, and count per id the factors that are
+    not those saved."""
     root = scratch_path(spark, "models")
-    fitted = model.load_model(_model_path(spark, sf_dir))
+    fitted = _fitted(spark, sf_dir)
     for run_id in ("20171101_000000", "20171102_000000"):
         model.save_version(spark, fitted, root, run_id)
     newest = model.load_newest(spark, root)
-    return newest.itemFactors.select("id", F.size("features").alias("rank"))
+    both = [
+        one.userFactors.withColumn("side", F.lit("playlist")).unionByName(one.itemFactors.withColumn("side", F.lit("track")))
+        for one in (fitted, newest)
+    ]
+    joined = both[0].join(both[1].withColumnRenamed("features", "read"), ["side", "id"], "full")
+    differing = F.size(F.filter(F.zip_with("features", "read", lambda x, y: ~x.eqNullSafe(y)), lambda wrong: wrong))
+    return joined.select("side", "id", F.size("read").alias("rank"), differing.alias("differing"))
 
 
 @query
 def als_grid(spark, sf_dir):
-    grid = [{"rank": 8, "maxIter": 3}, {"rank": 8, "maxIter": 3, "alpha": 1.0}]
-    return model.grid_search(views.train(spark, sf_dir), views.truth(spark, sf_dir), grid, K)
+    """The parameters of the model, and regularisation and alpha around them."""
+    grid = [{}, {"regParam": 0.2}, {"alpha": 1.0}]
+    build = lambda: model.grid_search(views.train(spark, sf_dir), views.truth(spark, sf_dir), grid, K)
+    return views.stage(spark, sf_dir, "als_grid", build)
+
+
+@query
+def als_grid_counts(spark, sf_dir):
+    return als_grid(spark, sf_dir).select("rank", "reg_param", "alpha", "num_playlists", F.col("mean_ap").between(0, 1).alias("in_range"))
+
+
+RUN_ID = "20171101_000000"
+
+
+def _run_path(spark, sf_dir) -> str:
+    """Slices to submission, once per application."""
+    path = views.stage_path(spark, sf_dir, "run")
+    if path is not None:
+        return path
+    path = scratch_path(spark, "run")
+    run.run_all(spark, _slice_dir(spark, sf_dir), path, RUN_ID, k=K)
+    return views.keep_path(spark, sf_dir, "run", path)
 
 
 @query
 def end_to_end(spark, sf_dir):
-    """Slices to submission, with a small model; gives the metrics history."""
-    out = scratch_path(spark, "run")
-    return run.run_all(
-        spark, _slice_dir(spark, sf_dir), out, "20171101_000000", k=K, rank=8, maxIter=3
-    ).drop("training_time")
+    """Slices to submission; gives the metrics history."""
+    path = f"{_run_path(spark, sf_dir)}/metrics"
+    return spark.read.schema(sinks.METRICS_SCHEMA).option("header", True).csv(path).drop("training_time")
+
+
+@query
+def end_to_end_sizes(spark, sf_dir):
+    """Per playlist of the submission: URIs, distinct ones, own ones."""
+    path = _run_path(spark, sf_dir)
+    own = flatten.interactions_of(flatten.clean_entries(_flat_slices(spark, sf_dir)))
+    return _submission_sizes(run.read_submission(spark, path, RUN_ID), own)
 
 
 # --- files --------------------------------------------------------------------
@@ -584,8 +698,7 @@ def split_roundtrip(spark, sf_dir):
 def submission_write(spark, sf_dir):
     path = scratch_path(spark, "submission")
     sinks.write_submission(submission(spark, sf_dir), path, compression="gzip")
-    schema = "playlist_id bigint, recommended_track_uris string"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return sinks.read_submission(spark, path)
 
 
 @query
@@ -638,6 +751,18 @@ def cards_raw(spark, sf_dir):
     return cards.raw_cards(views.nested_playlists(spark, sf_dir))
 
 
+@query
+def cards_raw_fields(spark, sf_dir):
+    """The raw records parsed back."""
+    one = F.from_json("json", PLAYLIST).alias("one")
+    total = F.coalesce(F.aggregate("one.tracks.duration_ms", F.lit(0).cast("bigint"), lambda a, b: a + b), F.lit(0).cast("bigint"))
+    parsed = cards_raw(spark, sf_dir).select(one)
+    return parsed.select(
+        "one.pid", "one.name", "one.modified_at", "one.num_tracks", "one.duration_ms",
+        F.greatest(F.coalesce(F.size("one.tracks"), F.lit(0)), F.lit(0)).cast("bigint").alias("tracks"), total.alias("duration"),
+    )
+
+
 @query
 def show_ids(spark, sf_dir):
     """Ids and ranges in one call, whatever files they are in."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catalog import shape
 from mixloom.operators.flatten import implicit_entries, interactions_of, keep_tracks
 from mixloom.operators.ranking import without_seeds
-from mixloom.operators.skew import HOT_KEYS, dense_numbers, numbers_in_group, skew_join
+from mixloom.operators.skew import dense_numbers, numbers_in_group, skew_join
 from mixloom.operators.split import heldout_rows, mark_test, train_rows
 from mixloom.schema import TRACK_PREFIX
 from mixloom.sources.sinks import write_parquet
@@ -179,7 +179,8 @@ def to_slices(nested: DataFrame) -> DataFrame:
 
 # --- interactions for the ranking and model queries ---------------------------
 
-DEPTH = 20
+DEPTH = 500
+WALK = 1000
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,11 +243,13 @@ def ranked(spark: SparkSession, sf_dir: str, k: int = DEPTH) -> DataFrame:
     def build():
         seeds = train(spark, sf_dir).select("playlist_idx", "track_idx")
         sizes = seeds.groupBy("playlist_idx").agg(F.count(F.lit(1)).alias("n"))
-        walk = sizes.select(
-            "playlist_idx", F.explode(F.sequence(F.lit(1), (F.col("n") + k).cast("int"))).alias("rank")
-        )
-        # Nearly every playlist walks the first ranks: those rows stay in place.
-        first = list(range(1, HOT_KEYS + 1))
+        # In pieces, so that a long walk is never one array.
+        last = (F.col("n") + k).cast("int")
+        begin = F.col("piece") * WALK
+        pieces = sizes.select("playlist_idx", last.alias("last"), F.explode(F.sequence(F.lit(0), F.expr(f"(n + {k} - 1) div {WALK}").cast("int"))).alias("piece"))
+        walk = pieces.select("playlist_idx", F.explode(F.sequence(begin + 1, F.least(begin + WALK, "last"))).alias("rank"))
+        # Every playlist walks the first k ranks: those rows stay in place.
+        first = list(range(1, k + 1))
         return without_seeds(skew_join(walk, popular(spark, sf_dir), "rank", first), seeds, k)
 
     return stage(spark, sf_dir, "ranked", build)

@@ -160,12 +160,14 @@ def score_summary(scored: DataFrame) -> DataFrame:
 def submission(
     ranked: DataFrame, tracks: DataFrame, playlists: DataFrame, k: int = K, hot: list | None = None
 ) -> DataFrame:
-    """(playlist_id, recommended_track_uris): URIs in rank order, comma-joined.
+    """(playlist_id, recommended_track_uris): URIs in rank order, comma-joined, one row for
+    every row of ``playlists``.
 
-    Unknown tracks are left out; a list may then be shorter than ``k``.
+    Unknown tracks are left out; a list may then be shorter than ``k``, and is empty where
+    nothing was recommended.
     """
     named = decode(ranked.filter(F.col("rank") <= k), tracks, "track_idx", "left", hot)
     lists = collect_ranked(named, "track_uri", "uris", k)
-    return lists.join(playlists, "playlist_idx").select(
+    return playlists.join(lists, "playlist_idx", "left").select(
         "playlist_id", F.concat_ws(",", "uris").alias("recommended_track_uris")
     )

@@ -1,13 +1,12 @@
 """The implicit-feedback factor model, on MLlib's ALS."""
 
-from functools import reduce
-
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixloom.operators.ranking import K, ranked_rows, score_summary, scores, without_seeds
+from mixloom.operators.ranking import K, score_summary, scores
+from mixloom.operators.scoring import best_tracks
 from mixloom.sources.versions import data_path, newest_run, note_run
 from mixloom.storage import shared_dir
 
@@ -21,6 +20,7 @@ PARAMETERS = {
     "numItemBlocks": 16,
     "seed": 42,
 }
+ROWS_PER_BLOCK = 1_000_000
 
 
 def als_rows(interactions: DataFrame) -> DataFrame:
@@ -49,9 +49,14 @@ def als_input(interactions: DataFrame, partitions: int | None = None) -> DataFra
     return spread
 
 
+def blocks_for(rows: int) -> int:
+    """Blocks of playlists and of tracks: as many as the parameters say, and more for more
+    rows, since they bound the tasks of a half-iteration."""
+    return max(PARAMETERS["numUserBlocks"], -(-rows // ROWS_PER_BLOCK))
+
+
 def make_als(**overrides) -> ALS:
-    """Non-negative implicit ALS. More blocks suit more cores: ``numUserBlocks``
-    and ``numItemBlocks`` bound the parallelism of a half-iteration."""
+    """Non-negative implicit ALS."""
     return ALS(
         userCol="playlist_idx",
         itemCol="track_idx",
@@ -63,59 +68,59 @@ def make_als(**overrides) -> ALS:
     )
 
 
-def fit(interactions: DataFrame, **overrides) -> ALSModel:
-    """Fit on the cleaned interactions. The shared checkpoint folder cuts the
+def fit_rows(rows: DataFrame, **overrides) -> ALSModel:
+    """Fit on the result of :func:`als_input`. The shared checkpoint folder cuts the
     lineage of the factors every few iterations (``checkpointInterval``)."""
-    shared_dir(interactions.sparkSession)
+    shared_dir(rows.sparkSession)
+    blocks = blocks_for(rows.count())
+    return make_als(**{"numUserBlocks": blocks, "numItemBlocks": blocks, **overrides}).fit(rows)
+
+
+def fit(interactions: DataFrame, **overrides) -> ALSModel:
+    """Fit on the cleaned interactions."""
     rows = als_input(interactions)
     try:
-        return make_als(**overrides).fit(rows)
+        return fit_rows(rows, **overrides)
     finally:
         rows.unpersist()
 
 
-def train_summary(interactions: DataFrame, als: ALS, run_at: str) -> DataFrame:
-    """What a run is fitted on and its parameters, one row."""
-    return interactions.agg(F.count(F.lit(1)).alias("num_interactions")).select(
+def train_summary(rows: DataFrame, als: ALS, run_at: str) -> DataFrame:
+    """What a run is fitted on and its parameters, one row. ``rows`` is the result of
+    :func:`als_input`; ``num_blocks`` is the number of its partitions."""
+    partitions = rows.rdd.getNumPartitions()
+    return rows.agg(F.count(F.lit(1)).alias("num_interactions")).select(
         F.lit(run_at).alias("timestamp"),
         "num_interactions",
         F.lit(als.getMaxIter()).alias("num_iterations"),
         F.lit(als.getRank()).alias("rank"),
         F.lit(als.getRegParam()).alias("reg_param"),
         F.lit(als.getAlpha()).alias("alpha"),
-        F.lit(als.getNumUserBlocks()).alias("num_blocks"),
+        F.lit(partitions).alias("num_blocks"),
     )
 
 
+def _factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
+    return model.userFactors.withColumnRenamed("id", "playlist_idx"), model.itemFactors.withColumnRenamed("id", "track_idx")
+
+
 def recommend_all(model: ALSModel, k: int = K) -> DataFrame:
     """(playlist_idx, rank, track_idx) of the best ``k`` tracks for every playlist."""
-    return ranked_rows(model.recommendForAllUsers(k))
+    return best_tracks(*_factors(model), k)
 
 
 def recommend_subset(model: ALSModel, playlists: DataFrame, k: int = K) -> DataFrame:
     """The same for the playlists of a ``playlist_idx`` column; the cost grows with them."""
-    return ranked_rows(model.recommendForUserSubset(playlists.select("playlist_idx"), k))
+    users, items = _factors(model)
+    return best_tracks(users.join(playlists.select("playlist_idx"), "playlist_idx", "left_semi"), items, k)
 
 
 def recommend_unseen(model: ALSModel, seeds: DataFrame, k: int = K) -> DataFrame:
-    """The best ``k`` tracks that are not among a playlist's own.
-
-    A playlist with s seeds needs the best k + s to be sure of k. Playlists are
-    taken in classes of s up to k, 2k, 4k, …, so one with very many seeds
-    deepens the lists of its own class only. Ordinary playlists all fall in the
-    first class; there are at most 31, as track indices are INT.
-    """
-    sized = seeds.groupBy("playlist_idx").agg(F.count(F.lit(1)).alias("n"))
-    doublings = F.ceil(F.log2(F.greatest(F.col("n") / k, F.lit(1.0)))).cast("int")
-    sized = sized.select("playlist_idx", doublings.alias("size_class"))
-    classes = [row[0] for row in sized.select("size_class").distinct().collect()]
-    if not classes:
-        return recommend_all(model, k).limit(0)
-    deep = [
-        recommend_subset(model, sized.filter(F.col("size_class") == one), k + k * 2**one)
-        for one in sorted(classes)
-    ]
-    return without_seeds(reduce(DataFrame.unionByName, deep), seeds, k)
+    """The best ``k`` tracks that are not among a playlist's own, for the playlists of
+    ``seeds`` that the model knows."""
+    users, items = _factors(model)
+    pairs = seeds.select("playlist_idx", "track_idx")
+    return best_tracks(users.join(pairs.select("playlist_idx"), "playlist_idx", "left_semi"), items, k, pairs)
 
 
 def save_model(model: ALSModel, path: str) -> None:
@@ -143,15 +148,15 @@ def grid_search(train: DataFrame, validation: DataFrame, grid: list, k: int = K)
     over all of ``train`` and ``validation``.
     """
     spark = train.sparkSession
-    results = []
+    rows, results = als_input(train), []
+    wanted = validation.select("playlist_idx").distinct()
     for parameters in grid:
-        model = fit(train, **parameters)
-        wanted = validation.select("playlist_idx").distinct()
-        ranked = recommend_subset(model, wanted, k)
+        ranked = recommend_subset(fit_rows(rows, **parameters), wanted, k)
         row = score_summary(scores(ranked, validation, k)).first()
         als = make_als(**parameters)
         results.append(
             (als.getRank(), als.getRegParam(), als.getAlpha(), row["mean_ap"], row["num_playlists"])
         )
+    rows.unpersist()
     schema = "rank int, reg_param double, alpha double, mean_ap double, num_playlists bigint"
     return spark.createDataFrame(results, schema).orderBy(F.desc_nulls_last("mean_ap"))

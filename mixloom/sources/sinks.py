@@ -1,6 +1,6 @@
 """Writers: Parquet stages, the submission CSV, the metrics history."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,14 @@ def write_submission(submission: DataFrame, path: str, compression: str | None =
     writer.csv(path)
 
 
+SUBMISSION_SCHEMA = "playlist_id bigint, recommended_track_uris string"
+
+
+def read_submission(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of :func:`write_submission`; CSV reads an empty list as null, here it is empty."""
+    return spark.read.schema(SUBMISSION_SCHEMA).option("header", True).csv(path).fillna("", ["recommended_track_uris"])
+
+
 def append_run_metrics(metrics: DataFrame, path: str, run_at: str, training_seconds: float) -> None:
     """Add one row to the metrics history.
 

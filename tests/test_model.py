@@ -1,8 +1,12 @@
+import json
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mixloom.operators import ranking, split
+from mixloom.operators import ranking, scoring, split
 from mixloom.plans import model, report, run
+from tests.conftest import INFO, playlist
 
 
 @pytest.fixture(scope="module")
@@ -103,9 +107,16 @@ def test_evaluate_and_submit(spark, planted, tmp_path):
     assert fresh.mean_ap > with_seeds.mean_ap
     tracks = fitted.itemFactors.select(F.col("id").alias("track_idx"), F.concat(F.lit("spotify:track:"), "id").alias("track_uri"))
     playlists = fitted.userFactors.select(F.col("id").alias("playlist_idx"), F.col("id").cast("bigint").alias("playlist_id"))
-    rows = report.submit(fitted, seeds, tracks, playlists, str(tmp_path / "s"), 10, "gzip", 1000).collect()
+    rows = report.submit(fitted, seeds, tracks, playlists, str(tmp_path / "s"), 10, "gzip").collect()
     assert len(rows) == 120
     assert {len(row.recommended_track_uris.split(",")) for row in rows} == {10}
+    # A wanted playlist without factors or seeds has an empty row; no other is scored.
+    unknown = spark.createDataFrame([(900, 900)], "playlist_idx int, playlist_id bigint")
+    wanted = spark.createDataFrame([(3,), (900,), (77777,)], "playlist_id bigint")
+    some = report.submit(fitted, seeds, tracks, playlists.unionByName(unknown), str(tmp_path / "w"), 10, None, wanted)
+    whole = {row.playlist_id: row.recommended_track_uris for row in rows}
+    assert {row.playlist_id: row.recommended_track_uris for row in some.collect()} == {3: whole[3], 900: ""}
+    assert with_seeds.num_left_out == 0
 
 
 def test_grid_orders_by_quality(planted):
@@ -120,8 +131,34 @@ def test_grid_orders_by_quality(planted):
 
 def test_train_summary(spark, planted):
     train, _, _ = planted
-    row = model.train_summary(train, model.make_als(), "now").first()
-    assert (row.timestamp, row.num_interactions, row.rank, row.num_blocks) == ("now", train.count(), 32, 16)
+    rows = model.als_input(train, 7)
+    row = model.train_summary(rows, model.make_als(), "now").first()
+    assert (row.timestamp, row.num_interactions, row.rank, row.num_blocks) == ("now", train.count(), 32, 7)
+    rows.unpersist()
+    assert (model.blocks_for(10), model.blocks_for(50_000_000)) == (16, 50)
+
+
+def test_best_tracks_equal_sorted_products(spark):
+    """Several blocks of both sides, ties, negative scores, own tracks, a playlist that has all."""
+    rng = np.random.default_rng(2)
+    users, items = rng.integers(-2, 3, (9, 3)).astype(float), rng.integers(-2, 3, (40, 3)).astype(float)
+    own = {(p, int(t)) for p in range(8) for t in rng.integers(0, 40, 6)} | {(8, t) for t in range(40)}
+    frames = [
+        spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(matrix)], f"{name} int, features array<float>")
+        for matrix, name in ((users, "playlist_idx"), (items, "track_idx"))
+    ]
+    seeds = spark.createDataFrame([*own, (99, 1), (1, 99)], "playlist_idx int, track_idx int")
+    for left_out, frame in ((own, seeds), (set(), None)):
+        wanted = [
+            (p, rank, t)
+            for p in range(9)
+            for rank, t in enumerate(sorted((t for t in range(40) if (p, t) not in left_out), key=lambda t: (-(users[p] @ items[t]), t))[:7], start=1)
+        ]
+        for block in (5, 32_768):
+            scoring.TRACK_BLOCK, before = block, scoring.TRACK_BLOCK
+            got = scoring.best_tracks(*frames, 7, frame).collect()
+            scoring.TRACK_BLOCK = before
+            assert sorted(tuple(row) for row in got) == wanted
 
 
 def test_run_all(spark, slice_dir, tmp_path):
@@ -133,6 +170,33 @@ def test_run_all(spark, slice_dir, tmp_path):
     rows = history.orderBy("timestamp").collect()
     assert [row.timestamp for row in rows] == ["20240101_000000", "20240102_000000"]
     assert all(row.num_playlists > 0 and row.training_time > 0 for row in rows)
-    lists = spark.read.option("header", True).csv(f"{out}/submission").collect()
-    assert lists and all(one.startswith("spotify:track:") for row in lists for one in row.recommended_track_uris.split(","))
-    assert model.load_newest(spark, f"{out}/models").rank == 2
+    newest = run.load_run(spark, out)
+    lists = run.read_submission(spark, out, "20240102_000000").collect()
+    assert {row.playlist_id for row in lists} == {row.playlist_id for row in newest["playlist_indexer"].collect()}
+    uris = [one for row in lists for one in row.recommended_track_uris.split(",") if one]
+    assert uris and all(one.startswith("spotify:track:") for one in uris)
+    assert newest["model"].rank == 2
+
+
+def test_an_older_run_keeps_its_own_dictionaries(spark, tmp_path):
+    """A later run over another corpus must not change how an older model decodes."""
+    out = str(tmp_path / "out")
+    for stamp, first in (("1", 0), ("2", 500)):
+        folder = tmp_path / f"slices{stamp}"
+        folder.mkdir()
+        lists = [playlist(pid, [first + (pid + j) % 12 for j in range(6)]) for pid in range(10)]
+        (folder / "mpd.slice.0-999.json").write_text(json.dumps({"info": INFO, "playlists": lists}))
+        run.run_all(spark, str(folder), out, stamp, k=3, test_share=0.3, rank=2, maxIter=1, numUserBlocks=2, numItemBlocks=2)
+    for stamp, first in (("1", 0), ("2", 500)):
+        older = run.load_run(spark, out, stamp)
+        ranked = model.recommend_all(older["model"], 12)
+        uris = {row.track_uri for row in ranking.decode(ranked, older["track_indexer"], "track_idx", hot=[]).collect()}
+        assert uris == {f"spotify:track:{n}" for n in range(first, first + 12)}
+    assert run.load_run(spark, out)["track_indexer"].first().track_uri.startswith("spotify:track:5")
+
+
+def test_wanted_playlists_alone_are_submitted(spark, slice_dir, tmp_path):
+    out = str(tmp_path / "wanted")
+    wanted = spark.createDataFrame([(0,), (7,), (4321,)], "playlist_id bigint")
+    run.run_all(spark, slice_dir, out, "1", k=5, test_share=0.4, wanted=wanted, rank=2, maxIter=1, numUserBlocks=2, numItemBlocks=2)
+    assert {row.playlist_id for row in run.read_submission(spark, out, "1").collect()} == {0, 7}
