@@ -3,6 +3,7 @@
 from catalog import shape, views
 from mixloom.functions.text import DROPPED
 from mixloom.operators.quality import LATEST_CHANGE
+from mixloom.operators.ranking import CHUNK
 from mixloom.operators.split import RANGES
 
 K = views.DEPTH
@@ -22,38 +23,43 @@ def norm(text: str) -> str:
     return f"trim(regexp_replace(translate(lower({text}), '{DROPPED}', '{blanks}'), '{SPACES}', ' ', 'g'))"
 
 
-FLAT = f"""flat as (
-  select l_orderkey as pid, {ORDER}, {ENTRY}
-  from lineitem join part on p_partkey = l_partkey)"""
-
-HEADS = f"""head as (
-  select o_orderkey as pid, {HEAD}, {MODIFIED} as modified_at, text as description
-  from orders left join documents on doc_id = o_orderkey)"""
-
 # Not materialized: sharing this table among many branches hits an internal error
 # of DuckDB 2.0.0 ("dict-surviving cache") in some runs. The rows are the same.
-PLACED = f"""placed as not materialized (
+LINES = f"""placed as not materialized (
   select *, row_number() over (partition by l_orderkey order by {ORDER}) - 1 as place
-  from lineitem),
-entry as not materialized (
-  select l_orderkey, l_orderkey + (place // {shape.CHUNK}) * {shape.NEXT_CHUNK} as pid,
-    cast(place % {shape.CHUNK} as int) as ordinal,
+  from lineitem)"""
+PID = f"l_orderkey + (place // {shape.CHUNK}) * {shape.NEXT_CHUNK}"
+
+FLAT_ONLY = f"""flat as (
+  select {PID} as pid, {ORDER}, {ENTRY}
+  from placed join part on p_partkey = l_partkey)"""
+FLAT = f"{LINES}, {FLAT_ONLY}"
+
+# A playlist is an order, or each chunk of a long one.
+HEADS_ONLY = f"""chunks as (select distinct l_orderkey, {PID} as chunk_pid from placed),
+head as (
+  select coalesce(chunk_pid, o_orderkey) as pid, {HEAD}, {MODIFIED} as modified_at, text as description
+  from orders left join chunks on l_orderkey = o_orderkey left join documents on doc_id = o_orderkey)"""
+HEADS = f"{LINES}, {HEADS_ONLY}"
+
+ENTRIES_ONLY = f"""entry as not materialized (
+  select {PID} as pid, cast(place % {shape.CHUNK} as int) as ordinal,
     cast(place % {shape.CHUNK}
       + case when l_suppkey % 37 = 0 and l_partkey % 5 = 0 then 1 else 0 end as bigint) as pos,
     {ENTRY}
   from placed join part on p_partkey = l_partkey)"""
+PLACED = f"{LINES}, {ENTRIES_ONLY}"
 
-NESTED = f"""{HEADS},
-{PLACED},
+NESTED = f"""{LINES}, {HEADS_ONLY}, {ENTRIES_ONLY},
 sized as (
-  select l_orderkey, pid as chunk_pid, count(*) as tracks, count(distinct album_uri) as albums,
+  select pid, count(*) as tracks, count(distinct album_uri) as albums,
     count(distinct artist_uri) as artists, cast(sum(duration_ms) as bigint) as duration
   from entry group by all),
 nested as (
-  select coalesce(chunk_pid, pid) as pid, name, description, collaborative, modified_at,
+  select head.pid, name, description, collaborative, modified_at,
     num_followers, num_edits, coalesce(tracks, 0) as tracks, coalesce(albums, 0) as albums,
     coalesce(artists, 0) as artists, coalesce(duration, 0) as duration
-  from head left join sized on l_orderkey = head.pid),
+  from head left join sized on sized.pid = head.pid),
 playlist as (
   select *,
     tracks + case when pid % 97 = 0 then 1 else 0 end as num_tracks,
@@ -63,11 +69,11 @@ playlist as (
   from nested)"""
 
 SIZED = f"""{HEADS},
-counted as (select l_orderkey, count(*) as n from lineitem group by 1),
+counted as (select {PID} as line_pid, count(*) as n from placed group by 1),
 sized_playlist as (
   select pid, name, collaborative, num_followers, num_edits, modified_at,
     coalesce(n, 0) + case when pid % 97 = 0 then 1 else 0 end as num_tracks
-  from head left join counted on l_orderkey = pid)"""
+  from head left join counted on line_pid = pid)"""
 
 DICTIONARIES = """playlist_dict as (
   select playlist_id, cast(row_number() over (order by playlist_id) - 1 as int) as playlist_idx
@@ -238,9 +244,9 @@ where copy = 1"""
   (select count(distinct artist_uri) from flat) as artists,
   round((select count(*) from flat) / (select count(*) from head), 9) as mean_length"""
     sql["corpus_totals"] = (
-        f"with {HEADS}, {FLAT} select {plain}, (select count(description) from head) as with_description"
+        f"with {HEADS}, {FLAT_ONLY} select {plain}, (select count(description) from head) as with_description"
     )
-    sql["corpus_totals_plain"] = f"with {HEADS}, {FLAT} select {plain}"
+    sql["corpus_totals_plain"] = f"with {HEADS}, {FLAT_ONLY} select {plain}"
 
     label = "track_name || ' by ' || artist_name"
     sql["hist_titles_norm"] = top(HEADS, "head", norm("name"), "title")
@@ -311,9 +317,10 @@ select rule, cast(sum(errors) as bigint) as errors from violation group by rule"
 
     sql["ground_truth"] = f"""with {HELD}
 select playlist_idx, 0 as chunk, string_agg(track_idx, ',' order by track_idx) as tracks from truth group by 1"""
-    sql["salted_collect"] = f"""with {HELD},
+    for name, length in (("salted_collect", CHUNK), ("chunked_collect", 25)):
+        sql[name] = f"""with {HELD},
 placed as (select *, row_number() over (partition by playlist_idx order by track_idx) - 1 as place from train)
-select playlist_idx, cast(place // 25 as int) as chunk, string_agg(track_idx, ',' order by track_idx) as tracks
+select playlist_idx, cast(place // {length} as int) as chunk, string_agg(track_idx, ',' order by track_idx) as tracks
 from placed group by 1, 2"""
     sql["topk_ids"] = f"""with {RANKED}
 select playlist_idx, string_agg(track_idx, ',' order by rank) as track_idxs from ranked group by 1"""

@@ -98,8 +98,9 @@ def corpus_totals_within(spark, sf_dir):
     described, flat = views.described_playlists(spark, sf_dir), views.entries(spark, sf_dir)
     exact, sketched = stats.corpus_totals(described, flat), stats.approximate_totals(described, flat)
     renamed = sketched.select(*[F.col(name).alias(f"{name}_sketched") for name in sketched.columns])
-    both = exact.crossJoin(renamed)  # one row each
     names = [name for name in exact.columns if name in sketched.columns]
+    rows = exact.unionByName(renamed, allowMissingColumns=True)  # one row each
+    both = rows.agg(*[F.max(name).alias(name) for name in rows.columns])
     return both.select(*[(F.abs(F.col(name) - F.col(f"{name}_sketched")) <= 0.1 * F.col(name)).alias(name) for name in names])
 
 
@@ -319,9 +320,13 @@ def ground_truth(spark, sf_dir):
 
 @query
 def salted_collect(spark, sf_dir):
-    lists = ranking.collect_chunks(
-        views.train(spark, sf_dir), "playlist_idx", "track_idx", "tracks", max_len=25
-    )
+    return _listed(ranking.collect_chunks(views.train(spark, sf_dir), "playlist_idx", "track_idx", "tracks"), "tracks")
+
+
+@query
+def chunked_collect(spark, sf_dir):
+    """Lists cut well below their lengths, so that they go on in further rows."""
+    lists = ranking.collect_chunks(views.train(spark, sf_dir), "playlist_idx", "track_idx", "tracks", max_len=25)
     return _listed(lists, "tracks")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catalog import shape
 from mixloom.operators.flatten import implicit_entries, interactions_of, keep_tracks
 from mixloom.operators.ranking import without_seeds
-from mixloom.operators.skew import dense_numbers, numbers_in_group, skew_join
+from mixloom.operators.skew import chunked_lists, dense_numbers, join_small, long_keys, numbers_in_group, skew_join
 from mixloom.operators.split import heldout_rows, mark_test, train_rows
 from mixloom.schema import TRACK_PREFIX
 from mixloom.sources.sinks import write_parquet
@@ -52,38 +52,69 @@ def _tracks(lines: DataFrame, spark: SparkSession, sf_dir: str, *kept) -> DataFr
     )
 
 
+def _long_orders(spark: SparkSession, sf_dir: str) -> DataFrame | None:
+    """(l_orderkey) of the orders with more than ``CHUNK`` lines, None if there are none."""
+    long = stage(spark, sf_dir, "long_orders", lambda: long_keys(table(spark, sf_dir, "lineitem"), "l_orderkey", shape.CHUNK))
+    return long if long.limit(1).count() else None
+
+
+def lines_by_playlist(spark: SparkSession, sf_dir: str, columns: list | None = None) -> DataFrame:
+    """The lines with ``pid``: their order, or for an order of more than ``CHUNK`` lines the
+    chunk of it they fall in. Only lines of such orders are numbered."""
+    lines = table(spark, sf_dir, "lineitem")
+    if columns:
+        lines = lines.select(*columns)
+    long, whole = _long_orders(spark, sf_dir), lines.withColumn("pid", F.col("l_orderkey"))
+    if long is None:
+        return whole
+    cut = numbers_in_group(join_small(lines, long, ["l_orderkey"], "left_semi"), ["l_orderkey"], shape.LINE_ORDER, "line")
+    cut = cut.withColumn("pid", F.col("l_orderkey") + F.expr(f"line div {shape.CHUNK}") * shape.NEXT_CHUNK).drop("line")
+    return join_small(whole, long, ["l_orderkey"], "left_anti").unionByName(cut)
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat entries with ``pid`` = order key and the columns that order them."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("pid", F.col("l_orderkey"))
-    return _tracks(lines, spark, sf_dir, "pid", *shape.LINE_ORDER)
+    """Flat entries with ``pid`` and the columns that order them."""
+    return _tracks(lines_by_playlist(spark, sf_dir), spark, sf_dir, "pid", *shape.LINE_ORDER)
 
 
 SEEN = ["pid", *shape.LINE_ORDER]
 
 
 def playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as a playlist, without totals or description."""
+    """Every order as a playlist, a long one as several, without totals or description."""
+    return _heads(spark, sf_dir).drop("o_orderkey")
+
+
+def _heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     modified = shape.MODIFIED_AT.format(seconds=shape.SPARK_SECONDS)
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("pid"),
+    heads = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
         *[F.expr(sql).alias(name) for name, sql in shape.PLAYLIST.items()],
         F.expr(modified).alias("modified_at"),
     )
+    first = heads.withColumn("pid", F.col("o_orderkey"))
+    if _long_orders(spark, sf_dir) is None:
+        return first
+    further = lines_by_playlist(spark, sf_dir, ["l_orderkey", *shape.LINE_ORDER]).filter("pid <> l_orderkey")
+    chunks = further.select(F.col("l_orderkey").alias("o_orderkey"), "pid").distinct()
+    return first.unionByName(heads.join(chunks, "o_orderkey"))
 
 
 def described_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the whole text of the document of the same number, if there is one."""
+    """With the whole text of the document of the order's number, if there is one."""
+    return _described(spark, sf_dir).drop("o_orderkey")
+
+
+def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("pid"), F.col("text").alias("description")
+        F.col("doc_id").alias("o_orderkey"), F.col("text").alias("description")
     )
-    return playlists(spark, sf_dir).join(texts, "pid", "left")
+    return _heads(spark, sf_dir).join(texts, "o_orderkey", "left")
 
 
 def sized_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With the declared ``num_tracks``, one too many for some."""
-    counts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("pid")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counts = lines_by_playlist(spark, sf_dir, ["l_orderkey", *shape.LINE_ORDER]).groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
     declared = F.coalesce("n", F.lit(0)) + F.when(F.col("pid") % 97 == 0, 1).otherwise(0)
     return playlists(spark, sf_dir).join(counts, "pid", "left").withColumn("num_tracks", declared).drop("n")
 
@@ -91,41 +122,27 @@ def sized_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Playlists with nested tracks, staged.
 
-    An order's lines are numbered without gathering the order in one task, and
-    every ``CHUNK`` lines make one playlist, so the nested list is bounded even
+    Every ``CHUNK`` lines of an order make one playlist, so the nested list is bounded even
     for an order that holds much of the table.
     """
     return stage(spark, sf_dir, "playlists", lambda: _build_nested(spark, sf_dir))
 
 
 def _build_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Only the narrow numeric columns go through the numbering; the names are
-    # joined to the numbered lines.
-    columns = ["l_orderkey", *shape.LINE_ORDER, "l_quantity"]
-    lines = table(spark, sf_dir, "lineitem").select(*columns)
-    numbered = numbers_in_group(lines, ["l_orderkey"], shape.LINE_ORDER, "line")
-    chunk = F.expr(f"line div {shape.CHUNK}")
     # Some entries state a place that is not theirs.
-    wrong = F.when((F.col("l_suppkey") % 37 == 0) & (F.col("l_partkey") % 5 == 0), 1).otherwise(0)
-    numbered = numbered.select(
-        "*",
-        (F.col("l_orderkey") + chunk * shape.NEXT_CHUNK).alias("pid"),
-        (F.col("line") % shape.CHUNK).alias("place"),
-    ).withColumn("pos", F.col("place") + wrong)
-    tracks = _tracks(numbered, spark, sf_dir, F.col("l_orderkey").alias("o_orderkey"), "pid", "place", "pos")
-    track = F.struct("pos", *shape.ENTRY)
-    grouped = (
-        tracks.groupBy("o_orderkey", "pid")
-        .agg(F.array_sort(F.collect_list(F.struct("place", track.alias("track")))).alias("placed"))
-        .withColumn("tracks", F.transform("placed", lambda one: one["track"]))
-        .drop("placed")
-    )
-    heads = described_playlists(spark, sf_dir).withColumnRenamed("pid", "o_orderkey")
-    # Most orders have one chunk; the several of a large one are rows like any
-    # other, which a run-time skew split may divide.
-    joined = heads.join(grouped, "o_orderkey", "left").withColumn(
-        "pid", F.coalesce("pid", "o_orderkey")
+    wrong = F.when((F.col("l_suppkey") % 37 == 0) & (F.col("l_partkey") % 5 == 0), 1).otherwise(0).alias("wrong")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *shape.LINE_ORDER, "l_quantity")
+    tracks = _tracks(lines, spark, sf_dir, "l_orderkey", *shape.LINE_ORDER, wrong)
+    track = F.struct("wrong", *shape.ENTRY)
+    grouped = chunked_lists(tracks, "l_orderkey", shape.LINE_ORDER, track, "listed", shape.CHUNK)
+    grouped = grouped.select(
+        (F.col("l_orderkey") + F.col("chunk") * F.lit(shape.NEXT_CHUNK)).alias("pid"),
+        F.transform(
+            "listed",
+            lambda one, place: F.struct((place + one["wrong"]).cast("bigint").alias("pos"), *[one[name].alias(name) for name in shape.ENTRY]),
+        ).alias("tracks"),
     )
+    joined = described_playlists(spark, sf_dir).join(grouped, "pid", "left")
     size = F.greatest(F.coalesce(F.size("tracks"), F.lit(0)), F.lit(0))
 
     def distinct(name):

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixloom.functions.arrays import average_precision, ids_of
-from mixloom.operators.skew import hot_keys, numbers_in_group, skew_join
+from mixloom.operators.skew import chunked_lists, hot_keys, skew_join
 
 K = 500
+CHUNK = 10_000  # values in one collected list
 
 
 def ranked_rows(recommendations: DataFrame) -> DataFrame:
@@ -53,17 +54,13 @@ def collect_ranked(ranked: DataFrame, value: str, name: str, k: int = K) -> Data
     return ranked.filter(F.col("rank") <= k).groupBy("playlist_idx").agg(values.alias(name))
 
 
-def collect_chunks(df: DataFrame, key: str, value: str, name: str, max_len: int = 10_000) -> DataFrame:
+def collect_chunks(df: DataFrame, key: str, value: str, name: str, max_len: int = CHUNK) -> DataFrame:
     """(key, chunk, name[]): the values of each key in order.
 
     A key with at most ``max_len`` values has the one row ``chunk = 0``; a longer
-    list goes on in further rows, so no row and no task holds an unbounded list.
-    Values must be unique per key.
+    list goes on in further rows. Values must be unique per key.
     """
-    cut = numbers_in_group(df.select(key, value), [key], [value], "place").withColumn(
-        "chunk", F.floor(F.col("place") / max_len).cast("int")
-    )
-    return cut.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(value)).alias(name))
+    return chunked_lists(df.select(key, value), key, [value], F.col(value), name, max_len)
 
 
 def decode(ranked: DataFrame, dictionary: DataFrame, key: str, how: str = "inner", hot: list | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """Joins and numberings that stay even when one key holds much of the data."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixloom.storage import staged
@@ -125,3 +125,28 @@ def numbers_in_group(df: DataFrame, group: list, order: list, name: str) -> Data
         .withColumn(name, F.coalesce("_start", F.lit(0)) + F.col("_inside"))
         .drop("_part", "_row", "_inside", "_start")
     )
+
+
+def long_keys(df: DataFrame, key: str, max_len: int) -> DataFrame:
+    """Staged (key): the keys with more than ``max_len`` rows."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return staged(counts.filter(F.col("_n") > max_len).select(key), "long-keys")
+
+
+def chunked_lists(df: DataFrame, key: str, order: list, value: Column, name: str, max_len: int) -> DataFrame:
+    """(key, chunk, name[]): the values of each key in ``order``, at most ``max_len`` to a row.
+
+    Nearly all keys are short: they are collected in one shuffle and have the one row
+    ``chunk = 0``. Only the rows of longer keys are numbered, through range partitions, and
+    cut, so no task and no row ever holds an unbounded list. ``order`` must be unique within
+    a key, and keys not null.
+    """
+    placed = F.struct(*order, value.alias("_value"))
+    listed = F.transform(F.array_sort(F.collect_list(placed)), lambda one: one["_value"]).alias(name)
+    long = long_keys(df, key, max_len)
+    if not long.limit(1).count():
+        return df.groupBy(key).agg(listed).select(key, F.lit(0).alias("chunk"), name)
+    short = join_small(df, long, [key], "left_anti").groupBy(key).agg(listed).select(key, F.lit(0).alias("chunk"), name)
+    numbered = numbers_in_group(join_small(df, long, [key], "left_semi"), [key], order, "_place")
+    chunk = F.floor(F.col("_place") / max_len).cast("int").alias("chunk")
+    return short.unionByName(numbered.groupBy(key, chunk).agg(listed))
