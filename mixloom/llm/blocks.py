@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.storage import scratch_path
+from mixloom.storage import staged
 
 BLOCK_BYTES = 4 << 20
 #: The upper bits of a block's number are those of the partition that wrote it.
@@ -86,9 +86,7 @@ def stage_blocks(docs: DataFrame, text_col: str = "text", block_bytes: int = BLO
             yield pa.RecordBatch.from_arrays(columns, ["block", "payload"])
             number += 1
 
-    path = scratch_path(docs.sparkSession, "blocks")
-    docs.mapInArrow(run, "block long, payload binary").write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return staged(docs.mapInArrow(run, "block long, payload binary"), "blocks")
 
 
 class Words:

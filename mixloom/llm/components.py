@@ -3,13 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.storage import scratch_path
-
-
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from mixloom.storage import staged
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,15 +15,15 @@ def components(links: DataFrame) -> DataFrame:
     minima are taken before rows move. Only the count of changed labels reaches the driver.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = _staged(both.filter("a <> b").distinct(), "links")
-    labels = _staged(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    edges = staged(both.filter("a <> b").distinct(), "links")
+    labels = staged(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
         heard = edges.join(labels, edges["b"] == labels["node"]).select(F.col("a").alias("node"), "label")
-        lowest = _staged(heard.unionByName(labels).groupBy("node").agg(F.min("label").alias("label")), "labels")
+        lowest = staged(heard.unionByName(labels).groupBy("node").agg(F.min("label").alias("label")), "labels")
         further = lowest.select(F.col("node").alias("label"), F.col("label").alias("next"))
         jumped = lowest.join(further, "label").select("node", F.least("label", "next").alias("label"))
         before = labels.select("node", F.col("label").alias("before"))
-        labels = _staged(jumped.join(before, "node"), "labels")
+        labels = staged(jumped.join(before, "node"), "labels")
         changed = labels.filter("label <> before").limit(1).count()
         labels = labels.select("node", "label")
         if not changed:

@@ -41,8 +41,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.llm.blocks import Words, by_bucket, mix, pack, runs_hash, sub_batches, text_bytes, unpack
-from mixloom.llm.components import _staged, components
+from mixloom.llm.components import components
 from mixloom.operators.skew import join_small
+from mixloom.storage import staged
 
 BUCKET_BYTES = 8 << 20
 BAND_RATIO = 0.85
@@ -431,7 +432,7 @@ def _close_enough(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return _staged(join_small(docs, ids, ["doc_id"], "inner"), "candidate-texts")
+    return staged(join_small(docs, ids, ["doc_id"], "inner"), "candidate-texts")
 
 
 def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -440,20 +441,20 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     is its smallest document."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = int(min(1 << 24, max(16, text_bytes(docs) // BUCKET_BYTES)))
-    info = _staged(set_info(docs, words), "set-info")
+    info = staged(set_info(docs, words), "set-info")
     named = info.filter("doc_id is not null and n_shingles > 0")
-    classes = _staged(
+    classes = staged(
         named.groupBy("digest").agg(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("band").alias("band"), F.first("sketch").alias("sketch")
         ),
         "set-classes",
     )
-    members = _staged(named.join(classes.select("digest", "rep"), "digest").select("doc_id", "rep"), "set-members")
-    found = _staged(candidate_pairs(docs, words, percent, buckets), "set-pairs")
+    members = staged(named.join(classes.select("digest", "rep"), "digest").select("doc_id", "rep"), "set-members")
+    found = staged(candidate_pairs(docs, words, percent, buckets), "set-pairs")
 
     left, right = members.select(F.col("doc_id").alias("a"), F.col("rep").alias("rep_a")), members.select(F.col("doc_id").alias("b"), F.col("rep").alias("rep_b"))
     paired = found.filter("star is not null").distinct().join(left, "a").join(right, "b").filter("rep_a <> rep_b")
-    stars = _staged(paired.filter("star").select(F.col("rep_a").alias("star"), F.col("rep_b").alias("doc_id")).distinct(), "set-stars")
+    stars = staged(paired.filter("star").select(F.col("rep_a").alias("star"), F.col("rep_b").alias("doc_id")).distinct(), "set-stars")
     one, two = classes.select(*[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "sketch")]), classes.select(*[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "sketch")])
     ordered = paired.select(F.least("rep_a", "rep_b").alias("rep_a"), F.greatest("rep_a", "rep_b").alias("rep_b")).distinct()
     whole_band = (
@@ -462,14 +463,14 @@ def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         .select(F.least("rep_a", "rep_b").alias("rep_a"), F.greatest("rep_a", "rep_b").alias("rep_b"))
     )
     sized = ordered.unionByName(whole_band).distinct().join(one, "rep_a").join(two, "rep_b").withColumnsRenamed({"rep_a": "a", "rep_b": "b"})
-    close = _staged(_close_enough(sized, percent), "set-close")
+    close = staged(_close_enough(sized, percent), "set-close")
     texts = _texts(docs, close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     with_texts = close.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
     )
     several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).filter("a < most")
     one_id = members.join(several, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
-    links = _staged(similar_pairs(with_texts, words, percent).unionByName(one_id), "set-links")
+    links = staged(similar_pairs(with_texts, words, percent).unionByName(one_id), "set-links")
     labels = components(links)
     more = _undecided_links(docs, stars, labels, words, percent)
     if more is not None:
@@ -487,9 +488,9 @@ def _undecided_links(docs: DataFrame, stars: DataFrame, labels: DataFrame, words
     of_member = labels.withColumnRenamed("node", "doc_id")
     of_star = labels.select(F.col("node").alias("star"), F.col("label").alias("star_label"))
     judged = stars.join(of_member, "doc_id", "left").join(of_star, "star", "left")
-    judged = _staged(judged.select("star", "doc_id", label.alias("label"), (label != F.coalesce("star_label", "star")).alias("undecided")), "set-stars")
+    judged = staged(judged.select("star", "doc_id", label.alias("label"), (label != F.coalesce("star_label", "star")).alias("undecided")), "set-stars")
     sizes = judged.groupBy("star").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("undecided").cast("long")).alias("u")).filter("u > 0")
-    sizes = _staged(sizes.select("star", F.ceil(F.col("n") / MEMBERS).alias("n"), F.ceil(F.col("u") / MEMBERS).alias("u")), "star-sizes")
+    sizes = staged(sizes.select("star", F.ceil(F.col("n") / MEMBERS).alias("n"), F.ceil(F.col("u") / MEMBERS).alias("u")), "star-sizes")
     if not sizes.limit(1).count():
         return None
     rows = judged.join(sizes, "star")
@@ -502,12 +503,12 @@ def _undecided_links(docs: DataFrame, stars: DataFrame, labels: DataFrame, words
     )
     texts = _texts(docs, rows.select("doc_id").distinct())
     blocks = asking.unionByName(asked).join(texts, "doc_id")
-    return _staged(star_links(blocks, words, percent), "star-links")
+    return staged(star_links(blocks, words, percent), "star-links")
 
 
 def near_duplicates_dropped(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and others) without those of documents that link, over
     any number of links, with a document of a smaller id. Rows with a null id stay."""
     found = ngram_components(docs, words, percent)
-    later = _staged(found.filter("component_id < doc_id").select("doc_id").distinct(), "later-copies")
+    later = staged(found.filter("component_id < doc_id").select("doc_id").distinct(), "later-copies")
     return join_small(docs, later, ["doc_id"], "left_anti")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.llm.blocks import Words, by_bucket, from_payload, pack, stage_blocks, text_bytes, unpack
-from mixloom.storage import scratch_path
+from mixloom.storage import staged
 
 FOLDS = 10
 BUCKET_BYTES = 8 << 20
@@ -251,7 +251,7 @@ class PitmanYor:
     """The model of one corpus, learned from its training documents."""
 
     def __init__(self, docs: DataFrame, seed: int = 7, contexts: int = CONTEXTS):
-        self.spark, self.seed = docs.sparkSession, seed
+        self.seed = seed
         self.buckets = int(max(16, text_bytes(docs) // BUCKET_BYTES))
         self.blocks = stage_blocks(docs)
         self._choose_contexts(contexts)
@@ -298,9 +298,8 @@ class PitmanYor:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "block", "packet"])
 
         sent = self.blocks.mapInArrow(send, "bucket int, block long, packet binary")
-        path = scratch_path(self.spark, "model-parts")
-        sent.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("block", "packet"))).alias("parts")).write.parquet(path)
-        return self.spark.read.parquet(path)
+        parts = F.sort_array(F.collect_list(F.struct("block", "packet"))).alias("parts")
+        return staged(sent.groupBy("bucket").agg(parts), "model-parts")
 
     def _sums(self, of) -> np.ndarray:
         """The sum over all buckets of the array that ``of`` gives for one; its size is fixed."""

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.operators.skew import join_small
-from mixloom.storage import scratch_path
+from mixloom.storage import staged
 
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -149,10 +149,7 @@ def certified_levels(rows: DataFrame, labels: DataFrame, risk: float, error: flo
     seen = rows.filter(~F.col("base_failed")).join(good, "doc_id", "left_semi")
     counts = [F.sum((F.col("level") <= j).cast("int")).alias(f"k{j}") for j in range(len(LEVELS))]
     by_stratum = seen.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), *counts)
-    spark = rows.sparkSession
-    path = scratch_path(spark, "quality-strata")
-    by_stratum.write.parquet(path)
-    strata = spark.read.parquet(path)
+    strata = staged(by_stratum, "quality-strata")
     allowed = error / max(1, strata.count())
     p_values = F.array(*[binomial_tail(F.col("n_good"), F.col(f"k{j}"), risk) for j in range(len(LEVELS))])
     fails = F.array_position(F.transform(p_values, lambda p: p > allowed), F.lit(True)).cast("int")
@@ -162,10 +159,7 @@ def certified_levels(rows: DataFrame, labels: DataFrame, risk: float, error: flo
 def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.1) -> DataFrame:
     """The measures and verdict of every document: ``kept`` is false where a base rule fails
     or a certified level of the document's stratum rejects it."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "quality-measures")
-    judged(measured(docs)).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = staged(judged(measured(docs)), "quality-measures")
     levels = certified_levels(rows, labels, risk, error)
     key, none = F.coalesce(F.concat(F.lit("="), F.col("stratum")), F.lit("")), F.lit(0)
     found = join_small(rows.withColumn("_key", key), levels.select(key.alias("_key"), "certified"), ["_key"], "left")
@@ -177,6 +171,5 @@ def rejected_dropped(docs: DataFrame, labels: DataFrame, risk: float = 0.02, err
     """The rows of ``docs`` (doc_id, text, lang and others) without those of ids whose every row
     is rejected. Rows with a null id stay."""
     judged_rows = quality_rules(docs, labels, risk, error).filter("doc_id is not null")
-    path = scratch_path(docs.sparkSession, "quality-rejected")
-    judged_rows.groupBy("doc_id").agg(F.max("kept").alias("any")).filter("not any").select("doc_id").write.parquet(path)
-    return join_small(docs, docs.sparkSession.read.parquet(path), ["doc_id"], "left_anti")
+    rejected = judged_rows.groupBy("doc_id").agg(F.max("kept").alias("any")).filter("not any").select("doc_id")
+    return join_small(docs, staged(rejected, "quality-rejected"), ["doc_id"], "left_anti")

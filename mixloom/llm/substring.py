@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mixloom.llm.blocks import Words, by_bucket, from_payload, mix, pack, runs_hash, stage_blocks, text_bytes, unpack
-from mixloom.storage import scratch_path
+from mixloom.llm.blocks import Words, by_bucket, from_payload, pack, runs_hash, stage_blocks, text_bytes, unpack
+from mixloom.storage import staged
 
 K = 13
 ANCHOR_WORDS = 6
@@ -137,16 +137,11 @@ class Substrings:
     """The four steps over one set of blocks; columns ``id_col`` and ``text_col``."""
 
     def __init__(self, docs: DataFrame, k: int, id_col: str, text_col: str):
-        self.spark, self.k = docs.sparkSession, k
+        self.k = k
         self.windows = partial(Windows, id_col=id_col, text_col=text_col, k=k)
         self.buckets = int(min(1 << 24, max(16, text_bytes(docs, text_col) // BUCKET_BYTES)))
         self.blocks = stage_blocks(docs, text_col)
 
-    def _staged(self, df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
-
     def shared_anchors(self) -> DataFrame:
         """(block, packets): each block's anchors that at least two documents have."""
         buckets, windows = self.buckets, self.windows
@@ -248,7 +243,7 @@ class Substrings:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
         schema = "block long, start int, windows int, source_doc long, source_block long, source_start int"
-        return self._staged(edges.mapInArrow(compact, schema), "repeated-paths")
+        return staged(edges.mapInArrow(compact, schema), "repeated-paths")
 
     def sources_digested(self, paths: DataFrame) -> DataFrame:
         """(block, start, digest) of each path, of the words at its source."""

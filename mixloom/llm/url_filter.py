@@ -8,8 +8,8 @@ two log-likelihoods divided by its characters; it is accepted at the calibrated
 above.
 
 Training takes at most ``max_per_class`` distinct URLs of each class, those with the
-smallest hashes outside the calibration fold; that bounds the models, which go to the
-executors. Scores, the calibration (all rule-judged URLs of the fold) and verdicts cover
+smallest hashes outside the calibration fold and of at most ``MAX_TRAINING_CHARS``
+characters; that bounds the models, which go to the executors. Every URL is scored whole. Scores, the calibration (all rule-judged URLs of the fold) and verdicts cover
 every row. The cutoff is the one with the highest sum of the two classes' rates of right
 verdicts over a fixed grid of scores; of equal ones, the lowest.
 
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mixloom.storage import scratch_path
+from mixloom.storage import staged
 
 #: (verdict, host, path)
 RULES = [
@@ -42,6 +42,7 @@ FOLDS = 5
 GRID = 100  # steps of the cutoff for one unit of score
 REACH = 20  # scores beyond plus or minus this count as this
 REMEMBERED = 200_000
+MAX_TRAINING_CHARS = 2048
 
 
 def split_url(rows: DataFrame) -> DataFrame:
@@ -71,7 +72,8 @@ def _in_fold() -> Column:
 
 def training_urls(judged: DataFrame, max_per_class: int) -> DataFrame:
     """At most ``max_per_class`` distinct URLs of each class, of the smallest hashes."""
-    labelled = judged.filter(F.col("rule_verdict").isNotNull() & (F.col("url") != "") & ~_in_fold())
+    usable = (F.col("url") != "") & (F.char_length("url") <= MAX_TRAINING_CHARS)
+    labelled = judged.filter(F.col("rule_verdict").isNotNull() & usable & ~_in_fold())
     distinct = labelled.select("url", "rule_verdict").distinct()
     by_hash = [F.xxhash64("url", F.lit("training")), F.col("url")]
     classes = [distinct.filter(F.col("rule_verdict") == c).orderBy(*by_hash).limit(max_per_class) for c in ("allow", "block")]
@@ -185,9 +187,7 @@ def filter_urls(pages: DataFrame, rules=RULES, order: int = 4, max_per_class: in
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "score"])
 
     schema = "page_id long, url string, host string, path string, rule string, rule_verdict string, score double"
-    path = scratch_path(spark, "url-scores")
-    judged.mapInArrow(run, schema).write.parquet(path)
-    scored = spark.read.parquet(path)
+    scored = staged(judged.mapInArrow(run, schema), "url-scores")
     cutoff = F.lit(calibrated_cutoff(scored))
     by_model = F.when(F.col("score") >= cutoff, "allow").otherwise("block")
     verdict = F.coalesce("rule_verdict", by_model)

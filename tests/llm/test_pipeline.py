@@ -8,8 +8,14 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from mixloom.llm.ngram_join import ngram_components
 from mixloom.llm.oracles import QUALITY_CTE
+from mixloom.llm.packing import pack_documents
+from mixloom.llm.pitman_yor import language_scores
+from mixloom.llm.quality import quality_rules
 from mixloom.llm.queries import REGISTRY
+from mixloom.llm.substring import repeat_digests
+from mixloom.llm.word_bpe import code_digests
 from tests.llm.test_coding import check_pieces
 from tests.llm.test_repeats import brute_components, kept_words
 
@@ -65,3 +71,19 @@ def test_hostile_tables(spark, tmp_path):
     pieces = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
     assert {p["doc_id"] for p in pieces} == {None, 3}
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_very_long_texts(spark):
+    """One text of a few MB among short ones goes through every operator on documents."""
+    long = " ".join(f"w{(i * i) % 99_991}" for i in range(400_000))
+    docs = spark.createDataFrame([(1, long, "en"), (2, long, "en"), (3, "a short one", "en"), (4, "x" * 2_000_000, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    judged = {r["doc_id"]: r for r in quality_rules(docs, labels).collect()}
+    assert judged[1]["n_words"] == 400_000 and judged[4]["word_chars"] == 2_000_000
+    assert {r["doc_id"]: r["component_id"] for r in ngram_components(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert {r["doc_id"]: r["n_removed"] for r in repeat_digests(docs).collect()} == {1: 0, 2: 400_000, 3: 0, 4: 0}
+    assert {r["doc_id"]: r["n_tokens"] for r in language_scores(docs).collect()} == {1: 400_001, 2: 400_001, 3: 4, 4: 2}
+    pieces = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert sum(p["length"] for p in pieces if p["doc_id"] == 1) == next(p["doc_tokens"] for p in pieces if p["doc_id"] == 1)
+    coded = {r["doc_id"]: r["n_tokens"] for r in code_digests(docs, public_tokenizers.path("word_bpe_49k.json")).collect()}
+    assert coded[1] == coded[2] > 400_000 and coded[4] > 0
