@@ -8,7 +8,7 @@ to executors. Packets are compressed arrays in a binary column, for rows that wo
 more than what they say.
 """
 
-import pickle
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +26,39 @@ BLOCK_BYTES = 4 << 20
 BLOCK_BITS = 32
 
 
-def pack(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, 5))
+#: Packets of at least this many bytes are compressed; smaller ones cost a few bytes an array.
+COMPRESSED_FROM = 512
+HEAD = struct.Struct("<cI")
+
+
+def pack(*items: np.ndarray | bytes | None) -> bytes:
+    """One packet of flat arrays, byte strings and absent items. A packet of a few entries
+    stays small, as there are many of those where buckets are many."""
+    out = bytearray()
+    for item in items:
+        if item is None:
+            out += HEAD.pack(b"-", 0)
+        elif isinstance(item, bytes):
+            out += HEAD.pack(b"=", len(item)) + item
+        else:
+            data = np.ascontiguousarray(item).tobytes()
+            out += HEAD.pack(item.dtype.char.encode(), len(data)) + data
+    if len(out) < COMPRESSED_FROM:
+        return b"\0" + bytes(out)
+    return b"\1" + zstandard.ZstdCompressor(level=1).compress(bytes(out))
 
 
 def unpack(packet: bytes) -> tuple:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(packet))
+    """The items of a packet; its arrays are read-only."""
+    data = packet[1:] if packet[:1] == b"\0" else zstandard.ZstdDecompressor().decompress(packet[1:])
+    items, at = [], 0
+    while at < len(data):
+        kind, size = HEAD.unpack_from(data, at)
+        at += HEAD.size
+        body = data[at : at + size]
+        items.append(None if kind == b"-" else body if kind == b"=" else np.frombuffer(body, kind.decode()))
+        at += size
+    return tuple(items)
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:

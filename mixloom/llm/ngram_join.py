@@ -274,27 +274,33 @@ def candidate_pairs(docs: DataFrame, words: int, percent: int, buckets: int) ->
                 for bucket, at in by_bucket((key >> np.uint64(40)) % np.uint64(buckets), buckets):
                     docs_here, counts = _run_lengths(owner[at])
                     low = (key[at] & LOW_40).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-                    packets.setdefault(bucket, [None, None])[side] = (low, docs_here, counts.astype(np.uint16 if counts.max() < 65536 else np.int64))
-            rows = [(bucket, pack(*packet, [])) for bucket, packet in packets.items()]
+                    narrow = counts.astype(np.uint16 if counts.max() < 65536 else np.int64)
+                    packets.setdefault(bucket, [None] * 6)[3 * side : 3 * side + 3] = low, docs_here, narrow
+            rows = [(bucket, pack(*packet, None)) for bucket, packet in packets.items()]
             if uncovered:
-                rows.append((0, pack(None, None, uncovered)))
+                rows.append((0, pack(*[None] * 6, np.array(uncovered, np.int64).reshape(-1))))
             yield _batch(PACKET, [[r[0] for r in rows], [r[1] for r in rows]])
 
     def meet(group: pa.Table) -> pa.Table:
         sides: list[tuple[list, list]] = [([], []), ([], [])]
-        uncovered: list[tuple[int, int]] = []
+        uncovered = [np.zeros(0, np.int64)]
         for packet in group.column("packet").to_pylist():
             *parts, bands = unpack(packet)
-            uncovered += bands
-            for side, part in enumerate(parts):
-                if part is not None:
-                    wide = np.zeros((len(part[0]) // 5, 8), np.uint8)
-                    wide[:, :5] = np.frombuffer(part[0], np.uint8).reshape(-1, 5)
-                    sides[side][0].append(wide.view("<i8").reshape(-1))
-                    sides[side][1].append(np.repeat(part[1], part[2]))
-        (index, held), (probe, asking) = ((np.concatenate(k) if k else np.zeros(0, np.int64), np.concatenate(o) if o else np.zeros(0, np.int64)) for k, o in sides)
-        bands = _batch(PAIR, [[u[0] for u in uncovered], [u[1] for u in uncovered], [None] * len(uncovered)])
-        return pa.Table.from_batches([_batch(PAIR, list(_meet(index, held, probe, asking))), bands])
+            if bands is not None:
+                uncovered.append(bands)
+            for keys, owners in sides:
+                low, docs_here, counts = parts[:3]
+                parts = parts[3:]
+                if low is not None:
+                    wide = np.zeros((len(low) // 5, 8), np.uint8)
+                    wide[:, :5] = np.frombuffer(low, np.uint8).reshape(-1, 5)
+                    keys.append(wide.view("<i8").reshape(-1))
+                    owners.append(np.repeat(docs_here, counts))
+        none = np.zeros(0, np.int64)
+        (index, held), (probe, asking) = ([np.concatenate([none, *part]) for part in side] for side in sides)
+        found = _batch(PAIR, list(_meet(index, held, probe, asking)))
+        sets, bands = np.concatenate(uncovered).reshape(-1, 2).T
+        return pa.Table.from_batches([found, _batch(PAIR, [sets, bands, [None] * len(sets)])])
 
     return docs.mapInArrow(send, "bucket int, packet binary").groupBy("bucket").applyInArrow(meet, "a long, b long, star boolean")
 

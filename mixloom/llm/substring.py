@@ -246,26 +246,31 @@ class Substrings:
         return staged(edges.mapInArrow(compact, schema), "repeated-paths")
 
     def sources_digested(self, paths: DataFrame) -> DataFrame:
-        """(block, start, digest) of each path, of the words at its source."""
+        """(source_block, source_start, windows, digest) of the words at the sources of paths.
+        Paths with one source ask once, so a source that most blocks repeat is no hot row."""
         windows = self.windows
-        asked = paths.groupBy("source_block").agg(F.collect_list(F.struct("block", "start", "source_start", "windows")).alias("asked"))
+        wanted = paths.select("source_block", "source_start", "windows").distinct()
+        asked = wanted.groupBy("source_block").agg(F.collect_list(F.struct("source_start", "windows")).alias("asked"))
+        names = ["source_block", "source_start", "windows", "digest"]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for payload, asked in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                columns = (batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist())
+                for block, payload, asked in zip(*columns, strict=True):
                     w = windows(payload.as_py())
-                    rows = [(a["block"], a["start"], w.digest(a["source_start"], a["windows"])) for a in asked]
-                    yield _rows(["block", "start", "digest"], [pa.int64(), pa.int32(), pa.binary()], rows)
+                    rows = [(block, a["source_start"], a["windows"], w.digest(a["source_start"], a["windows"])) for a in asked]
+                    yield _rows(names, types, rows)
 
-        joined = self.blocks.join(asked, self.blocks["block"] == asked["source_block"]).select("payload", "asked")
-        return joined.mapInArrow(run, "block long, start int, digest binary")
+        joined = self.blocks.join(asked, self.blocks["block"] == asked["source_block"]).select("block", "payload", "asked")
+        return joined.mapInArrow(run, "source_block long, source_start int, windows int, digest binary")
 
     def finished(self, paths: DataFrame, finish, schema) -> DataFrame:
         """``finish(windows, removed)`` for each block, where ``removed`` marks the words that
         a verified path covers in a document other than its source."""
         windows, k = self.windows, self.k
         digests = self.sources_digested(paths)
-        own = paths.join(digests, ["block", "start"]).groupBy("block").agg(
+        own = paths.join(digests, ["source_block", "source_start", "windows"]).groupBy("block").agg(
             F.collect_list(F.struct("start", "windows", "source_doc", "digest")).alias("paths")
         )
 

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from mixloom.llm import pitman_yor as py
 from mixloom.llm import topk
+from mixloom.llm.blocks import pack, unpack
 
 LOW = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -164,6 +165,15 @@ def test_few_vectors_and_none(spark):
     assert topk.exact_top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_packets():
+    for n in (0, 3, 5000):
+        items = [np.arange(n, dtype=t) for t in (np.uint8, np.uint16, np.uint32, np.uint64, np.int32, np.int64, np.float32, np.float64)]
+        got = unpack(pack(*items, None, b"x" * n, np.ones(n, bool)))
+        assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(items, got[:8], strict=True))
+        assert got[8] is None and got[9] == b"x" * n and got[10].dtype == bool and got[10].sum() == n
+    assert len(pack(np.array([1], np.uint64), np.array([1], np.uint16))) < 24
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 2**32), st.integers(1, 300), st.integers(1, 20), st.sampled_from([1, 3, 140, 10**9]))
 def test_index_is_exact(seed, n, dims, reach):
