@@ -226,7 +226,9 @@ def _batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-INFO = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("band", pa.int64()), ("digest", pa.binary()), ("sketch", pa.binary())])
+INFO = pa.schema(
+    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("band", pa.int64()), ("digest", pa.binary()), ("sketch", pa.binary())]
+)
 PACKET = pa.schema([("bucket", pa.int32()), ("packet", pa.binary())])
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("star", pa.bool_())])
 
@@ -245,13 +247,13 @@ def set_info(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, band long, digest binary, sketch binary")
 
 
-def candidate_pairs(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+def candidate_pairs(docs: DataFrame, words: int, percent: int, buckets: int, keys: type = Signatures) -> DataFrame:
     """(a, b, star): pairs that share a key; ``star`` marks those around the smallest document
     of a key with many, which is their ``a``. A null ``star`` says that ``a`` is to be compared
     with the whole band ``b``."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signatures = Signatures(percent)
+        signatures = keys(percent)
         for batch in sub_batches(batches, 1):
             ids = batch.column(0).to_pylist()
             seen: set[bytes] = set()
@@ -263,14 +265,14 @@ def candidate_pairs(docs: DataFrame, words: int, percent: int, buckets: int) ->
                 seen.add(same)
                 asked, bands = signatures.probe(shingles)
                 uncovered += [(doc, band) for band in bands]
-                for side, keys in enumerate((signatures.index(shingles), asked)):
-                    entries[side][0].append(keys)
-                    entries[side][1].append(np.full(len(keys), doc, np.int64))
+                for side, own in enumerate((signatures.index(shingles), asked)):
+                    entries[side][0].append(own)
+                    entries[side][1].append(np.full(len(own), doc, np.int64))
             packets: dict[int, list] = {}
-            for side, (keys, owners) in enumerate(entries):
-                if not keys:
+            for side, (parts, owners) in enumerate(entries):
+                if not parts:
                     continue
-                key, owner = np.concatenate(keys), np.concatenate(owners)
+                key, owner = np.concatenate(parts), np.concatenate(owners)
                 for bucket, at in by_bucket((key >> np.uint64(40)) % np.uint64(buckets), buckets):
                     docs_here, counts = _run_lengths(owner[at])
                     low = (key[at] & LOW_40).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
@@ -288,21 +290,22 @@ def candidate_pairs(docs: DataFrame, words: int, percent: int, buckets: int) ->
             *parts, bands = unpack(packet)
             if bands is not None:
                 uncovered.append(bands)
-            for keys, owners in sides:
+            for found, owners in sides:
                 low, docs_here, counts = parts[:3]
                 parts = parts[3:]
                 if low is not None:
                     wide = np.zeros((len(low) // 5, 8), np.uint8)
                     wide[:, :5] = np.frombuffer(low, np.uint8).reshape(-1, 5)
-                    keys.append(wide.view("<i8").reshape(-1))
+                    found.append(wide.view("<i8").reshape(-1))
                     owners.append(np.repeat(docs_here, counts))
         none = np.zeros(0, np.int64)
         (index, held), (probe, asking) = ([np.concatenate([none, *part]) for part in side] for side in sides)
-        found = _batch(PAIR, list(_meet(index, held, probe, asking)))
+        pairs = _batch(PAIR, list(_meet(index, held, probe, asking)))
         sets, bands = np.concatenate(uncovered).reshape(-1, 2).T
-        return pa.Table.from_batches([found, _batch(PAIR, [sets, bands, [None] * len(sets)])])
+        return pa.Table.from_batches([pairs, _batch(PAIR, [sets, bands, [None] * len(sets)])])
 
-    return docs.mapInArrow(send, "bucket int, packet binary").groupBy("bucket").applyInArrow(meet, "a long, b long, star boolean")
+    sent = docs.mapInArrow(send, "bucket int, packet binary")
+    return sent.groupBy("bucket").applyInArrow(meet, "a long, b long, star boolean")
 
 
 def _run_lengths(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -441,74 +444,90 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return staged(join_small(docs, ids, ["doc_id"], "inner"), "candidate-texts")
 
 
-def ngram_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """(a, b) with the smaller class first, each pair once."""
+    return pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
+
+
+def ngram_components(
+    docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", keys: type = Signatures
+) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``. Two documents link when
     their shingle sets have a Jaccard similarity of ``percent`` / 100 or more; a component's id
-    is its smallest document."""
+    is its smallest document. ``keys`` makes the index and probe keys of a set."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     buckets = int(min(1 << 24, max(16, text_bytes(docs) // BUCKET_BYTES)))
+
+    # classes of equal sets, named after their smallest document
     info = staged(set_info(docs, words), "set-info")
     named = info.filter("doc_id is not null and n_shingles > 0")
-    classes = staged(
-        named.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("band").alias("band"), F.first("sketch").alias("sketch")
-        ),
-        "set-classes",
+    firsts = [F.first(column).alias(name) for column, name in (("n_shingles", "n"), ("band", "band"), ("sketch", "sketch"))]
+    classes = staged(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), *firsts), "set-classes")
+    members = named.join(classes.select("digest", "rep"), "digest").select("doc_id", "rep")
+    members = staged(members, "set-members")
+
+    # candidate pairs of classes, of documents that share a key
+    found = staged(candidate_pairs(docs, words, percent, buckets, keys), "set-pairs")
+    class_a = members.select(F.col("doc_id").alias("a"), F.col("rep").alias("rep_a"))
+    class_b = members.select(F.col("doc_id").alias("b"), F.col("rep").alias("rep_b"))
+    paired = found.filter("star is not null").distinct().join(class_a, "a").join(class_b, "b").filter("rep_a <> rep_b")
+    stars = paired.filter("star").select(F.col("rep_a").alias("star"), F.col("rep_b").alias("doc_id")).distinct()
+    stars = staged(stars, "set-stars")
+    asked = found.filter("star is null").select("a", F.col("b").alias("band")).distinct().join(class_a, "a")
+    whole_bands = asked.join(classes.select("band", F.col("rep").alias("rep_b")), "band").filter("rep_a <> rep_b")
+    pairs = _ordered(paired.select("rep_a", "rep_b").unionByName(whole_bands.select("rep_a", "rep_b")))
+
+    # those that sizes and sketches allow, verified on their texts
+    side_a, side_b = (
+        classes.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+        for side in ("a", "b")
     )
-    members = staged(named.join(classes.select("digest", "rep"), "digest").select("doc_id", "rep"), "set-members")
-    found = staged(candidate_pairs(docs, words, percent, buckets), "set-pairs")
-
-    left, right = members.select(F.col("doc_id").alias("a"), F.col("rep").alias("rep_a")), members.select(F.col("doc_id").alias("b"), F.col("rep").alias("rep_b"))
-    paired = found.filter("star is not null").distinct().join(left, "a").join(right, "b").filter("rep_a <> rep_b")
-    stars = staged(paired.filter("star").select(F.col("rep_a").alias("star"), F.col("rep_b").alias("doc_id")).distinct(), "set-stars")
-    one, two = classes.select(*[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "sketch")]), classes.select(*[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "sketch")])
-    ordered = paired.select(F.least("rep_a", "rep_b").alias("rep_a"), F.greatest("rep_a", "rep_b").alias("rep_b")).distinct()
-    whole_band = (
-        found.filter("star is null").select("a", F.col("b").alias("band")).distinct()
-        .join(left, "a").join(classes.select("band", F.col("rep").alias("rep_b")), "band").filter("rep_a <> rep_b")
-        .select(F.least("rep_a", "rep_b").alias("rep_a"), F.greatest("rep_a", "rep_b").alias("rep_b"))
-    )
-    sized = ordered.unionByName(whole_band).distinct().join(one, "rep_a").join(two, "rep_b").withColumnsRenamed({"rep_a": "a", "rep_b": "b"})
-    close = staged(_close_enough(sized, percent), "set-close")
+    close = staged(_close_enough(pairs.join(side_a, "a").join(side_b, "b"), percent), "set-close")
     texts = _texts(docs, close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    with_texts = close.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
+    text_a, text_b = (
+        texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")) for side in ("a", "b")
     )
-    several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).filter("a < most")
-    one_id = members.join(several, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
-    links = staged(similar_pairs(with_texts, words, percent).unionByName(one_id), "set-links")
+    similar = similar_pairs(close.join(text_a, "a").join(text_b, "b"), words, percent)
+    links = staged(similar.unionByName(_shared_ids(members)), "set-links")
+
     labels = components(links)
     more = _undecided_links(docs, stars, labels, words, percent)
     if more is not None:
         labels = components(links.unionByName(more))
-
     rows = info.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
     rows = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.when(F.col("doc_id").isNull(), None).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("label", "rep"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"))
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("label", "rep"))
+    return rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
-def _undecided_links(docs: DataFrame, stars: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame | None:
+def _shared_ids(members: DataFrame) -> DataFrame:
+    """(a, b): links between the classes that one id has rows in."""
+    several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).filter("a < most")
+    return members.join(several, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
+
+
+def _undecided_links(
+    docs: DataFrame, stars: DataFrame, labels: DataFrame, words: int, percent: int
+) -> DataFrame | None:
     """Links inside stars between members that the links so far leave apart; None for none."""
-    label = F.coalesce("label", "doc_id")
+    label, star_label = F.coalesce("label", "doc_id"), F.coalesce("star_label", "star")
     of_member = labels.withColumnRenamed("node", "doc_id")
     of_star = labels.select(F.col("node").alias("star"), F.col("label").alias("star_label"))
     judged = stars.join(of_member, "doc_id", "left").join(of_star, "star", "left")
-    judged = staged(judged.select("star", "doc_id", label.alias("label"), (label != F.coalesce("star_label", "star")).alias("undecided")), "set-stars")
-    sizes = judged.groupBy("star").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("undecided").cast("long")).alias("u")).filter("u > 0")
-    sizes = staged(sizes.select("star", F.ceil(F.col("n") / MEMBERS).alias("n"), F.ceil(F.col("u") / MEMBERS).alias("u")), "star-sizes")
+    judged = judged.select("star", "doc_id", label.alias("label"), (label != star_label).alias("undecided"))
+    judged = staged(judged, "judged-stars")
+    counts = judged.groupBy("star").agg(F.count(F.lit(1)).alias("n"), F.count_if("undecided").alias("u"))
+    blocks = [F.ceil(F.col(name) / MEMBERS).alias(name) for name in ("n", "u")]
+    sizes = staged(counts.filter("u > 0").select("star", *blocks), "star-sizes")
     if not sizes.limit(1).count():
         return None
     rows = judged.join(sizes, "star")
-    place = F.xxhash64("doc_id")
-    asking = rows.filter("undecided").select(
-        "star", F.pmod(place, F.col("u")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"), "undecided", "doc_id", "label"
-    )
-    asked = rows.select(
-        "star", F.explode(F.sequence(F.lit(0), F.col("u") - 1)).alias("i"), F.pmod(place, F.col("n")).alias("j"), F.lit(False).alias("undecided"), "doc_id", "label"
-    )
+    place, every = F.xxhash64("doc_id"), lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    asking = rows.filter("undecided").withColumns({"i": F.pmod(place, F.col("u")), "j": every("n")})
+    asked = rows.withColumns({"i": every("u"), "j": F.pmod(place, F.col("n")), "undecided": F.lit(False)})
+    columns = ["star", "i", "j", "undecided", "doc_id", "label"]
     texts = _texts(docs, rows.select("doc_id").distinct())
-    blocks = asking.unionByName(asked).join(texts, "doc_id")
+    blocks = asking.select(columns).unionByName(asked.select(columns)).join(texts, "doc_id")
     return staged(star_links(blocks, words, percent), "star-links")
 
 

@@ -9,8 +9,9 @@ above.
 
 Training takes at most ``max_per_class`` distinct URLs of each class, those with the
 smallest hashes outside the calibration fold and of at most ``MAX_TRAINING_CHARS``
-characters; that bounds the models, which go to the executors. Every URL is scored whole. Scores, the calibration (all rule-judged URLs of the fold) and verdicts cover
-every row. The cutoff is the one with the highest sum of the two classes' rates of right
+characters; that bounds the models, which go to the executors. Every URL is scored whole;
+scores, the calibration (all rule-judged URLs of the fold) and verdicts cover every row.
+The cutoff is the one with the highest sum of the two classes' rates of right
 verdicts over a fixed grid of scores; of equal ones, the lowest.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and no

@@ -187,10 +187,31 @@ def test_allocation_reaches_its_units():
         assert sum(v + 1 for v in chosen) >= 3 and all(size or v < 0 for size, v in zip(sizes, chosen, strict=True))
 
 
-def test_uncovered_sets_meet_their_band(spark, monkeypatch):
-    """Sets whose segments cannot reach H are compared with the whole band."""
-    found = nj._meet(np.array([], np.int64), np.array([], np.int64), np.array([], np.int64), np.array([], np.int64))
-    assert [len(c) for c in found] == [0, 0, 0]
+class Uncovering(nj.Signatures):
+    """Says of every third set that its segments cover none of its bands."""
+
+    def probe(self, shingles):
+        keys, uncovered = super().probe(shingles)
+        if int(shingles[0]) % 3:
+            return keys, uncovered
+        low, high = nj.band_of(self.similar.smallest_partner(len(shingles)))
+        bands = []
+        while low <= len(shingles):
+            bands.append(low)
+            low, high = nj.band_of(high + 1)
+        return keys[:0], bands
+
+
+def test_uncovered_sets_meet_their_band(spark):
+    rows = [row for size in (6, 20, 90) for row in near_copies(size, size, 15, max(1, size // 20), first=1000 * size)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = nj.ngram_components(frame.repartition(3), keys=Uncovering).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == brute_components(rows)
+
+
+def test_no_keys_meet():
+    none = np.array([], np.int64)
+    assert [len(c) for c in nj._meet(none, none, none, none)] == [0, 0, 0]
 
 
 def test_components(spark):
