@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from mixloom.storage import staged
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: The upper bits of a block's number are those of the partition that wrote it.
 BLOCK_BITS = 32
 

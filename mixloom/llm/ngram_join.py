@@ -45,7 +45,7 @@ from mixloom.llm.components import components
 from mixloom.operators.skew import join_small
 from mixloom.storage import staged
 
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 BAND_RATIO = 0.85
 ONE_DELETION_UP_TO = 24  # largest size of a band with one-deletion keys in its index
 STAR = 32

@@ -39,7 +39,7 @@ from mixloom.llm.blocks import Words, by_bucket, from_payload, pack, stage_block
 from mixloom.storage import staged
 
 FOLDS = 10
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 CONTEXTS = 96
 DISCOUNT, STRENGTH = 0.8, 1.0  # of the context restaurants
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 10.0

@@ -41,7 +41,7 @@ from mixloom.storage import staged
 K = 13
 ANCHOR_WORDS = 6
 #: Text per bucket of anchors and edges.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 LOW_40 = np.uint64((1 << 40) - 1)
 LOW_16 = np.uint64(0xFFFF)
 
