@@ -376,7 +376,9 @@ def test_decode_and_submission(spark, lists):
     assert left.count() == len(rows)
     assert inner.count() == sum(1 for _, _, item in rows if item % 5)
     got = ranking.submission(ranked, tracks, playlists, 10).collect()
-    assert len(got) == len({playlist for playlist, _, _ in rows if playlist < 59})
+    # every playlist of the dictionary has a row, with an empty list where nothing was recommended
+    assert sorted(row.playlist_id for row in got) == list(range(1000, 1059))
+    assert len([row for row in got if row.recommended_track_uris]) == len({playlist for playlist, _, _ in rows if playlist < 59})
     for row in got:
         mine = sorted((rank, item) for playlist, rank, item in rows if playlist + 1000 == row.playlist_id)
         wanted = [f"spotify:track:{item}" for rank, item in mine if rank <= 10 and item % 5]

@@ -26,6 +26,11 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 20
 
 
+def test_workers_get_the_path_of_the_package(spark):
+    QUERIES["hist_edits"](spark, SF)
+    assert entry.HERE in spark.sparkContext.environment["PYTHONPATH"].split(os.pathsep)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF)
