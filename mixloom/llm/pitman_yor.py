@@ -259,7 +259,9 @@ class PitmanYor:
         self._learn()
 
     def _choose_contexts(self, most: int) -> None:
-        """Number the most frequent words, and count the training tokens."""
+        """Number the most frequent words, by their counts among each block's most frequent
+        ones, and count the training tokens. The choice shapes the model; all counts that
+        scores are made of are exact."""
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
