@@ -1,22 +1,24 @@
 """A hierarchical Pitman-Yor language model, sampled on the cluster.
 
-Tokens are lower-cased words and one end per text. Every frequent context (the start of a
-text, and the ``contexts`` most frequent words as the word before) has a restaurant; all of
-them share the root restaurant as parent, whose base is uniform over the known tokens and one
-class for all others. After any other word the root itself predicts. A token is a customer of
-its context's restaurant; each table there sends one customer to the root.
+Tokens are lower-cased words and one end per text. Every context seen in training (the start
+of a text, and every word as the word before) has a restaurant; all of them share the root
+restaurant as parent, whose base is uniform over the known tokens and one class for all others.
+After a word that training never saw the root itself predicts, as in an empty restaurant. A
+token is a customer of its context's restaurant; each table there sends one customer to the
+root.
 
 Seating is sampled by Gibbs: a customer of each dish leaves its table, chosen by table size,
 and is seated anew, at a table in proportion to its size less the discount, or at a new one in
 proportion to strength and parent probability. The totals of a restaurant are frozen during a
 pass, which is what lets dishes be sampled side by side; they are refreshed between passes.
-All contexts of a word are in one bucket, so what its tables send to the root is known there,
-and what passes between buckets are the totals of each restaurant, a fixed number of rows.
+All contexts of a word are in one bucket, so what its tables send to the root is known there.
+What passes between buckets are the totals of each restaurant: a bucket sends its share of
+every context it holds to that context's shard, and gets the sums back in the same order.
 Predictive probabilities are averaged over the samples kept, each with the totals it had.
 
 Blocks of documents send their distinct words with the contexts they follow and training
 counts; buckets answer with counts and log-probabilities in the same order, so no key goes
-back. A frequent word costs a bucket one entry per block.
+back. A frequent word costs its bucket one entry per block and context it follows there.
 
 Random numbers come from the seed and the bucket alone: a task that is run again, and a later
 pass with the same totals, draw the same.
@@ -39,25 +41,28 @@ from mixloom.llm.blocks import Words, by_bucket, from_payload, pack, stage_block
 from mixloom.storage import staged
 
 FOLDS = 10
+OWN_SUMS = -1  # in the place of a bucket's number
 BUCKET_BYTES = 4 << 20
-CONTEXTS = 96
 DISCOUNT, STRENGTH = 0.8, 1.0  # of the context restaurants
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 10.0
 BURN_IN, SAMPLES, MOVES = 3, 3, 3  # sweeps before and at which samples are kept; moves per sweep and dish
-FREQUENT_PER_BLOCK = 4 * CONTEXTS
-END = b"\n"  # no word holds white space
-ALL_TOKENS = b" "
+END = b"\n"  # no word holds white space; also the context at the start of a text
 
 
 def is_held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS == 0
 
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as hold them all."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
 class Block:
     """The token sequences of a block: ``tokens`` (numbers of its dictionary) and the ``cells``
-    (token after context) they fall in. ``contexts`` numbers the context words from 1."""
+    (token after context, numbered alike) they fall in."""
 
-    def __init__(self, payload: bytes, contexts: dict[bytes, int]):
+    def __init__(self, payload: bytes):
         rows = from_payload(payload)
         self.doc_ids = rows.column(0).to_pylist()
         words = Words(rows.column(1).cast(pa.binary()).to_pylist(), lower=True)
@@ -72,20 +77,14 @@ class Block:
         self.doc = np.repeat(np.arange(docs), self.lengths)
         self.held_out = np.array([is_held_out(i) for i in self.doc_ids], bool)
         self.in_training = ~self.held_out[self.doc]
-        self.width = len(contexts) + 2
-        number = np.full(len(self.dictionary), self.width - 1)  # the root itself
-        for k, word in enumerate(self.dictionary):
-            if word in contexts:
-                number[k] = contexts[word]
-        before = np.empty(len(self.tokens), np.int64)
-        before[1:] = number[self.tokens[:-1]]
-        before[last[:-1] + 1] = 0
-        before[:1] = 0
-        self.before = before
+        self.before = np.empty(len(self.tokens), np.int64)
+        self.before[1:] = self.tokens[:-1]  # the end of a text stands before the next one's start
+        self.before[:1] = end
 
     def find_cells(self) -> None:
-        cells, self.cell_of = np.unique(self.tokens * self.width + self.before, return_inverse=True)
-        self.cell_token, self.cell_context = cells // self.width, cells % self.width
+        size = len(self.dictionary)
+        cells, self.cell_of = np.unique(self.tokens * size + self.before, return_inverse=True)
+        self.cell_token, self.cell_context = cells // size, cells % size
         self.cell_train = np.bincount(self.cell_of, self.in_training, len(cells)).astype(np.uint32)
         dictionary = Words.__new__(Words)
         dictionary.dictionary = self.dictionary
@@ -162,21 +161,44 @@ class Seating:
 
 
 class Bucket:
-    """All tokens of one bucket with their contexts, and the sampler over them."""
+    """All tokens of one bucket with their contexts, and the sampler over them.
 
-    def __init__(self, number: int, packets: list[bytes], width: int):
-        self.number, self.width = number, width
+    ``contexts`` are the hashes of its contexts in rising order, and ``width`` is one more than
+    they are: the last number stands for the root itself. Packets with a given ``width`` have
+    the numbers already."""
+
+    def __init__(self, number: int, packets: list[bytes], width: int | None = None):
         parts = [unpack(p) for p in packets]
         hashes, lengths, contexts, train = (np.concatenate([p[c] for p in parts]) for c in range(4))
         self.part_tokens = [len(p[0]) for p in parts]
         self.part_cells = [len(p[2]) for p in parts]
+        self.contexts = np.zeros(0, np.uint64)
+        if width is None:
+            self.contexts, contexts = np.unique(contexts, return_inverse=True)
+            width = len(self.contexts) + 1
         words, self.word_of_entry = np.unique(hashes, return_inverse=True)
         keys = np.repeat(self.word_of_entry, lengths) * width + contexts
         cells, self.cell_of_entry = np.unique(keys, return_inverse=True)
-        self.word, self.context = cells // width, cells % width
-        self.count = np.bincount(self.cell_of_entry, train, len(cells)).astype(np.int64)
-        self.words = len(words)
-        self.known = np.bincount(self.word, self.count, self.words).astype(np.int64)
+        count = np.bincount(self.cell_of_entry, train, len(cells)).astype(np.int64)
+        self._set(number, width, cells // width, cells % width, count, len(words))
+
+    def _set(self, number: int, width: int, word: np.ndarray, context: np.ndarray, count: np.ndarray, words: int) -> None:
+        self.number, self.width, self.words = number, width, words
+        self.word, self.context, self.count = word, context, count
+        self.known = np.bincount(word, count, words).astype(np.int64)
+
+    def cells(self) -> bytes:
+        """What sampling needs of the bucket, without the blocks that asked."""
+        lengths = np.bincount(self.word, minlength=self.words)
+        return pack(self.contexts, lengths.astype(np.uint32), self.context.astype(np.uint32), narrow(self.count))
+
+    @classmethod
+    def from_cells(cls, number: int, packet: bytes) -> "Bucket":
+        self = cls.__new__(cls)
+        self.contexts, lengths, context, count = unpack(packet)
+        word = np.repeat(np.arange(len(lengths)), lengths)
+        self._set(number, len(self.contexts) + 1, word, context.astype(np.int64), count.astype(np.int64), len(lengths))
+        return self
 
     def totals(self) -> np.ndarray:
         """By context: customers and distinct dishes; the last row's dishes are the known words."""
@@ -247,52 +269,41 @@ class Totals:
         return (customers - ROOT_DISCOUNT * tables + self.root_weight()) / (ROOT_STRENGTH + self.root_customers)
 
 
+def received(contexts: np.ndarray, shards: int, answers: list[dict]) -> tuple[bytes | None, list[np.ndarray]]:
+    """The packet a bucket kept, and the sums over all buckets for each of its contexts."""
+    found = {a["shard"]: unpack(a["packet"]) for a in answers}
+    kept = next((items[0] for items in found.values() if items[0] is not None), None)
+    sums = [np.zeros(len(contexts), np.int64) for _ in next(iter(found.values()))[1:]]
+    for shard, at in by_bucket(contexts % np.uint64(shards), shards):
+        for total, part in zip(sums, found[shard][1:], strict=True):
+            total[at] = part
+    return kept, sums
+
+
 class PitmanYor:
     """The model of one corpus, learned from its training documents."""
 
-    def __init__(self, docs: DataFrame, seed: int = 7, contexts: int = CONTEXTS):
+    def __init__(self, docs: DataFrame, seed: int = 7):
         self.seed = seed
         self.buckets = int(max(16, text_bytes(docs) // BUCKET_BYTES))
         self.blocks = stage_blocks(docs)
-        self._choose_contexts(contexts)
         self.parts = self._parts()
         self._learn()
 
-    def _choose_contexts(self, most: int) -> None:
-        """Number the most frequent words, by their counts among each block's most frequent
-        ones, and count the training tokens. The choice shapes the model; all counts that
-        scores are made of are exact."""
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for payload in batch.column(0):
-                    block = Block(payload.as_py(), {})
-                    n = np.bincount(block.tokens, block.in_training, len(block.dictionary)).astype(np.int64)
-                    top = np.argsort(-n[:-1], kind="stable")[:FREQUENT_PER_BLOCK]
-                    top = top[n[top] > 0]
-                    words = [*(block.dictionary[k] for k in top), ALL_TOKENS]
-                    yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([*n[top], n.sum()], pa.int64())], ["word", "n"])
-
-        counts = self.blocks.select("payload").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        found = counts.orderBy(F.desc("n"), "word").limit(most + 1).collect()
-        self.train_tokens = sum(row["n"] for row in found if bytes(row["word"]) == ALL_TOKENS)
-        words = [bytes(row["word"]) for row in found if bytes(row["word"]) != ALL_TOKENS][:most]
-        self.contexts = {word: k for k, word in enumerate(words, start=1)}
-
     def _parts(self) -> DataFrame:
         """Staged (bucket, parts): what all blocks have of a bucket's words, one row each."""
-        contexts, buckets = self.contexts, self.buckets
+        buckets = self.buckets
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for number, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    block = Block(payload.as_py(), contexts)
+                    block = Block(payload.as_py())
                     block.find_cells()
                     rows = []
                     for bucket, tokens, cells in block.parts(buckets):
                         packet = pack(
-                            block.hash[tokens], block.cells_of_token[tokens].astype(np.uint16),
-                            block.cell_context[cells].astype(np.uint16), block.cell_train[cells],
+                            block.hash[tokens], narrow(block.cells_of_token[tokens]),
+                            block.hash[block.cell_context[cells]], narrow(block.cell_train[cells]),
                         )
                         rows.append((bucket, number, packet))
                     columns = list(zip(*rows, strict=True))
@@ -303,54 +314,111 @@ class PitmanYor:
         parts = F.sort_array(F.collect_list(F.struct("block", "packet"))).alias("parts")
         return staged(sent.groupBy("bucket").agg(parts), "model-parts")
 
-    def _sums(self, of) -> np.ndarray:
-        """The sum over all buckets of the array that ``of`` gives for one; its size is fixed."""
-        width = len(self.contexts) + 2
+    def _cells(self) -> DataFrame:
+        """Staged (bucket, cells): the buckets as sampling needs them."""
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = None
+        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for number, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    got = of(Bucket(number, [p["packet"] for p in parts.as_py()], width))
-                    total = got if total is None else total + got
-            if total is not None:
-                flat = total.reshape(-1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat, pa.float64())], ["at", "x"])
-
-        rows = self.parts.mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
-        out = np.zeros(len(rows))
-        for row in rows:
-            out[row["at"]] = row["x"]
-        return out
+                    cells = Bucket(number, [p["packet"] for p in parts.as_py()]).cells()
+                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([cells], pa.binary())], ["bucket", "cells"])
+
+        return staged(self.parts.mapInArrow(build, "bucket int, cells binary"), "model-cells")
+
+    def _summed(self, rows: DataFrame, of) -> tuple[DataFrame, np.ndarray]:
+        """Lets buckets add up what they have of each context. ``of`` gives for a row of
+        ``rows``: the bucket, counts (each an array by its contexts), the bucket's own numbers,
+        and a packet to keep. Returns staged (bucket, answers), to be read by ``received``, and
+        the sums of the buckets' own numbers."""
+        shards = self.buckets
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    bucket, counts, own, kept = of(*(c[row].as_py() for c in batch.columns))
+                    home, out = bucket.number % shards, {}
+                    for shard, at in by_bucket(bucket.contexts % np.uint64(shards), shards):
+                        out[shard] = [bucket.contexts[at], *(narrow(c[at]) for c in counts)]
+                    out.setdefault(home, [np.zeros(0, c) for c in (np.uint64, *[np.uint8] * len(counts))])
+                    packets = [pack(np.array(own if s == home else [], np.float64), kept if s == home else None, *x) for s, x in out.items()]
+                    columns = [pa.array(list(out), pa.int32()), pa.array([bucket.number] * len(out), pa.int32()), pa.array(packets, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["shard", "bucket", "packet"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for shard, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    parts = parts.as_py()
+                    numbers, items = [p["bucket"] for p in parts], [unpack(p["packet"]) for p in parts]
+                    ends = np.cumsum([len(i[2]) for i in items])[:-1]
+                    contexts, at = np.unique(np.concatenate([i[2] for i in items]), return_inverse=True)
+                    sums = [np.bincount(at, np.concatenate(c), len(contexts)).astype(np.int64) for c in list(zip(*items, strict=True))[3:]]
+                    packets = [pack(i[1], *(narrow(c[a]) for c in sums)) for i, a in zip(items, np.split(at, ends), strict=True)]
+                    own = [i[0] for i in items if len(i[0])]
+                    if own:
+                        numbers, packets = [*numbers, OWN_SUMS], [*packets, pack(np.sum(own, axis=0))]
+                    columns = [pa.array(numbers, pa.int32()), pa.array([shard] * len(numbers), pa.int32()), pa.array(packets, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "shard", "packet"])
+
+        sent = rows.mapInArrow(send, "shard int, bucket int, packet binary")
+        parts = F.sort_array(F.collect_list(F.struct("bucket", "packet"))).alias("parts")
+        answers = staged(sent.groupBy("shard").agg(parts).mapInArrow(add, "bucket int, shard int, packet binary"), "model-totals")
+        own = [unpack(bytes(r["packet"]))[0] for r in answers.filter(F.col("bucket") == OWN_SUMS).collect()]
+        listed = F.collect_list(F.struct("shard", "packet")).alias("answers")
+        return answers.filter(F.col("bucket") != OWN_SUMS).groupBy("bucket").agg(listed), np.sum(own, axis=0)
 
     def _learn(self) -> None:
-        width, seed = len(self.contexts) + 2, self.seed
-        sums = self._sums(Bucket.totals)
-        customers, dishes = sums.reshape(2, -1) if len(sums) else np.zeros((2, width))
-        self.known = dishes[-1]
-        tables = dishes.copy()
-        tables[-1] = 0
-        model = Totals(customers, tables, tables.sum() + customers[-1], self.known, self.known)
-        for _ in range(2):  # the first pass samples with these totals, the second with what came of it
-            sampled = self._sums(lambda bucket, model=model: bucket.sampled_totals(model, seed))
-            rows = sampled.reshape(SAMPLES, -1) if len(sampled) else np.zeros((SAMPLES, width + 1))
-            realised = [Totals(customers, np.append(r[:-2], 0), r[-2], r[-1], self.known) for r in rows]
-            self.sampled_with, self.realised = model, realised
-            mean = rows.mean(axis=0)
-            model = Totals(customers, np.append(mean[:-2], 0), mean[-2], mean[-1], self.known)
+        """The first pass samples with a table a dish, the second with what came of it."""
+        seed, shards = self.seed, self.buckets
+        cells = self._cells()
+
+        def count(number: int, packet: bytes):
+            bucket = Bucket.from_cells(number, packet)
+            customers, dishes = bucket.totals().astype(np.int64)
+            return bucket, [customers[:-1], dishes[:-1]], [dishes[-1], customers.sum(), dishes[:-1].sum()], None
+
+        answers, own = self._summed(cells, count)
+        known, train_tokens, tables = own if len(np.shape(own)) else np.zeros(3)
+        self.known, self.train_tokens = known, int(train_tokens)
+        root = tables, known
+
+        def first(number: int, packet: bytes, answers: list[dict]):
+            bucket = Bucket.from_cells(number, packet)
+            _, (customers, dishes) = received(bucket.contexts, shards, answers)
+            return sample(bucket, customers, dishes * SAMPLES, root)
+
+        def second(number: int, packet: bytes, answers: list[dict]):
+            bucket = Bucket.from_cells(number, packet)
+            kept, counts = received(bucket.contexts, shards, answers)
+            return sample(bucket, unpack(kept)[0], np.sum(counts, axis=0), root)
+
+        def sample(bucket: Bucket, customers: np.ndarray, tables: np.ndarray, root: tuple[float, float]):
+            model = Totals(np.append(customers, 0), np.append(tables / SAMPLES, 0), *root, known)
+            rows = bucket.sampled_totals(model, seed)
+            return bucket, list(rows[:, :-2]), rows[:, -2:].ravel(), pack(narrow(customers), narrow(tables))
+
+        for step in (first, second):
+            self.sampled_with = root
+            answers, own = self._summed(cells.join(answers, "bucket"), step)
+            self.realised = np.reshape(own, (SAMPLES, 2)) if len(np.shape(own)) else np.zeros((SAMPLES, 2))
+            root = tuple(self.realised.mean(axis=0))
+        self.answers = answers
 
     def scores(self) -> DataFrame:
         """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-        width, seed, contexts, buckets = len(self.contexts) + 2, self.seed, self.contexts, self.buckets
-        model, realised = self.sampled_with, self.realised
+        seed, buckets, root, realised = self.seed, self.buckets, self.sampled_with, self.realised
         train_tokens, known = self.train_tokens, float(self.known)
 
         def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for number, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for number, parts, totals in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                     parts = parts.as_py()
-                    bucket = Bucket(number, [p["packet"] for p in parts], width)
-                    by_cell = bucket.log_probabilities(model, realised, seed).astype(np.float32)[bucket.cell_of_entry]
+                    bucket = Bucket(number, [p["packet"] for p in parts])
+                    kept, counts = received(bucket.contexts, buckets, totals.as_py())
+                    customers, tables = unpack(kept)
+                    customers = np.append(customers, 0)
+                    model = Totals(customers, np.append(tables / SAMPLES, 0), *root, known)
+                    samples = [Totals(customers, np.append(t, 0), *r, known) for t, r in zip(counts, realised, strict=True)]
+                    by_cell = bucket.log_probabilities(model, samples, seed).astype(np.float32)[bucket.cell_of_entry]
                     by_word = bucket.known[bucket.word_of_entry]
                     cells = np.split(by_cell, np.cumsum(bucket.part_cells)[:-1])
                     words = np.split(by_word, np.cumsum(bucket.part_tokens)[:-1])
@@ -363,7 +431,7 @@ class PitmanYor:
             types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             for batch in batches:
                 for payload, answers in zip(batch.column(0), batch.column(1), strict=True):
-                    block = Block(payload.as_py(), contexts)
+                    block = Block(payload.as_py())
                     block.find_cells()
                     found = {a["bucket"]: a["packet"] for a in answers.as_py()}
                     counts, logs = np.zeros(len(block.dictionary)), np.zeros(len(block.cell_token))
@@ -378,7 +446,7 @@ class PitmanYor:
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-        sent = self.parts.mapInArrow(answer, "bucket int, block long, packet binary")
+        sent = self.parts.join(self.answers, "bucket").mapInArrow(answer, "bucket int, block long, packet binary")
         answers = sent.groupBy("block").agg(F.collect_list(F.struct("bucket", "packet")).alias("answers"))
         schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         return self.blocks.join(answers, "block").select("payload", "answers").mapInArrow(score, schema)

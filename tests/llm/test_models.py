@@ -135,6 +135,26 @@ def test_model_beats_the_base_on_held_out_text(spark):
     assert py.perplexity(scored) < 0.8 * py.perplexity(scored, "base_score")
 
 
+def chains(words=500, docs=300):
+    """Texts in which each of ``words`` equally frequent words has two followers."""
+    rng = np.random.default_rng(6)
+    steps = rng.integers(0, 2, (docs, 60))
+    starts = rng.integers(0, words, docs)
+    rows = []
+    for doc in range(docs):
+        at, text = int(starts[doc]), []
+        for step in steps[doc]:
+            at = (3 * at + 1 + int(step)) % words
+            text.append(f"w{at}")
+        rows.append((doc, " ".join(text)))
+    return rows
+
+
+def test_every_context_has_a_restaurant(spark):
+    scored = py.language_scores(frame(spark, chains())).persist()
+    assert py.perplexity(scored) < 0.1 * py.perplexity(scored, "base_score")
+
+
 def brute_top(rows, k=5, every=50, scale=256):
     usable = [(i, [math.floor(scale * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
