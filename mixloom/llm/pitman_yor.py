@@ -7,10 +7,11 @@ After a word that training never saw the root itself predicts, as in an empty re
 token is a customer of its context's restaurant; each table there sends one customer to the
 root.
 
-Seating is sampled by Gibbs: a customer of each dish leaves its table, chosen by table size,
-and is seated anew, at a table in proportion to its size less the discount, or at a new one in
-proportion to strength and parent probability. The totals of a restaurant are frozen during a
-pass, which is what lets dishes be sampled side by side; they are refreshed between passes.
+Seating is sampled by blocked Gibbs: in a sweep all customers of every dish are seated anew, at
+a table in proportion to its size less the discount, or at a new one in proportion to strength
+and parent probability (see ``Tables``). The totals of a restaurant are frozen during a pass,
+which is what lets dishes be sampled side by side; they are refreshed between passes, and the
+second pass goes on from the seating the first has reached.
 All contexts of a word are in one bucket, so what its tables send to the root is known there.
 What passes between buckets are the totals of each restaurant: a bucket sends its share of
 every context it holds to that context's shard, and gets the sums back in the same order.
@@ -31,6 +32,7 @@ columns are not read.
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,10 @@ OWN_SUMS = -1  # in the place of a bucket's number
 BUCKET_BYTES = 4 << 20
 DISCOUNT, STRENGTH = 0.8, 1.0  # of the context restaurants
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 10.0
-BURN_IN, SAMPLES, MOVES = 3, 3, 3  # sweeps before and at which samples are kept; moves per sweep and dish
+BURN_IN, SAMPLES = 3, 3  # sweeps of a pass before and at which samples are kept
+SMALL = 128  # customers up to which the tables of a dish are drawn from the listed distribution
+NOT_SEATED = -1e300  # in the place of a log chance: any seating is better
+PROPOSALS, ROOT_PROPOSALS = 4, 16  # seatings proposed per sweep and larger dish
 END = b"\n"  # no word holds white space; also the context at the start of a text
 
 
@@ -58,6 +63,19 @@ def narrow(counts: np.ndarray) -> np.ndarray:
     return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
 
 
+def planes(counts: np.ndarray) -> np.ndarray:
+    """Counts byte by byte, the lowest bytes of all first, which packs small ones well; ``whole``
+    puts them together again."""
+    counts = narrow(counts)
+    size = counts.dtype.itemsize
+    return np.append(np.uint8(size), counts.view(np.uint8).reshape(-1, size).T.ravel())
+
+
+def whole(split: np.ndarray) -> np.ndarray:
+    size = int(split[0])
+    return np.ascontiguousarray(split[1:].reshape(size, -1).T).view(f"u{size}").ravel().astype(np.int64)
+
+
 class Block:
     """The token sequences of a block: ``tokens`` (numbers of its dictionary) and the ``cells``
     (token after context, numbered alike) they fall in."""
@@ -100,8 +118,91 @@ class Block:
             yield bucket, tokens, cells
 
 
+@lru_cache
+def log_seatings(discount: float) -> list[np.ndarray]:
+    """By customers, up to ``SMALL``: the log of the generalised Stirling numbers of 1, 2, ... tables."""
+    out = [np.zeros(0), np.zeros(1)]
+    for n in range(1, SMALL):
+        stay = out[n] + np.log(n - discount * np.arange(1, n + 1))
+        out.append(np.logaddexp(np.append(stay, -np.inf), np.append(-np.inf, out[n])))
+    return out
+
+
+def log_falling(size: np.ndarray, discount: float) -> np.ndarray:
+    """log of gamma(size - discount) / gamma(size), up to a constant."""
+    exact = np.concatenate([[0.0], np.cumsum(np.log1p(-discount / np.arange(1, 2048)))])
+    far = np.maximum(size, 2048).astype(float)
+    tail = -discount * np.log(far / 2048) + discount * (discount + 1) / 2 * (1 / far - 1 / 2048) + exact[-1]
+    return np.where(size <= 2048, exact[np.minimum(size, 2048) - 1], tail)
+
+
+class Tables:
+    """Numbers of tables of many dishes, each of ``customers`` (2 or more) in one restaurant.
+
+    With frozen totals, t tables have a chance in proportion to S(customers, t) weight**t, S
+    being generalised Stirling numbers. Up to ``SMALL`` customers that is listed and drawn from.
+    Beyond, it is the law of a Poisson number of tables, weight / discount at the mean, of
+    independent sizes P(n) = discount (1 - discount)...(n - 1 - discount) / n!, given that the
+    sizes add up to the customers. A seating of all customers is proposed: every table but the
+    first customer's from that law, thinned by ratio**size so that the sizes add up to about
+    the customers, and the first customer's is what is left. Its chance over that of being
+    proposed is f(left) ratio**left, f(n) = gamma(n - discount) / gamma(n), which decides
+    between it and the seating before (Metropolis-Hastings). ``first`` is the size of the first
+    customer's table, 0 before any proposal fitted; what is proposed does not depend on it.
+    """
+
+    def __init__(self, customers: np.ndarray, discount: float, proposals: int):
+        self.customers, self.discount, self.proposals = customers, discount, proposals
+        self.tables = np.ones(len(customers), np.int64)
+        self.large = np.flatnonzero(customers > SMALL)
+        self.first = np.zeros(len(self.large), np.int64)
+        order = np.argsort(customers, kind="stable")
+        sizes, begin = np.unique(customers[order], return_index=True)
+        dishes = np.split(order, begin[1:]) if len(begin) else []
+        self.small = [(int(n), at) for n, at in zip(sizes, dishes, strict=True) if n <= SMALL]
+
+    def sweep(self, weight: np.ndarray, rng: np.random.Generator) -> None:
+        """All customers of every dish are seated again."""
+        for n, at in self.small:
+            logs = log_seatings(self.discount)[n] + np.log(weight[at])[:, None] * np.arange(1, n + 1)
+            upto = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
+            self.tables[at] = 1 + (upto[:, :-1] <= (rng.random(len(at)) * upto[:, -1])[:, None]).sum(axis=1)
+        if len(self.large):
+            self._propose(weight[self.large], rng)
+
+    def _propose(self, weight: np.ndarray, rng: np.random.Generator) -> None:
+        customers, d = self.customers[self.large], self.discount
+        log_ratio = np.log1p(-self._loss(customers, weight))
+        tables, fresh = self.tables[self.large], self.first == 0
+        tables[fresh] = np.minimum(customers, 1 + np.rint(weight / d)).astype(np.int64)[fresh]
+        value = np.where(fresh, NOT_SEATED, log_falling(np.maximum(self.first, 1), d) + self.first * log_ratio)
+        for _ in range(self.proposals):
+            number = rng.poisson(weight / d)
+            dish = np.repeat(np.arange(len(customers)), number)
+            # these sizes are geometric with a beta chance; one above the customers never fits
+            size = np.minimum(rng.geometric(np.maximum(rng.beta(d, 1 - d, len(dish)), 1e-15)), customers[dish])
+            kept = np.log(1 - rng.random(len(dish))) < size * log_ratio[dish]
+            others = np.bincount(dish[kept], minlength=len(customers))
+            left = customers - np.bincount(dish[kept], size[kept], len(customers)).astype(np.int64)
+            new = np.where(left > 0, log_falling(np.maximum(left, 1), d) + left * log_ratio, -np.inf)
+            taken = (left > 0) & (np.log(1 - rng.random(len(left))) < new - value)
+            tables, self.first = np.where(taken, 1 + others, tables), np.where(taken, left, self.first)
+            value = np.where(taken, new, value)
+        self.tables[self.large] = tables
+
+    def _loss(self, customers: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """1 - ratio: where the proposed sizes add up to the customers on the average."""
+        low, high = np.log(1e-3 / customers), np.full(len(customers), np.log(0.99))
+        for _ in range(30):
+            middle = (low + high) / 2
+            above = weight * -np.expm1(middle) * np.exp((self.discount - 1) * middle) > customers
+            low, high = np.where(above, middle, low), np.where(above, high, middle)
+        return np.exp(low)
+
+
 class Seating:
-    """Table sizes of many dishes, each of ``customers`` (2 or more) in one restaurant."""
+    """Table sizes of many dishes, each of ``customers`` (2 or more) in one restaurant, customer
+    by customer: the plain sampler that ``Tables`` is held against."""
 
     def __init__(self, customers: np.ndarray, weight: np.ndarray, discount: float):
         """Starts near what ``weight``, strength and parent probability, will keep up."""
@@ -169,7 +270,7 @@ class Bucket:
 
     def __init__(self, number: int, packets: list[bytes], width: int | None = None):
         parts = [unpack(p) for p in packets]
-        hashes, lengths, contexts, train = (np.concatenate([p[c] for p in parts]) for c in range(4))
+        hashes, self.lengths, contexts, train = (np.concatenate([p[c] for p in parts]) for c in range(4))
         self.part_tokens = [len(p[0]) for p in parts]
         self.part_cells = [len(p[2]) for p in parts]
         self.contexts = np.zeros(0, np.uint64)
@@ -177,7 +278,7 @@ class Bucket:
             self.contexts, contexts = np.unique(contexts, return_inverse=True)
             width = len(self.contexts) + 1
         words, self.word_of_entry = np.unique(hashes, return_inverse=True)
-        keys = np.repeat(self.word_of_entry, lengths) * width + contexts
+        keys = np.repeat(self.word_of_entry, self.lengths) * width + contexts
         cells, self.cell_of_entry = np.unique(keys, return_inverse=True)
         count = np.bincount(self.cell_of_entry, train, len(cells)).astype(np.int64)
         self._set(number, width, cells // width, cells % width, count, len(words))
@@ -188,16 +289,32 @@ class Bucket:
         self.known = np.bincount(word, count, words).astype(np.int64)
 
     def cells(self) -> bytes:
-        """What sampling needs of the bucket, without the blocks that asked."""
+        """What sampling needs of the bucket; ``entries`` has what the blocks asked for."""
         lengths = np.bincount(self.word, minlength=self.words)
-        return pack(self.contexts, lengths.astype(np.uint32), self.context.astype(np.uint32), narrow(self.count))
+        return pack(self.contexts, *map(planes, (lengths, self.context, self.count)))
+
+    def entries(self) -> bytes:
+        """By block the words and cells it asked for, the cells counted from their word's first."""
+        first = np.searchsorted(self.word, np.arange(self.words))
+        after = self.cell_of_entry - np.repeat(first[self.word_of_entry], self.lengths)
+        sizes = np.array(self.part_tokens), np.array(self.part_cells)
+        return pack(*map(planes, (*sizes, self.word_of_entry, self.lengths, after)))
+
+    def split(self, entries: bytes, by_word: np.ndarray, by_cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """What is known by word and by cell, for the entries of each block."""
+        tokens, cells, words, lengths, after = map(whole, unpack(entries))
+        first = np.searchsorted(self.word, np.arange(self.words))
+        at = np.repeat(first[words], lengths) + after
+        of_words = np.split(by_word[words], np.cumsum(tokens)[:-1])
+        return zip(of_words, np.split(by_cell[at], np.cumsum(cells)[:-1]), strict=True)
 
     @classmethod
     def from_cells(cls, number: int, packet: bytes) -> "Bucket":
         self = cls.__new__(cls)
-        self.contexts, lengths, context, count = unpack(packet)
+        self.contexts, *counts = unpack(packet)
+        lengths, context, count = map(whole, counts)
         word = np.repeat(np.arange(len(lengths)), lengths)
-        self._set(number, len(self.contexts) + 1, word, context.astype(np.int64), count.astype(np.int64), len(lengths))
+        self._set(number, len(self.contexts) + 1, word, context, count, len(lengths))
         return self
 
     def totals(self) -> np.ndarray:
@@ -207,44 +324,47 @@ class Bucket:
         dishes[-1] = (self.known > 0).sum()
         return np.stack([inside, dishes])
 
-    def samples(self, model: "Totals", seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(tables per cell, root customers and root tables per word) of each sample kept."""
-        rng = np.random.default_rng([seed, self.number])
+    def samples(self, model: "Totals", seed: int, begin: bytes | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(tables per cell, root customers and root tables per word) of each sample kept, going
+        on from the seating ``begin``. Where that has led to is then in ``reached``."""
+        rng = np.random.default_rng([seed, self.number, begin is not None])
         seated = (self.context < self.width - 1) & (self.count > 0)
-        direct = np.bincount(self.word, np.where(seated, 0, self.count), self.words)
+        direct = np.bincount(self.word, np.where(seated, 0, self.count), self.words).astype(np.int64)
         tables = np.where(seated, 1, 0).astype(np.int64)
         several = np.flatnonzero(seated & (self.count > 1))
         into = model.strengths()[self.context[several]]
-        customers = direct + np.bincount(self.word, tables, self.words)
-        at_root = np.minimum(customers, 1)
-        seating = Seating(self.count[several], into * model.root(customers, at_root)[self.word[several]], DISCOUNT)
+        seating = Tables(self.count[several], DISCOUNT, PROPOSALS)
+        if begin is None:
+            customers = direct + np.bincount(self.word, tables, self.words).astype(np.int64)
+            at_root = np.minimum(customers, 1)
+        else:
+            customers, at_root, of_large, first = map(whole, unpack(begin))
+            seating.tables[seating.large], seating.first = of_large, first
         for sweep in range(BURN_IN + SAMPLES):
-            weight = into * model.root(customers, at_root)[self.word[several]]
-            for _ in range(MOVES):
-                seating.move(weight, rng)
+            seating.sweep(into * model.root(customers, at_root)[self.word[several]], rng)
+            tables = tables.copy()
             tables[several] = seating.tables
-            customers = direct + np.bincount(self.word, tables, self.words)
+            customers = direct + np.bincount(self.word, tables, self.words).astype(np.int64)
             shared = np.flatnonzero(customers > 1)
-            base = np.full(len(shared), model.root_weight())
-            root = Seating(customers[shared].astype(np.int64), base, ROOT_DISCOUNT)
-            for _ in range(MOVES):
-                root.move(base, rng)
+            root = Tables(customers[shared], ROOT_DISCOUNT, ROOT_PROPOSALS)
+            root.sweep(np.full(len(shared), model.root_weight()), rng)
             at_root = np.minimum(customers, 1)
             at_root[shared] = root.tables
+            self.reached = pack(*map(planes, (customers, at_root, seating.tables[seating.large], seating.first)))
             if sweep >= BURN_IN:
                 yield tables, customers, at_root
 
-    def sampled_totals(self, model: "Totals", seed: int) -> np.ndarray:
+    def sampled_totals(self, model: "Totals", seed: int, begin: bytes | None = None) -> np.ndarray:
         """By sample: tables per context, then customers and tables of the root."""
         rows = []
-        for tables, customers, at_root in self.samples(model, seed):
+        for tables, customers, at_root in self.samples(model, seed, begin):
             rows.append([*np.bincount(self.context, tables, self.width)[:-1], customers.sum(), at_root.sum()])
         return np.array(rows)
 
-    def log_probabilities(self, model: "Totals", realised: list["Totals"], seed: int) -> np.ndarray:
+    def log_probabilities(self, model: "Totals", realised: list["Totals"], seed: int, begin: bytes | None = None) -> np.ndarray:
         """log10 of every cell's predictive probability, averaged over the samples."""
         total = np.zeros(len(self.word))
-        for (tables, customers, at_root), now in zip(self.samples(model, seed), realised, strict=True):
+        for (tables, customers, at_root), now in zip(self.samples(model, seed, begin), realised, strict=True):
             parent = now.root(customers, at_root)[self.word]
             held, own = now.customers[self.context], self.count - DISCOUNT * tables
             inside = (own + now.strengths()[self.context] * parent) / (STRENGTH + held)
@@ -276,7 +396,7 @@ def received(contexts: np.ndarray, shards: int, answers: list[dict]) -> tuple[by
     sums = [np.zeros(len(contexts), np.int64) for _ in next(iter(found.values()))[1:]]
     for shard, at in by_bucket(contexts % np.uint64(shards), shards):
         for total, part in zip(sums, found[shard][1:], strict=True):
-            total[at] = part
+            total[at] = whole(part)
     return kept, sums
 
 
@@ -287,11 +407,11 @@ class PitmanYor:
         self.seed = seed
         self.buckets = int(max(16, text_bytes(docs) // BUCKET_BYTES))
         self.blocks = stage_blocks(docs)
-        self.parts = self._parts()
+        self.cells = self._cells()
         self._learn()
 
-    def _parts(self) -> DataFrame:
-        """Staged (bucket, parts): what all blocks have of a bucket's words, one row each."""
+    def _cells(self) -> DataFrame:
+        """Staged (bucket, blocks, cells, entries): what all blocks have of a bucket's words."""
         buckets = self.buckets
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,20 +430,19 @@ class PitmanYor:
                     types = [pa.int32(), pa.int64(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "block", "packet"])
 
-        sent = self.blocks.mapInArrow(send, "bucket int, block long, packet binary")
-        parts = F.sort_array(F.collect_list(F.struct("block", "packet"))).alias("parts")
-        return staged(sent.groupBy("bucket").agg(parts), "model-parts")
-
-    def _cells(self) -> DataFrame:
-        """Staged (bucket, cells): the buckets as sampling needs them."""
-
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for number, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    cells = Bucket(number, [p["packet"] for p in parts.as_py()]).cells()
-                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([cells], pa.binary())], ["bucket", "cells"])
+                    parts = parts.as_py()
+                    bucket = Bucket(number, [p["packet"] for p in parts])
+                    columns = [[number], [[p["block"] for p in parts]], [bucket.cells()], [bucket.entries()]]
+                    types = [pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "blocks", "cells", "entries"])
 
-        return staged(self.parts.mapInArrow(build, "bucket int, cells binary"), "model-cells")
+        sent = self.blocks.mapInArrow(send, "bucket int, block long, packet binary")
+        parts = F.sort_array(F.collect_list(F.struct("block", "packet"))).alias("parts")
+        schema = "bucket int, blocks array<long>, cells binary, entries binary"
+        return staged(sent.groupBy("bucket").agg(parts).mapInArrow(build, schema), "model-cells")
 
     def _summed(self, rows: DataFrame, of) -> tuple[DataFrame, np.ndarray]:
         """Lets buckets add up what they have of each context. ``of`` gives for a row of
@@ -338,8 +457,8 @@ class PitmanYor:
                     bucket, counts, own, kept = of(*(c[row].as_py() for c in batch.columns))
                     home, out = bucket.number % shards, {}
                     for shard, at in by_bucket(bucket.contexts % np.uint64(shards), shards):
-                        out[shard] = [bucket.contexts[at], *(narrow(c[at]) for c in counts)]
-                    out.setdefault(home, [np.zeros(0, c) for c in (np.uint64, *[np.uint8] * len(counts))])
+                        out[shard] = [bucket.contexts[at], *(planes(c[at]) for c in counts)]
+                    out.setdefault(home, [np.zeros(0, np.uint64), *[planes(np.zeros(0, np.int64))] * len(counts)])
                     packets = [pack(np.array(own if s == home else [], np.float64), kept if s == home else None, *x) for s, x in out.items()]
                     columns = [pa.array(list(out), pa.int32()), pa.array([bucket.number] * len(out), pa.int32()), pa.array(packets, pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, ["shard", "bucket", "packet"])
@@ -351,8 +470,8 @@ class PitmanYor:
                     numbers, items = [p["bucket"] for p in parts], [unpack(p["packet"]) for p in parts]
                     ends = np.cumsum([len(i[2]) for i in items])[:-1]
                     contexts, at = np.unique(np.concatenate([i[2] for i in items]), return_inverse=True)
-                    sums = [np.bincount(at, np.concatenate(c), len(contexts)).astype(np.int64) for c in list(zip(*items, strict=True))[3:]]
-                    packets = [pack(i[1], *(narrow(c[a]) for c in sums)) for i, a in zip(items, np.split(at, ends), strict=True)]
+                    sums = [np.bincount(at, np.concatenate([whole(x) for x in c]), len(contexts)).astype(np.int64) for c in list(zip(*items, strict=True))[3:]]
+                    packets = [pack(i[1], *(planes(c[a]) for c in sums)) for i, a in zip(items, np.split(at, ends), strict=True)]
                     own = [i[0] for i in items if len(i[0])]
                     if own:
                         numbers, packets = [*numbers, OWN_SUMS], [*packets, pack(np.sum(own, axis=0))]
@@ -369,7 +488,7 @@ class PitmanYor:
     def _learn(self) -> None:
         """The first pass samples with a table a dish, the second with what came of it."""
         seed, shards = self.seed, self.buckets
-        cells = self._cells()
+        cells = self.cells.select("bucket", "cells")
 
         def count(number: int, packet: bytes):
             bucket = Bucket.from_cells(number, packet)
@@ -384,17 +503,19 @@ class PitmanYor:
         def first(number: int, packet: bytes, answers: list[dict]):
             bucket = Bucket.from_cells(number, packet)
             _, (customers, dishes) = received(bucket.contexts, shards, answers)
-            return sample(bucket, customers, dishes * SAMPLES, root)
+            rows = sampled(bucket, customers, dishes * SAMPLES, root)
+            return bucket, [rows[:, :-2].sum(axis=0)], rows[:, -2:].ravel(), pack(planes(customers), bucket.reached)
 
         def second(number: int, packet: bytes, answers: list[dict]):
             bucket = Bucket.from_cells(number, packet)
-            kept, counts = received(bucket.contexts, shards, answers)
-            return sample(bucket, unpack(kept)[0], np.sum(counts, axis=0), root)
+            kept, (tables,) = received(bucket.contexts, shards, answers)
+            customers, begin = unpack(kept)
+            rows = sampled(bucket, whole(customers), tables, root, begin)
+            return bucket, list(rows[:, :-2]), rows[:, -2:].ravel(), pack(customers, planes(tables), begin)
 
-        def sample(bucket: Bucket, customers: np.ndarray, tables: np.ndarray, root: tuple[float, float]):
+        def sampled(bucket: Bucket, customers: np.ndarray, tables: np.ndarray, root: tuple[float, float], begin: bytes | None = None):
             model = Totals(np.append(customers, 0), np.append(tables / SAMPLES, 0), *root, known)
-            rows = bucket.sampled_totals(model, seed)
-            return bucket, list(rows[:, :-2]), rows[:, -2:].ravel(), pack(narrow(customers), narrow(tables))
+            return bucket.sampled_totals(model, seed, begin).astype(np.int64)
 
         for step in (first, second):
             self.sampled_with = root
@@ -410,19 +531,17 @@ class PitmanYor:
 
         def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for number, parts, totals in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                    parts = parts.as_py()
-                    bucket = Bucket(number, [p["packet"] for p in parts])
-                    kept, counts = received(bucket.contexts, buckets, totals.as_py())
-                    customers, tables = unpack(kept)
-                    customers = np.append(customers, 0)
-                    model = Totals(customers, np.append(tables / SAMPLES, 0), *root, known)
+                for row in range(batch.num_rows):
+                    number, blocks, cells, entries, totals = (c[row].as_py() for c in batch.columns)
+                    bucket = Bucket.from_cells(number, cells)
+                    kept, counts = received(bucket.contexts, buckets, totals)
+                    customers, tables, begin = unpack(kept)
+                    customers = np.append(whole(customers), 0)
+                    model = Totals(customers, np.append(whole(tables) / SAMPLES, 0), *root, known)
                     samples = [Totals(customers, np.append(t, 0), *r, known) for t, r in zip(counts, realised, strict=True)]
-                    by_cell = bucket.log_probabilities(model, samples, seed).astype(np.float32)[bucket.cell_of_entry]
-                    by_word = bucket.known[bucket.word_of_entry]
-                    cells = np.split(by_cell, np.cumsum(bucket.part_cells)[:-1])
-                    words = np.split(by_word, np.cumsum(bucket.part_tokens)[:-1])
-                    columns = [[number] * len(parts), [p["block"] for p in parts], [pack(c, w) for c, w in zip(cells, words, strict=True)]]
+                    by_cell = bucket.log_probabilities(model, samples, seed, begin).astype(np.float32)
+                    packets = [pack(c, w) for w, c in bucket.split(entries, bucket.known, by_cell)]
+                    columns = [[number] * len(blocks), blocks, packets]
                     types = [pa.int32(), pa.int64(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "block", "packet"])
 
@@ -446,7 +565,7 @@ class PitmanYor:
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-        sent = self.parts.join(self.answers, "bucket").mapInArrow(answer, "bucket int, block long, packet binary")
+        sent = self.cells.join(self.answers, "bucket").mapInArrow(answer, "bucket int, block long, packet binary")
         answers = sent.groupBy("block").agg(F.collect_list(F.struct("bucket", "packet")).alias("answers"))
         schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         return self.blocks.join(answers, "block").select("payload", "answers").mapInArrow(score, schema)

@@ -121,6 +121,36 @@ def test_gibbs_seating_has_the_right_distribution(customers, weight, discount):
     assert np.abs(share - exact / exact.sum()).max() < 0.015
 
 
+def test_tables_of_dishes_small_and_at_the_limit():
+    rng = np.random.default_rng(2)
+    for customers, weight, discount in [(2, 0.3, 0.8), (7, 0.05, 0.8), (60, 9.0, 0.6), (py.SMALL, 40.0, 0.8)]:
+        tables = py.Tables(np.full(20_000, customers), discount, py.PROPOSALS)
+        tables.sweep(np.full(20_000, weight), rng)
+        exact = np.array([s * weight**t for t, s in enumerate(stirling(customers, discount))])[1:]
+        share = np.bincount(tables.tables, minlength=customers + 1)[1:] / 20_000
+        assert np.abs(share - exact / exact.sum()).max() < 0.015
+
+
+@pytest.mark.parametrize(("customers", "weight"), [(200, 0.5), (200, 120.0), (500, 50.0), (4000, 0.5), (4000, 5.0), (4000, 50.0), (4000, 900.0)])
+def test_tables_of_dishes_with_thousands_of_customers(customers, weight):
+    logs = np.zeros(1)
+    for n in range(1, customers):
+        stay = logs + np.log(n - py.DISCOUNT * np.arange(1, n + 1))
+        logs = np.logaddexp(np.append(stay, -np.inf), np.append(-np.inf, logs))
+    logs += np.arange(1, customers + 1) * np.log(weight)
+    exact = np.exp(logs - logs.max())
+    exact /= exact.sum()
+    mean = exact @ np.arange(1, customers + 1)
+    spread = np.sqrt(exact @ (np.arange(1, customers + 1) - mean) ** 2)
+    # what a word of a bucket gets in the sweeps of two passes, in many buckets
+    cells = 4000
+    tables = py.Tables(np.full(cells, customers), py.DISCOUNT, py.PROPOSALS)
+    for _ in range(2 * (py.BURN_IN + py.SAMPLES)):
+        tables.sweep(np.full(cells, weight), np.random.default_rng(_))
+    assert abs(tables.tables.mean() - mean) < 0.1 * spread
+    assert abs(tables.tables.std() - spread) < 0.1 * spread
+
+
 def test_model_beats_the_base_on_held_out_text(spark):
     rng = np.random.default_rng(9)
     follows = {f"w{k}": [f"w{(7 * k + j) % 150}" for j in range(4)] for k in range(150)}
