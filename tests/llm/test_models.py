@@ -185,6 +185,12 @@ def test_every_context_has_a_restaurant(spark):
     assert py.perplexity(scored) < 0.1 * py.perplexity(scored, "base_score")
 
 
+def test_scores_do_not_depend_on_how_rows_fall_into_blocks(spark):
+    docs = frame(spark, chains())
+    one, other = ({r["doc_id"]: r["score"] for r in py.language_scores(d).collect()} for d in (docs.coalesce(1), docs.repartition(7)))
+    assert one == pytest.approx(other, abs=1e-9)
+
+
 def brute_top(rows, k=5, every=50, scale=256):
     usable = [(i, [math.floor(scale * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
