@@ -114,6 +114,7 @@ def allocation(sizes: tuple[int, ...], units: int, one_deletion: bool) -> tuple[
         options = [(-1, 0, 0.0)]
         if size:
             options.append((0, 1, 1 + COMMON / MISS**size))
+        if size > 1:  # one deletion from a single shingle leaves an empty segment, which has no keys
             options.append((1, 2, size + 2 + (size + 1) * COMMON / MISS ** (size - 1)))
         after: dict[int, tuple[float, tuple[int, ...]]] = {}
         for reached, (cost, chosen) in best.items():

@@ -187,6 +187,20 @@ def test_allocation_reaches_its_units():
         assert sum(v + 1 for v in chosen) >= 3 and all(size or v < 0 for size, v in zip(sizes, chosen, strict=True))
 
 
+def test_a_partner_without_the_only_shingle_of_a_segment():
+    """12 shared shingles of 15 in all, the rest in the largest segment and the single one's."""
+    assert nj.allocation((13, 1, 0, 0, 0), 4, True) is None
+    low, high = nj.band_of(13)
+    numbers = np.random.default_rng(3).integers(0, 2**63, 5000, dtype=np.uint64)
+    segment = nj.mix(numbers) % np.uint64(nj.segments_of(low, high, 80))
+    many, single = numbers[segment == 0][:14], numbers[segment == 1][:1]
+    large, small = np.unique(np.concatenate([many[:13], single])), np.unique(many[1:])
+    assert nj.Similarity(80).holds(len(np.intersect1d(large, small)), len(large) + len(small))
+    signatures = nj.Signatures(80)
+    keys, uncovered = signatures.probe(large)
+    assert low in uncovered or len(np.intersect1d(keys, signatures.index(small)))
+
+
 class Uncovering(nj.Signatures):
     """Says of every third set that its segments cover none of its bands."""
 
