@@ -1,4 +1,4 @@
-"""Removal of repeated word windows by de Bruijn compaction.
+"""Removal of repeated word windows, compacted along their sources.
 
 Every window of ``k`` words is an edge of a de Bruijn graph whose nodes are its first and its
 last ``k - 1`` words. An edge is labelled with its source: the place of its occurrence in the
@@ -10,8 +10,8 @@ smallest document that has it. Windows of other documents are repeats of their s
 2. *Edges.* Blocks send one entry per distinct candidate edge; grouping by edge gives its
    source, which goes back to every block that has repeats of it.
 3. *Paths.* Joined back to its block, an edge follows another on the same path when both its
-   place and its source move on by one word. Where the graph branches, sources do not, so
-   runs of such edges are the nonbranching repeated paths; each becomes one row.
+   place and its source move on by one word; each run of such edges becomes one row. Runs
+   are not cut where another document branches off, so node degrees are not needed.
 4. *Verification.* Each path's source coordinates are joined to the block of its source,
    which digests the words that stand there. The block of the repeat digests its own words and
    stops the job if they differ, so no hash collision can remove a word unnoticed.
