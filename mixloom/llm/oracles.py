@@ -88,19 +88,19 @@ select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(c
 from texts left join kept using (doc_id)
 """
 
-#: Shingle sets of ``{docs}`` (doc_id, text), their links and components.
+#: Sets of ``{words}``-word shingles of ``{docs}`` (doc_id, text), their links at ``{percent}`` and components.
 NGRAM_CTE = r"""
 n_words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
   from {docs}),
 n_sets as (
-  select doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) as s
+  select doc_id, list_distinct(list_transform(range(1, greatest(len(w) - ({words} - 1), 1) + 1), lambda i: array_to_string(w[i : i + ({words} - 1)], ' '))) as s
   from n_words where len(w) > 0),
 n_grams as (select doc_id, unnest(s) as g from n_sets),
 n_common as (select x.doc_id as a, y.doc_id as b, count(*) as n from n_grams x join n_grams y on x.g = y.g and x.doc_id < y.doc_id group by all),
 n_links as (
   select a, b from n_common join n_sets x on x.doc_id = a join n_sets y on y.doc_id = b
-  where 100 * n >= 80 * (len(x.s) + len(y.s) - n)),
+  where 100 * n >= {percent} * (len(x.s) + len(y.s) - n)),
 n_both as (select a, b from n_links union all select b, a from n_links),
 n_reach as (select doc_id as a, doc_id as b from {docs} union select r.a, l.b from n_reach r join n_both l on r.b = l.a),
 n_result as (
@@ -108,7 +108,7 @@ n_result as (
   from {docs} d left join n_sets using (doc_id))
 """
 
-SQL["op7_ngram_join"] = f"with recursive {NGRAM_CTE.format(docs='documents')} select * from n_result"
+SQL["op7_ngram_join"] = f"with recursive {NGRAM_CTE.format(docs='documents', words=5, percent=80)} select * from n_result"
 
 SQL["op10_exact_topk"] = """
 with v as (
@@ -121,6 +121,39 @@ ranked as (select *, row_number() over (partition by query_id order by score des
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
+SQL["op12_lsh_forest"] = f"""
+with recursive {NGRAM_CTE.format(docs="documents", words=3, percent=85)} select *, doc_id = component_id as kept from n_result
+"""
+
+SQL["op13_periodic_runs"] = r"""
+with texts as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+      lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295) as h
+  from documents),
+placed as (select r, doc_id, w, h % 10 = 0 and len(w) > 0 as changed, (h // 10) % greatest(len(w), 1) as a, 3 + (h // 10) % 8 as parts from texts),
+words as (
+  select r, doc_id, len(w) as n, case when changed then list_transform(range(len(w)), lambda i:
+    case when i < a then w[i + 1] else w[a + (i - a) % (1 + (len(w) - a) // parts) + 1] end) else w end as w
+  from placed),
+tokens as (select r, n, unnest(w) as word, unnest(range(n)) as i from words),
+equal as (select x.r, x.i, y.i - x.i as q from tokens x join tokens y on x.r = y.r and x.word = y.word and x.i < y.i and 3 * (y.i - x.i) <= x.n),
+islands as (select r, q, i, i - row_number() over (partition by r, q order by i) as island from equal),
+periodic as (select r, min(i) as start, count(*) + q as length, q as period from islands group by r, q, island having count(*) + q >= greatest(24, 3 * q)),
+runs as (
+  select * from periodic p where not exists (
+    select 1 from periodic s where s.r = p.r and s.period < p.period and s.start <= p.start and s.start + s.length >= p.start + p.length)),
+covered as (select distinct r, unnest(range(start + period, start + length)) as i from runs),
+kept as (select r, string_agg(word, ' ' order by i) as t from tokens anti join covered using (r, i) group by r),
+listed as (
+  select r, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines,
+    arg_min(struct_pack(start, length, period), struct_pack(o := -length / period, s := start, p := period)) as best
+  from runs group by r)
+select doc_id, coalesce(n_runs, 0) as n_runs, best.start as start, best.length as length, best.period as period,
+  1000 * best.length // best.period as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(t, '')) as collapsed_sha256
+from words left join listed using (r) left join kept using (r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -5,11 +5,14 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from mixloom.llm import warc
+from mixloom.llm.alignment import alignment_digests
 from mixloom.llm.chat import read_back, render_turns
+from mixloom.llm.forest import forest_components
 from mixloom.llm.ngram_join import ngram_components
 from mixloom.llm.packing import pack_documents
 from mixloom.llm.pitman_yor import language_scores
 from mixloom.llm.quality import quality_rules
+from mixloom.llm.runs import periodic_runs
 from mixloom.llm.substring import repeat_digests
 from mixloom.llm.topk import exact_top_k
 from mixloom.llm.url_filter import filter_urls
@@ -90,3 +93,50 @@ def op9_bpe_coding(spark, sf_dir):
 @register
 def op10_exact_topk(spark, sf_dir):
     return exact_top_k(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
+@register
+def op11_tokenizer_alignment(spark, sf_dir):
+    byte_level, piece = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment_digests(table(spark, sf_dir, "documents"), byte_level, piece)
+
+
+@register
+def op12_lsh_forest(spark, sf_dir):
+    found = forest_components(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+def _with_periods(docs):
+    """(doc_id, text): in one document of ten, chosen by the CRC-32 of its id, the words from one
+    place on repeat those that follow it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def periodic(words):
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(words, lambda word, i: F.when(i < a, word).otherwise(F.get(words, (a + (i - a) % p).cast("int")))), " ")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    changed = F.get(F.transform(F.array(words), periodic), 0)
+    return docs.select("doc_id", F.when(h % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@register
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs(_with_periods(table(spark, sf_dir, "documents")), min_length=24, min_exponent=3)
+    keyed = F.transform("runs", lambda r: F.struct((-r["length"] / r["period"]).alias("order"), r["start"], r["period"], r["length"]))
+    best = F.array_min(keyed)
+    line = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(line, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
