@@ -264,6 +264,12 @@ select modified_at, strftime(make_timestamp(modified_at * 1000000), '%Y-%m-%d')
 from head group by 1 order by 3 desc, 1 limit 20"""
     sql["hist_lengths"] = top(SIZED, "sized_playlist", "num_tracks", "num_tracks")
     sql["hist_followers"] = top(HEADS, "head", "num_followers", "num_followers")
+    sql["hist_artists_sketched"], sql["hist_tracks_sketched"] = sql["hist_artists"], sql["hist_tracks"]
+    sql["totals_one_pass"] = sql["corpus_totals"]
+    parts = {"num_edits": "hist_edits", "num_followers": "hist_followers", "num_tracks": "hist_lengths", "title": "hist_titles_norm_all"}
+    sql["hist_one_pass"] = " union all ".join(
+        f"select cast({of} as varchar) as value, count, '{of}' as of from ({sql[name]})" for of, name in parts.items()
+    )
     described = "(select * from head where description is not null)"
     sql["hist_descriptions"] = top(HEADS, described, "description", "description", None)
     sql["hist_descriptions_norm"] = top(HEADS, described, norm("description"), "description", None)
@@ -272,6 +278,7 @@ from head group by 1 order by 3 desc, 1 limit 20"""
     sql["dict_tracks"] = f"with {PAIRS} select track_uri, track_idx from track_dict"
     encoded = "select playlist_idx, track_idx, 1 as count from pair join playlist_dict using (playlist_id) join track_dict using (track_uri)"
     sql["encode_interactions"] = f"with {PAIRS} {encoded}"
+    sql["encode_colocated"] = sql["encode_interactions"]
     sql["etl_roundtrip"] = f"with {pairs(PLACED, 'entry')} {encoded}"
 
     sql["dq_playlist_rules"] = f"""with {NESTED},
@@ -322,6 +329,9 @@ select playlist_idx, 0 as chunk, string_agg(track_idx, ',' order by track_idx) a
 placed as (select *, row_number() over (partition by playlist_idx order by track_idx) - 1 as place from train)
 select playlist_idx, cast(place // {length} as int) as chunk, string_agg(track_idx, ',' order by track_idx) as tracks
 from placed group by 1, 2"""
+    sql["salted_collect_hot"] = """with keyed as (select distinct l_returnflag, l_orderkey * 8 + l_linenumber as line from lineitem),
+placed as (select *, row_number() over (partition by l_returnflag order by line) - 1 as place from keyed)
+select l_returnflag, cast(place // 2500 as int) as chunk, string_agg(line, ',' order by line) as lines from placed group by 1, 2"""
     sql["topk_ids"] = f"""with {RANKED}
 select playlist_idx, string_agg(track_idx, ',' order by rank) as track_idxs from ranked group by 1"""
     sql["ranked_rows"] = f"with {RANKED} select playlist_idx, rank, track_idx from ranked"
@@ -372,6 +382,13 @@ union all select distinct 'track', track_idx from train)"""
         sql[f"recommend_{name}_sizes"] = f"""with {HELD}, {known}
 select distinct playlist_idx, least({K}, n) as tracks, least({K}, n) as distinct_tracks, least({K}, n) as last_rank
 from (select playlist_idx from {wanted}), known"""
+    sql["recommend_all_scored"] = f"with {HELD} select distinct playlist_idx, true as in_range from train"
+    sql["inner_product_topk"] = """with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(16 * x::double)) as x from embeddings
+  where len(list_filter(embedding, lambda x: x is null or not abs(x) < 1e6)) = 0),
+scored as (select q.vec_id as playlist_idx, c.vec_id as track_idx, list_inner_product(q.x, c.x)::bigint as score from v q join v c on q.vec_id <> c.vec_id),
+ranked as (select *, row_number() over (partition by playlist_idx order by score desc, track_idx) as rank from scored)
+select playlist_idx::int as playlist_idx, rank::int as rank, track_idx::int as track_idx, score from ranked where rank <= 20"""
     sql["recommend_unseen_sizes"] = f"""with {HELD}, {known},
 fresh as (
   select playlist_idx, least({K}, (select n from known) - count(*)) as n from train group by playlist_idx)
@@ -383,6 +400,7 @@ select n as num_playlists, (select count(distinct playlist_idx) from truth) - n
     sql["als_grid_counts"] = f"""with {HELD}
 select 32 as rank, cast(reg as double) as reg_param, cast(alpha as double) as alpha, n as num_playlists, true as in_range
 from ({scored}), (values (0.08, 20), (0.2, 20), (0.08, 1)) as grid(reg, alpha)"""
+    sql["als_grid_side_by_side"] = sql["als_grid_counts"]
     sql["als_submit_checks"] = f"""with {HELD}, {DECODER}
 select playlist_id, playlist_idx in (select playlist_idx from train) as listed, cast(0 as bigint) as doubled, cast(0 as bigint) as own_uris
 from playlists"""
@@ -397,6 +415,7 @@ select playlist_id, n as uris, n as distinct_uris, cast(0 as bigint) as own_uris
     sql["scan_slices"] = f"""with {PLACED}
 select pid, ordinal, pos, track_uri, track_name, album_uri, album_name, artist_uri, artist_name, duration_ms
 from entry"""
+    sql["scan_large_slice"] = sql["scan_slices"]
     sql["scan_first_n_files"] = f"""with {NESTED}
 select pid, name, num_tracks, modified_at from playlist
 where {number} in (select distinct {number} as slice_no from playlist order by 1 limit 6)"""
@@ -449,5 +468,6 @@ select pid, name, modified_at, num_tracks, duration_ms, tracks, duration from pl
     sql["cards_pretty"] = card(short, pretty_line)
     sql["cards_full"] = card(long, full_line)
     sql["show_ids"] = card(short, pretty_line, "(pid >= 1000 and pid < 1020 or pid in (7, 5, 1120))")
+    sql["show_indexed"] = sql["show_ids"]
     sql["show_range"] = card(long, full_line, "(pid >= 1000 and pid < 1300)")
     return sql

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from catalog import shape, views
 from mixloom.functions.arrays import ids_of
 from mixloom.functions.text import normalize_name
-from mixloom.operators import cards, flatten, quality, ranking, split, stats
+from mixloom.operators import cards, colocated, flatten, frequent, quality, ranking, scoring, split, stats
 from mixloom.operators.indexing import dictionary
-from mixloom.plans import etl, model, report, run, tools
+from mixloom.plans import etl, model, report, run, tools, tuning
 from mixloom.schema import PLAYLIST, slice_schema
-from mixloom.sources import sinks, versions
+from mixloom.sources import id_index, sinks, versions
 from mixloom.sources import slices as slice_files
+from mixloom.sources.split_slices import SplitSlices
 from mixloom.storage import scratch_path
 
 REGISTRY: dict = {}
@@ -144,6 +145,42 @@ def hist_artists_deep(spark, sf_dir):
     return stats.artist_counts(views.entries(spark, sf_dir), n=stats.TOP_DEEP)
 
 
+@query
+def hist_artists_sketched(spark, sf_dir):
+    """By the sketch: few artists, so every one has its counter and the bound is exact."""
+    return frequent.top_histogram(views.entries(spark, sf_dir), "artist_name", "artist")
+
+
+@query
+def hist_tracks_sketched(spark, sf_dir):
+    """With fewer counters than tracks, which are about as frequent as one another."""
+    label = F.concat("track_name", F.lit(" by "), "artist_name")
+    return frequent.top_histogram(views.entries(spark, sf_dir), label, "track", capacity=256)
+
+
+def _all_at_once(spark, sf_dir):
+    described, flat = views.described_playlists(spark, sf_dir), views.entries(spark, sf_dir)
+    sized = views.sized_playlists(spark, sf_dir).select("pid", "num_tracks")
+    of_playlists = views.stage(spark, sf_dir, "playlist_values", lambda: stats.playlist_values(described.drop("num_tracks").join(sized, "pid"), ["pid"]))
+    return of_playlists, views.stage(spark, sf_dir, "entry_values", lambda: stats.entry_values(flat, views.SEEN))
+
+
+@query
+def hist_one_pass(spark, sf_dir):
+    """The histograms of the playlist's own fields and of its titles, from one pass over them."""
+    counted = _all_at_once(spark, sf_dir)[0]
+    names = ["num_edits", "num_followers", "num_tracks"]
+    parts = [stats.histogram_of(counted, name, "value", kind="bigint", by_first=False).withColumn("of", F.lit(name)) for name in names]
+    titles = stats.histogram_of(counted, "name", "value", None, normalize_name, by_first=False).withColumn("of", F.lit("title"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("value", F.col("value").cast("string")).unionByName(titles)
+
+
+@query
+def totals_one_pass(spark, sf_dir):
+    """The corpus totals from the same counts."""
+    return _rounded(stats.totals_of(*_all_at_once(spark, sf_dir)), "mean_length")
+
+
 @query
 def hist_edits(spark, sf_dir):
     return stats.edit_counts(views.playlists(spark, sf_dir))
@@ -197,6 +234,12 @@ def encode_interactions(spark, sf_dir):
     return etl.build_interactions(views.pairs(spark, sf_dir))[0]
 
 
+@query
+def encode_colocated(spark, sf_dir):
+    """The same through buckets of tracks and of playlists."""
+    return colocated.encode_colocated(views.pairs(spark, sf_dir))
+
+
 # --- data quality -------------------------------------------------------------
 
 
@@ -302,7 +345,7 @@ def dq_summary(spark, sf_dir):
     nested = _with_repeats(views.nested_playlists(spark, sf_dir))
     n = views.table(spark, sf_dir, "orders").count() + 25
     raw = slice_files.read_raw_slices(spark, _broken_slices(spark, sf_dir), damaged="report")
-    return quality.summary(quality.all_violations(nested, n, raw))
+    return quality.written_with_summary(quality.all_violations(nested, n, raw))[1]
 
 
 # --- ranking ------------------------------------------------------------------
@@ -320,7 +363,16 @@ def ground_truth(spark, sf_dir):
 
 @query
 def salted_collect(spark, sf_dir):
-    return _listed(ranking.collect_chunks(views.train(spark, sf_dir), "playlist_idx", "track_idx", "tracks"), "tracks")
+    return _listed(ranking.collect_salted(views.train(spark, sf_dir), "playlist_idx", "track_idx", "tracks"), "tracks")
+
+
+@query
+def salted_collect_hot(spark, sf_dir):
+    """Three keys, one with half of all rows: each is collected through salts and merged."""
+    line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line")
+    keyed = views.stage(spark, sf_dir, "flagged", lambda: views.table(spark, sf_dir, "lineitem").select("l_returnflag", line).distinct())
+    lists = ranking.collect_salted(keyed, "l_returnflag", "line", "lines", max_len=2500, min_rows=2500)
+    return _listed(lists, "lines")
 
 
 @query
@@ -524,6 +576,27 @@ def recommend_all_sizes(spark, sf_dir):
     return _sizes(recommend_all(spark, sf_dir))
 
 
+@query
+def recommend_all_scored(spark, sf_dir):
+    """Per playlist: whether it was scored with as many tracks as listed at least, and all at most."""
+    fitted = _fitted(spark, sf_dir)
+    n = fitted.itemFactors.count()
+    shares = scoring.scored_shares(*model.factors_of(fitted), K)
+    return shares.select("playlist_idx", (F.col("scored").between(min(K, n), n) & F.col("share").between(0, 1)).alias("in_range"))
+
+
+@query
+def inner_product_topk(spark, sf_dir):
+    """The bounded search over the embeddings in sixteenths, every vector with every other."""
+    vectors = views.table(spark, sf_dir, "embeddings").filter(F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < 1e6)))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 16).cast("float")).alias("features")
+    number = F.col("vec_id").cast("int")
+    playlists, tracks = vectors.select(number.alias("playlist_idx"), whole), vectors.select(number.alias("track_idx"), whole)
+    own = vectors.select(number.alias("playlist_idx"), number.alias("track_idx"))
+    found = scoring.best_scored_tracks(playlists, tracks, 20, own)
+    return found.withColumn("score", F.col("score").cast("long"))
+
+
 @query
 def recommend_subset(spark, sf_dir):
     """Lists for the playlists with held-out tracks."""
@@ -635,6 +708,16 @@ def als_grid_counts(spark, sf_dir):
     return als_grid(spark, sf_dir).select("rank", "reg_param", "alpha", "num_playlists", F.col("mean_ap").between(0, 1).alias("in_range"))
 
 
+@query
+def als_grid_side_by_side(spark, sf_dir):
+    """The grid with two models at a time, by Spark ML's interfaces: whether it agrees with the other."""
+    grid = [{}, {"regParam": 0.2}, {"alpha": 1.0}]
+    found = tuning.grid_scores(views.train(spark, sf_dir), views.truth(spark, sf_dir), grid, K, leave_out_seen=False)
+    other = als_grid(spark, sf_dir).withColumnRenamed("mean_ap", "other")
+    same = F.abs(F.col("mean_ap") - F.col("other")) < 1e-6
+    return found.join(other, ["rank", "reg_param", "alpha", "num_playlists"]).select("rank", "reg_param", "alpha", "num_playlists", same.alias("in_range"))
+
+
 RUN_ID = "20171101_000000"
 
 
@@ -672,6 +755,35 @@ def scan_slices(spark, sf_dir):
     return flatten.entries_of(flatten.playlists_of(read)).withColumn("ordinal", F.col("ordinal").cast("int"))
 
 
+SLICES_PER_LARGE = 20
+
+
+def _large_slices(spark, sf_dir) -> str:
+    """The playlists in few and large files, one to a line, written once."""
+    path = views.stage_path(spark, sf_dir, "large_slices")
+    if path is not None:
+        return path
+    nested = views.nested_playlists(spark, sf_dir)
+    number = F.expr(f"pid div {shape.SLICE_SIZE * SLICES_PER_LARGE}").alias("part")
+    lists = nested.select(number, F.col("pid"), F.to_json(F.struct(*nested.columns)).alias("text"))
+    least = lists.groupBy("part").agg(F.min("pid").alias("least"))
+    lines = lists.join(least, "part").select("part", "pid", F.concat(F.when(F.col("pid") == F.col("least"), " ").otherwise(","), "text").alias("value"))
+    info = F.to_json(F.struct(F.lit("v1").alias("version"), F.lit("}, [ {").alias("slice")))
+    first = least.select("part", F.lit(-1).cast("long").alias("pid"), F.concat(F.lit('{"info": '), info, F.lit(', "playlists": [')).alias("value"))
+    last = least.select("part", F.lit(2**62).alias("pid"), F.lit("]}").alias("value"))
+    path = scratch_path(spark, "large_slices")
+    rows = lines.unionByName(first).unionByName(last).repartition("part").sortWithinPartitions("part", "pid")
+    rows.select("part", "value").write.partitionBy("part").option("mapreduce.output.basename", "mpd.slice.").text(path)
+    return views.keep_path(spark, sf_dir, "large_slices", path)
+
+
+@query
+def scan_large_slice(spark, sf_dir):
+    """Files of 20,000 playlists each, cut into byte ranges by Spark."""
+    found = SplitSlices(spark, _large_slices(spark, sf_dir), "mpd.slice.*").playlists()
+    return flatten.entries_of(found.drop("seen_at")).withColumn("ordinal", F.col("ordinal").cast("int"))
+
+
 @query
 def scan_first_n_files(spark, sf_dir):
     read = slice_files.read_first_slices(spark, _slice_dir(spark, sf_dir), 6)
@@ -774,6 +886,14 @@ def show_ids(spark, sf_dir):
     return tools.show(spark, _slice_dir(spark, sf_dir), ["1000-1020", 7, "5", 1120, "90000000-90000010"])
 
 
+@query
+def show_indexed(spark, sf_dir):
+    """The same through an index: only the files that hold wanted ids are opened."""
+    root, path = scratch_path(spark, "id_index"), _slice_dir(spark, sf_dir)
+    id_index.build_index(spark, path, root, RUN_ID)
+    return tools.show(spark, path, ["1000-1020", 7, "5", 1120, "90000000-90000010"], index=root)
+
+
 @query
 def show_range(spark, sf_dir):
     return tools.show(spark, _slice_dir(spark, sf_dir), start="1000", end="1300", style="full")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixloom.functions.arrays import average_precision, ids_of
-from mixloom.operators.skew import chunked_lists, hot_keys, skew_join
+from mixloom.operators.salted import salted_lists
+from mixloom.operators.skew import HOT_ROWS, chunked_lists, hot_keys, skew_join
 
 K = 500
 CHUNK = 10_000  # values in one collected list
@@ -63,6 +64,12 @@ def collect_chunks(df: DataFrame, key: str, value: str, name: str, max_len: int
     return chunked_lists(df.select(key, value), key, [value], F.col(value), name, max_len)
 
 
+def collect_salted(df: DataFrame, key: str, value: str, name: str, max_len: int = CHUNK, min_rows: int = HOT_ROWS) -> DataFrame:
+    """The same, with the rows of hot keys spread over salts before they are collected. ``df``
+    is read twice and should be a written table."""
+    return salted_lists(df.select(key, value), key, [value], F.col(value), name, max_len, min_rows=min_rows)
+
+
 def decode(ranked: DataFrame, dictionary: DataFrame, key: str, how: str = "inner", hot: list | None = None) -> DataFrame:
     """Add the natural key of ``key``. ``how="left"`` keeps unknown indices as null.
 

@@ -1,11 +1,20 @@
-"""The best tracks of many playlists by inner product of factors, in blocks.
+"""The best tracks of many playlists by inner product of factors, exact and bounded.
 
-Playlists and tracks are dealt into blocks, and every pair of blocks is one task of bounded
-size: a matrix product, the playlists' own tracks taken out, and the best k of what is left.
-A playlist's own tracks are out before the cut, so nothing is fetched too deep, and no list is
-longer than k. The best of all blocks meet in a window per playlist.
+Playlists are dealt into blocks. All tracks stream through the task of a block in order of
+falling norm, and each playlist keeps its best k so far. An inner product is at most the
+product of the norms (Cauchy-Schwarz), so a playlist is done once its norm times that of the
+next tracks stays below its k-th score; tracks after that are not scored for it, and its list
+is exact. A playlist's own tracks are out before the cut, so nothing is fetched too deep.
+
+What a task holds is one block of playlists with k tracks each, their own tracks and one stretch
+of tracks, whatever the number of tracks. A block's list is whole, so k rows a playlist leave
+its task and nothing is shuffled after it. Only where there are too few playlists to employ the
+cluster, or very many tracks, are the tracks dealt into lanes, each in order of norm; then the
+best of all lanes meet in a window per playlist.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,91 +22,214 @@ from pyspark.sql import functions as F
 
 from mixloom.operators.ranking import first_k
 
-PLAYLIST_BLOCK = 16_384
-TRACK_BLOCK = 32_768
+PLAYLIST_BLOCK = 16_384  # playlists of a block at most
+SMALL_BLOCK = 2_048  # blocks of fewer playlists would copy the tracks too often
+LANE_TRACKS = 1 << 22  # tracks that stream through one task
+STRETCH = 2_048  # tracks scored at a time
+TOGETHER = 32  # tracks of a shuffled row
 AT_ONCE = 4_000_000  # scores in memory at a time
+SLACK = 1 + 1e-5  # scores are rounded; the bound allows for it
 
-PLAYLIST, TRACK, SEED = 0, 1, 2
+PLAYLIST, OWN, TRACK = 0, 1, 2
+NONE = np.iinfo(np.int64).min  # in the place of a track that is not there
 
 
-def _best(scores: np.ndarray, tracks: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of each row's ``k`` best finite scores, ties to the smaller track."""
+def _keys(scores: np.ndarray, tracks: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of the scores, ties to the smaller track first."""
     bits = scores.view(np.int32).astype(np.int64)
-    ordered = np.where(bits >= 0, bits, bits ^ 0x7FFFFFFF)
-    keys = (ordered << 32) - tracks
-    if keys.shape[1] > k:
-        columns = np.argpartition(keys, keys.shape[1] - k, axis=1)[:, -k:]
-    else:
-        columns = np.broadcast_to(np.arange(keys.shape[1]), keys.shape)
-    rows = np.repeat(np.arange(len(keys)), columns.shape[1])
-    columns = columns.reshape(-1)
-    kept = np.isfinite(scores[rows, columns])
-    return rows[kept], columns[kept]
-
-
-def best_tracks(
-    playlists: DataFrame, tracks: DataFrame, k: int, seeds: DataFrame | None = None
-) -> DataFrame:
-    """(playlist_idx, rank, track_idx): the ``k`` best tracks of each playlist, leaving out
-    the pairs of ``seeds``. ``playlists`` (playlist_idx, features) and ``tracks``
-    (track_idx, features) hold factors; ties go to the smaller track."""
+    keys = (np.where(bits >= 0, bits, bits ^ 0x7FFFFFFF) << 32) - tracks
+    keys[~np.isfinite(scores)] = NONE
+    return keys
+
+
+def _of_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, tracks) again."""
+    ordered = -((-keys) >> 32)
+    bits = np.where(ordered >= 0, ordered, ordered ^ 0x7FFFFFFF).astype(np.int32)
+    return bits.view(np.float32), (ordered << 32) - keys
+
+
+class BestSoFar:
+    """The best ``k`` tracks of a block of playlists, while tracks come in falling norm."""
+
+    def __init__(self, playlists: np.ndarray, factors: np.ndarray, own: np.ndarray, k: int):
+        self.playlists, order = np.unique(playlists, return_index=True)
+        self.factors, self.k = factors[order].astype(np.float64), k
+        self.norms = np.sqrt((self.factors**2).sum(axis=1))
+        self.best = np.full((len(self.playlists), k), NONE, np.int64)
+        self.least = np.full(len(self.playlists), NONE, np.int64)
+        self.floor = np.full(len(self.playlists), -np.inf)  # the k-th score
+        self.scored = np.zeros(len(self.playlists), np.int64)
+        row = np.searchsorted(self.playlists, own[:, 0])
+        known = (row < len(self.playlists)) & (self.playlists[np.minimum(row, len(self.playlists) - 1)] == own[:, 0])
+        by_track = np.argsort(own[known, 1], kind="stable")
+        self.own_track, self.own_row = own[known, 1][by_track], row[known][by_track]
+
+    def add(self, tracks: np.ndarray, factors: np.ndarray, norm: float) -> None:
+        """Tracks of norm ``norm`` at most, and not above those before them."""
+        active = np.flatnonzero(~(self.norms * norm * SLACK < self.floor))
+        if not len(active):
+            return
+        self.scored[active] += len(tracks)
+        low, high = np.searchsorted(self.own_track, tracks, "left"), np.searchsorted(self.own_track, tracks, "right")
+        n = high - low
+        own_row = self.own_row[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        own_column = np.repeat(np.arange(len(tracks)), n)
+        by_row = np.argsort(own_row, kind="stable")
+        own_row, own_column = own_row[by_row], own_column[by_row]
+        step = max(1, AT_ONCE // len(tracks))
+        for begin in range(0, len(active), step):
+            rows = active[begin : begin + step]
+            keys = _keys((self.factors[rows] @ factors.T).astype(np.float32) + np.float32(0), tracks)  # no -0
+            some = slice(*np.searchsorted(own_row, [rows[0], rows[-1] + 1]))
+            at = np.searchsorted(rows, own_row[some])
+            there = rows[at] == own_row[some]
+            keys[at[there], own_column[some][there]] = NONE
+            better = (keys > self.least[rows, None]).any(axis=1)
+            rows = rows[better]
+            both = np.concatenate([self.best[rows], keys[better]], axis=1)
+            best = np.partition(both, len(tracks), axis=1)[:, len(tracks) :]
+            self.best[rows], self.least[rows] = best, best.min(axis=1)
+        full = self.least > NONE
+        self.floor[full] = _of_keys(self.least[full])[0]
+
+    def lists(self) -> list[np.ndarray]:
+        """(playlist, rank, track, score, tracks scored) of all lists, best first."""
+        keys = -np.sort(-np.where(self.best == NONE, NONE + 1, self.best), axis=1)
+        row, rank = np.nonzero(keys > NONE + 1)
+        scores, tracks = _of_keys(keys[row, rank])
+        return [self.playlists[row], rank + 1, tracks, scores, self.scored[row]]
+
+
+def _by_norm(tracks: DataFrame) -> DataFrame:
+    """(place, ids, features): tracks in order of falling norm, some to a row; ``place`` falls
+    with the norm of the first."""
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
+    norm = F.nanvl(norm, F.lit(float("inf")))
+    wide = tracks.select(F.col("track_idx").cast("int").alias("id"), F.col("features").cast("array<float>").alias("features"), norm.alias("norm"))
+    placed = wide.repartitionByRange(F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id")
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begin = np.arange(0, batch.num_rows + TOGETHER, TOGETHER).clip(max=batch.num_rows)
+            begin = begin[np.concatenate([[True], np.diff(begin) > 0])] if batch.num_rows else begin[:1]
+            lists, flat = batch.column(1), batch.column(1).flatten()
+            upto = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            columns = [
+                pa.array(-batch.column(2).to_numpy()[begin[:-1]]),
+                pa.ListArray.from_arrays(pa.array(begin, pa.int32()), batch.column(0)),
+                pa.ListArray.from_arrays(pa.array(upto[begin], pa.int32()), flat),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "ids", "features"])
+
+    return placed.mapInArrow(together, "place double, ids array<int>, features array<float>")
+
+
+def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The lists of each block, of rows that come by block, playlists first, then own tracks,
+    then tracks in order of place."""
+    block: int | None = None
+    held: dict[int, list] = {}
+    best: BestSoFar | None = None
+
+    def matrix(kind: int, width: int) -> np.ndarray:
+        parts = [p.column("features").flatten().to_numpy() for p in held[kind]]
+        return np.concatenate(parts).reshape(-1, width)
+
+    def ids(kind: int) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *(p.column("ids").flatten().to_numpy() for p in held[kind])]).astype(np.int64)
+
+    def score() -> None:
+        nonlocal best
+        if not held[TRACK] or not (best or held[PLAYLIST]):
+            return
+        tracks = ids(TRACK)
+        factors = matrix(TRACK, sum(len(p.column("features").flatten()) for p in held[TRACK]) // len(tracks)).astype(np.float64)
+        if best is None:
+            playlists = ids(PLAYLIST)
+            best = BestSoFar(playlists, matrix(PLAYLIST, factors.shape[1]), ids(OWN).reshape(-1, 2), k)
+            held[PLAYLIST], held[OWN] = [], []
+        best.add(tracks, factors, -held[TRACK][0].column("place")[0].as_py())
+        held[TRACK] = []
+
+    def finished() -> pa.RecordBatch:
+        score()
+        lists = best.lists() if best else [np.zeros(0)] * 5
+        types = [pa.int32(), pa.int32(), pa.int32(), pa.float32(), pa.int64()]
+        arrays = [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(lists, types, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["playlist_idx", "rank", "track_idx", "score", "scored"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        numbers, kinds = batch.column("g").to_numpy(), batch.column("kind").to_numpy()
+        cuts = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(kinds) != 0)) + 1
+        for begin, end in zip([0, *cuts], [*cuts, len(numbers)], strict=True):
+            if numbers[begin] != block:
+                if block is not None:
+                    yield finished()
+                block, best, held = int(numbers[begin]), None, {PLAYLIST: [], OWN: [], TRACK: []}
+            step = STRETCH // TOGETHER if kinds[begin] == TRACK else int(end - begin)
+            for at in range(begin, end, step):
+                held[int(kinds[begin])].append(batch.slice(at, min(step, end - at)))
+                if kinds[begin] == TRACK and sum(p.num_rows for p in held[TRACK]) >= step:
+                    score()
+    if block is not None:
+        yield finished()
+
+
+def bounded_lists(
+    playlists: DataFrame, tracks: DataFrame, k: int, seeds: DataFrame | None = None, lane_tracks: int = LANE_TRACKS
+) -> tuple[DataFrame, int]:
+    """(playlist_idx, rank, track_idx, score, scored) of the best ``k`` tracks of each playlist in
+    each lane, and the number of lanes. ``scored`` is how many tracks were scored for the playlist."""
     cores = playlists.sparkSession.sparkContext.defaultParallelism
-    track_blocks = max(1, -(-tracks.count() // TRACK_BLOCK))
-    playlist_blocks = max(-(-playlists.count() // PLAYLIST_BLOCK), -(-cores // track_blocks))
-    in_playlists = F.pmod(F.xxhash64("playlist_idx"), F.lit(playlist_blocks)).cast("int")
-    in_tracks = F.pmod(F.xxhash64("track_idx"), F.lit(track_blocks)).cast("int")
-    every_playlists = F.explode(F.sequence(F.lit(0), F.lit(playlist_blocks - 1)))
-    every_tracks = F.explode(F.sequence(F.lit(0), F.lit(track_blocks - 1)))
-    none = F.lit(None)
-
-    def part(df, p, t, kind, playlist, track, features):
-        return df.select(
-            p.alias("p"),
-            t.alias("t"),
-            F.lit(kind).alias("kind"),
-            playlist.cast("int").alias("playlist_idx"),
-            track.cast("int").alias("track_idx"),
-            features.cast("array<float>").alias("features"),
-        )
-
-    playlist, track, features = F.col("playlist_idx"), F.col("track_idx"), F.col("features")
-    rows = part(playlists, in_playlists, every_tracks, PLAYLIST, playlist, none, features)
-    rows = rows.unionByName(part(tracks, every_playlists, in_tracks, TRACK, none, track, features))
+    n, m = playlists.count(), tracks.count()
+    blocks = max(1, -(-n // PLAYLIST_BLOCK), min(cores, -(-n // SMALL_BLOCK)))
+    lanes = max(1, -(-m // lane_tracks), min(-(-cores // blocks), -(-m // PLAYLIST_BLOCK)))
+    every_block, every_lane = (F.explode(F.sequence(F.lit(0), F.lit(x - 1))) for x in (blocks, lanes))
+    block_of = F.pmod(F.xxhash64(F.col("playlist_idx").cast("int")), F.lit(blocks))
+
+    def rows(df: DataFrame, block, lane, kind: int, place, ids, features) -> DataFrame:
+        placed = df.withColumn("_block", block).withColumn("_lane", lane)
+        g = (F.col("_block") * lanes + F.col("_lane")).cast("int").alias("g")
+        return placed.select(g, F.lit(kind).alias("kind"), place.cast("double").alias("place"), ids.alias("ids"), features.alias("features"))
+
+    playlist, track = F.col("playlist_idx").cast("int"), F.col("track_idx").cast("int")
+    all_rows = rows(playlists, block_of, every_lane, PLAYLIST, F.lit(0.0), F.array(playlist), F.col("features").cast("array<float>"))
+    lane_of = F.pmod(F.xxhash64("ids"), F.lit(lanes))
+    all_rows = all_rows.unionByName(rows(_by_norm(tracks), every_block, lane_of, TRACK, F.col("place"), F.col("ids"), F.col("features")))
     if seeds is not None:
-        rows = rows.unionByName(part(seeds, in_playlists, in_tracks, SEED, playlist, track, none))
-    schema = pa.schema([("playlist_idx", pa.int32()), ("track_idx", pa.int32()), ("score", pa.float32())])
-
-    def score(group: pa.Table) -> pa.Table:
-        kind = group.column("kind").to_numpy()
-
-        def factors(wanted, name):
-            some = group.filter(pa.array(kind == wanted)).sort_by(name)
-            ids = some.column(name).to_numpy().astype(np.int64)
-            matrix = some.column("features").combine_chunks().flatten().to_numpy().astype(np.float64)
-            return ids, matrix.reshape(len(ids), -1)
-
-        if not {PLAYLIST, TRACK} <= set(kind.tolist()):
-            return schema.empty_table()
-        (users, user_factors), (items, item_factors) = factors(PLAYLIST, "playlist_idx"), factors(TRACK, "track_idx")
-        found = []
-        own = group.filter(pa.array(kind == SEED))
-        row = np.searchsorted(users, own.column("playlist_idx").to_numpy())
-        column = np.searchsorted(items, own.column("track_idx").to_numpy())
-        known = (row < len(users)) & (column < len(items))
-        known[known] = (users[row[known]] == own.column("playlist_idx").to_numpy()[known]) & (
-            items[column[known]] == own.column("track_idx").to_numpy()[known]
-        )
-        order = np.argsort(row[known], kind="stable")
-        row, column = row[known][order], column[known][order]
-        step = max(1, AT_ONCE // len(items))
-        for begin in range(0, len(users), step):
-            scores = (user_factors[begin : begin + step] @ item_factors.T).astype(np.float32)
-            low, high = np.searchsorted(row, [begin, begin + step])
-            scores[row[low:high] - begin, column[low:high]] = -np.inf
-            at, best = _best(scores, items, k)
-            found.append((users[begin + at], items[best], scores[at, best]))
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
-
-    scored = rows.groupBy("p", "t").applyInArrow(score, "playlist_idx int, track_idx int, score float")
-    return first_k(scored, "playlist_idx", [F.desc("score"), "track_idx"], k).select("playlist_idx", "rank", "track_idx")
+        nothing = F.array().cast("array<float>")
+        pairs = seeds.select("playlist_idx", "track_idx").dropna()
+        all_rows = all_rows.unionByName(rows(pairs, block_of, every_lane, OWN, F.lit(0.0), F.array(playlist, track), nothing))
+    # a hash may put two blocks in one partition; with some to spare, few share one
+    dealt = all_rows.repartition(4 * blocks * lanes, "g").sortWithinPartitions("g", "kind", "place")
+    schema = "playlist_idx int, rank int, track_idx int, score float, scored long"
+    return dealt.mapInArrow(lambda batches: _search(batches, k), schema), lanes
+
+
+def best_scored_tracks(
+    playlists: DataFrame, tracks: DataFrame, k: int, seeds: DataFrame | None = None, lane_tracks: int = LANE_TRACKS
+) -> DataFrame:
+    """(playlist_idx, rank, track_idx, score): the ``k`` best tracks of each playlist, leaving out
+    the pairs of ``seeds``. ``playlists`` (playlist_idx, features) and ``tracks`` (track_idx,
+    features) hold factors; ties go to the smaller track. Scores are 32-bit; one that is not a
+    finite number is no candidate."""
+    found, lanes = bounded_lists(playlists, tracks, k, seeds, lane_tracks)
+    if lanes > 1:
+        found = first_k(found.drop("rank"), "playlist_idx", [F.desc("score"), "track_idx"], k)
+    return found.select("playlist_idx", "rank", "track_idx", "score")
+
+
+def best_tracks(playlists: DataFrame, tracks: DataFrame, k: int, seeds: DataFrame | None = None) -> DataFrame:
+    """(playlist_idx, rank, track_idx) of ``best_scored_tracks``."""
+    return best_scored_tracks(playlists, tracks, k, seeds).drop("score")
+
+
+def scored_shares(playlists: DataFrame, tracks: DataFrame, k: int, seeds: DataFrame | None = None) -> DataFrame:
+    """(playlist_idx, scored, share): for how many tracks, and for what share of them, a score was
+    made before the bound ended the search. With several lanes it is that of the longest."""
+    found, lanes = bounded_lists(playlists, tracks, k, seeds)
+    share = F.least(F.lit(1.0), F.col("scored") * lanes / F.lit(max(1, tracks.count())))
+    return found.groupBy("playlist_idx").agg(F.max("scored").alias("scored")).withColumn("share", share)

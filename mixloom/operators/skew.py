@@ -9,8 +9,8 @@ HOT_KEYS = 256
 HOT_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS, min_rows: int = HOT_ROWS) -> list:
-    """At most ``limit`` keys that each hold at least 1/limit of the rows.
+def hot_key_counts(df: DataFrame, key: str, limit: int = HOT_KEYS, min_rows: int = HOT_ROWS) -> dict:
+    """At most ``limit`` keys that each hold at least 1/limit of the rows, with about how many.
 
     One pass with a mergeable frequent-items sketch: no shuffle by key, and one
     row back to the driver. A key the sketch misses costs speed, never rows.
@@ -20,7 +20,12 @@ def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS, min_rows: int = HOT
         F.expr(f"approx_top_k(`{key}`, {limit}, {limit * 16})").alias("items"),
     ).first()
     floor = max(min_rows, top["rows"] / limit)
-    return [item["item"] for item in top["items"] if item["item"] is not None and item["count"] >= floor]
+    return {item["item"]: item["count"] for item in top["items"] if item["item"] is not None and item["count"] >= floor}
+
+
+def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS, min_rows: int = HOT_ROWS) -> list:
+    """The keys of :func:`hot_key_counts`."""
+    return list(hot_key_counts(df, key, limit, min_rows))
 
 
 def hot_keys_from_counts(

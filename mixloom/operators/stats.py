@@ -1,6 +1,6 @@
 """Corpus totals and histograms."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.functions.text import date_text, normalize_name
@@ -102,6 +102,75 @@ def histogram(
     return ranked.select(name, "count")
 
 
+def counted_values(df: DataFrame, values: dict, seen: list | None = None) -> DataFrame:
+    """(of, value, count, first): how often each value of several columns occurs, in one pass.
+
+    ``values`` are columns by name; their values are counted as text. Every row becomes one for
+    each column and is counted before the shuffle, so ``df`` is read once however many histograms
+    are made of it. ``first`` is the least ``seen``, where that is named.
+    """
+    each = F.array(*[F.struct(F.lit(name).alias("of"), value.cast("string").alias("value")) for name, value in values.items()])
+    first = F.struct(*seen) if seen else F.lit(None).cast("int")
+    exploded = df.select(F.explode(each).alias("one"), first.alias("first")).select("one.*", "first")
+    return exploded.groupBy("of", "value").agg(F.count(F.lit(1)).alias("count"), F.min("first").alias("first"))
+
+
+PLAYLIST_VALUES = {
+    "name": F.col,
+    "num_edits": F.col,
+    "modified_at": F.col,
+    "num_tracks": F.col,
+    "num_followers": F.col,
+    "description": lambda name: F.col(name).isNotNull(),
+}
+ENTRY_VALUES = {
+    "track": lambda _: F.concat("track_name", F.lit(" by "), "artist_name"),
+    "artist_name": F.col,
+    "track_uri": F.col,
+    "album_uri": F.col,
+    "artist_uri": F.col,
+}
+
+
+def playlist_values(playlists: DataFrame, seen: list | None = None) -> DataFrame:
+    """All that histograms and totals need of the playlists; see :func:`counted_values`."""
+    return counted_values(playlists, {name: of(name) for name, of in PLAYLIST_VALUES.items()}, seen)
+
+
+def entry_values(entries: DataFrame, seen: list | None = None) -> DataFrame:
+    """All that histograms and totals need of the entries."""
+    return counted_values(entries, {name: of(name) for name, of in ENTRY_VALUES.items()}, seen)
+
+
+def histogram_of(counted: DataFrame, of: str, name: str, n: int | None = TOP, value=None, kind: str = "string", by_first: bool = True) -> DataFrame:
+    """(name, count) of one of the columns of :func:`counted_values`, as :func:`histogram` gives
+    them. ``value`` makes what is counted from a column's text."""
+    text = F.col("value") if value is None else value("value")
+    rows = counted.filter(F.col("of") == of).groupBy(text.cast(kind).alias(name))
+    ranked = rows.agg(F.sum("count").alias("count"), F.min("first").alias("_first")).orderBy(F.desc("count"), "_first" if by_first else name)
+    return (ranked if n is None else ranked.limit(n)).select(name, "count")
+
+
+def totals_of(of_playlists: DataFrame, of_entries: DataFrame, descriptions: bool = True) -> DataFrame:
+    """The row of :func:`corpus_totals` from :func:`playlist_values` and :func:`entry_values`."""
+
+    def only(of: str, value: Column) -> Column:
+        return F.when(F.col("of") == of, value)
+
+    described = F.coalesce(F.sum(only("description", F.when(F.col("value") == "true", F.col("count")))), F.lit(0))
+    by_playlist = of_playlists.agg(
+        F.sum(only("name", F.col("count"))).alias("playlists"),
+        F.count(only("name", F.col("value"))).alias("titles"),
+        *([described.alias("with_description")] if descriptions else []),
+        F.count_distinct(only("name", normalize_name("value"))).alias("normalized_titles"),
+    )
+    by_entry = of_entries.agg(
+        F.sum(only("track_uri", F.col("count"))).alias("entries"),
+        *[F.count(only(f"{name}_uri", F.col("value"))).alias(f"{name}s") for name in ("track", "album", "artist")],
+    )
+    return _fold(by_playlist, by_entry)
+
+
 def normalized_titles(playlists: DataFrame, n: int | None = TOP, seen: list | None = None) -> DataFrame:
     return histogram(playlists, normalize_name("name"), "title", n, seen, ["name"])
 

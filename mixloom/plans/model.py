@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mixloom.operators.ranking import K, score_summary, scores
 from mixloom.operators.scoring import best_tracks
-from mixloom.sources.versions import data_path, newest_run, note_run
+from mixloom.sources.versions import folder_of, new_attempt, publish
 from mixloom.storage import shared_dir
 
 # The model's parameters.
@@ -21,6 +21,7 @@ PARAMETERS = {
     "seed": 42,
 }
 ROWS_PER_BLOCK = 1_000_000
+FACTOR_TABLES = ["model/userFactors", "model/itemFactors"]  # of a saved model
 
 
 def als_rows(interactions: DataFrame) -> DataFrame:
@@ -100,25 +101,26 @@ def train_summary(rows: DataFrame, als: ALS, run_at: str) -> DataFrame:
     )
 
 
-def _factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
+def factors_of(model: ALSModel) -> tuple[DataFrame, DataFrame]:
+    """(playlist_idx, features) and (track_idx, features)."""
     return model.userFactors.withColumnRenamed("id", "playlist_idx"), model.itemFactors.withColumnRenamed("id", "track_idx")
 
 
 def recommend_all(model: ALSModel, k: int = K) -> DataFrame:
     """(playlist_idx, rank, track_idx) of the best ``k`` tracks for every playlist."""
-    return best_tracks(*_factors(model), k)
+    return best_tracks(*factors_of(model), k)
 
 
 def recommend_subset(model: ALSModel, playlists: DataFrame, k: int = K) -> DataFrame:
     """The same for the playlists of a ``playlist_idx`` column; the cost grows with them."""
-    users, items = _factors(model)
+    users, items = factors_of(model)
     return best_tracks(users.join(playlists.select("playlist_idx"), "playlist_idx", "left_semi"), items, k)
 
 
 def recommend_unseen(model: ALSModel, seeds: DataFrame, k: int = K) -> DataFrame:
     """The best ``k`` tracks that are not among a playlist's own, for the playlists of
     ``seeds`` that the model knows."""
-    users, items = _factors(model)
+    users, items = factors_of(model)
     pairs = seeds.select("playlist_idx", "track_idx")
     return best_tracks(users.join(pairs.select("playlist_idx"), "playlist_idx", "left_semi"), items, k, pairs)
 
@@ -133,12 +135,13 @@ def load_model(path: str) -> ALSModel:
 
 def save_version(spark: SparkSession, model: ALSModel, root: str, run_id: str) -> None:
     """A time-stamped copy; see :mod:`mixloom.sources.versions`."""
-    save_model(model, data_path(root, run_id))
-    note_run(spark, root, run_id)
+    attempt = new_attempt(root, run_id)
+    save_model(model, f"{attempt}/model")
+    publish(spark, root, run_id, attempt, FACTOR_TABLES)
 
 
 def load_newest(spark: SparkSession, root: str) -> ALSModel:
-    return load_model(data_path(root, newest_run(spark, root)))
+    return load_model(f"{folder_of(spark, root)}/model")
 
 
 def grid_search(train: DataFrame, validation: DataFrame, grid: list, k: int = K) -> DataFrame:

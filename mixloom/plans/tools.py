@@ -9,9 +9,11 @@ as Parquet, and every result reads only the fields it needs from there.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixloom.functions.text import date_text, normalize_name
 from mixloom.operators import cards, quality, stats
 from mixloom.operators.flatten import entries_of, playlists_in_file_order, playlists_of
 from mixloom.schema import PLAYLIST
+from mixloom.sources.id_index import indexed_playlists
 from mixloom.sources.slices import first_slice_paths, read_raw_slices, read_slices
 from mixloom.storage import staged
 
@@ -34,33 +36,42 @@ def staged_playlists(spark: SparkSession, path: str, first_files: int | None = N
     return staged(playlists_in_file_order(slices), "playlists")
 
 
-def statistics(spark: SparkSession, path: str, first_files: int | None = None) -> dict:
-    """Totals and the top-20 histograms; ties in the order of first sight."""
+def _values(spark: SparkSession, path: str, first_files: int | None) -> tuple[DataFrame, DataFrame]:
+    """Staged counts of all values of the playlists, and of their entries: one pass each."""
     playlists = staged_playlists(spark, path, first_files)
-    names = entries_of(playlists, NAMES)
+    of_playlists = staged(stats.playlist_values(playlists, PLAYLIST_ORDER), "playlist-values")
+    entries = entries_of(playlists, [*URIS, *NAMES])
+    return of_playlists, staged(stats.entry_values(entries, ENTRY_ORDER), "entry-values")
+
+
+def statistics(spark: SparkSession, path: str, first_files: int | None = None) -> dict:
+    """Totals and the top-20 histograms; ties in the order of first sight. The playlists are read
+    once, and their entries once."""
+    of_playlists, of_entries = _values(spark, path, first_files)
+    whole = {name: stats.histogram_of(of_playlists, name, name, kind="bigint") for name in ("num_edits", "modified_at", "num_tracks", "num_followers")}
+    modified = whole["modified_at"]
     return {
-        "totals": stats.corpus_totals(playlists, entries_of(playlists, URIS)),
-        "titles": stats.normalized_titles(playlists, seen=PLAYLIST_ORDER),
-        "tracks": stats.track_counts(names, seen=ENTRY_ORDER),
-        "artists": stats.artist_counts(names, seen=ENTRY_ORDER),
-        "edits": stats.edit_counts(playlists, seen=PLAYLIST_ORDER),
-        "modified": stats.modified_counts(playlists, seen=PLAYLIST_ORDER),
-        "lengths": stats.length_counts(playlists, seen=PLAYLIST_ORDER),
-        "followers": stats.follower_counts(playlists, seen=PLAYLIST_ORDER),
+        "totals": stats.totals_of(of_playlists, of_entries),
+        "titles": stats.histogram_of(of_playlists, "name", "title", value=normalize_name),
+        "tracks": stats.histogram_of(of_entries, "track", "track"),
+        "artists": stats.histogram_of(of_entries, "artist_name", "artist"),
+        "edits": whole["num_edits"],
+        "modified": modified.select("modified_at", date_text("modified_at").alias("date"), "count"),
+        "lengths": whole["num_tracks"],
+        "followers": whole["num_followers"],
     }
 
 
 def deep_statistics(spark: SparkSession, path: str, first_files: int | None = None) -> dict:
     """Slice records, totals, all titles, and the 10,000 most frequent tracks and artists."""
-    playlists = staged_playlists(spark, path, first_files)
-    names = entries_of(playlists, NAMES)
+    of_playlists, of_entries = _values(spark, path, first_files)
     return {
         "info": stats.slice_info(read_raw_slices(spark, _chosen(spark, path, first_files))),
-        "totals": stats.corpus_totals(playlists, entries_of(playlists, URIS), descriptions=False),
-        "full_titles": stats.lowered_titles(playlists, seen=PLAYLIST_ORDER),
-        "titles": stats.normalized_titles(playlists, n=None, seen=PLAYLIST_ORDER),
-        "tracks": stats.track_counts(names, n=stats.TOP_DEEP, seen=ENTRY_ORDER),
-        "artists": stats.artist_counts(names, n=stats.TOP_DEEP, seen=ENTRY_ORDER),
+        "totals": stats.totals_of(of_playlists, of_entries, descriptions=False),
+        "full_titles": stats.histogram_of(of_playlists, "name", "title", None, F.lower),
+        "titles": stats.histogram_of(of_playlists, "name", "title", None, normalize_name),
+        "tracks": stats.histogram_of(of_entries, "track", "track", stats.TOP_DEEP),
+        "artists": stats.histogram_of(of_entries, "artist_name", "artist", stats.TOP_DEEP),
     }
 
 
@@ -79,14 +90,14 @@ def check(
     """All violations, damaged files and values among them, and the errors per rule.
 
     The slices are read once, as text; the typed playlists are made from that. The
-    violations are written once, as both results read them.
+    violations are counted while they are written.
     """
     raw = staged(read_raw_slices(spark, _chosen(spark, path, first_files), damaged="report"), "raw-slices")
     texts = raw.select("file", F.posexplode("playlists").alias("place", "text"))
     typed = F.from_json("text", PLAYLIST).alias("playlist")
     playlists = staged(texts.select(F.struct("file", "place").alias("seen_at"), typed).select("seen_at", "playlist.*"), "playlists")
-    found = staged(quality.all_violations(playlists, n, raw), "violations")
-    return {"violations": found, "summary": quality.summary(found)}
+    found, summary = quality.written_with_summary(quality.all_violations(playlists, n, raw))
+    return {"violations": found, "summary": summary}
 
 
 def _slices_named_after(path: str, items: list) -> list:
@@ -116,19 +127,23 @@ def show(
     style: str = "pretty",
     limit: int | None = None,
     named_files: bool = False,
+    index: str | None = None,
 ) -> DataFrame:
     """Cards of the playlists named by ``pids``, which may mix ids and ranges
     (``["1000-1020", 1989, "99870-99999"]``), of the ids in [start, end), or of all.
 
     The ids decide, in whatever file they are. With ``named_files`` only the slices
     named after the wanted ids are opened, however many; one that is not there is an
-    error. ``limit`` skips ids from it on.
+    error. With ``index``, the folder of an index (:mod:`mixloom.sources.id_index`), only the
+    files that hold wanted ids are opened, whatever their names. ``limit`` skips ids from it on.
     """
     if pids is None and start is not None:
         try:
             pids = [f"{int(start)}-{int(end)}"] if int(start) >= 0 else []
         except (TypeError, ValueError) as problem:
             raise ValueError("bad pid") from problem
+    if index is not None and pids is not None:
+        return CARDS[style](indexed_playlists(spark, index, pids, limit))
     files = _slices_named_after(path, pids) if named_files and pids else path
     playlists = playlists_of(read_slices(spark, files))
     if pids is not None:

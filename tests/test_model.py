@@ -2,10 +2,12 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.ml.evaluation import RankingEvaluator
+from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import functions as F
 
 from mixloom.operators import ranking, scoring, split
-from mixloom.plans import model, report, run
+from mixloom.plans import model, report, run, tuning
 from tests.conftest import INFO, playlist
 
 
@@ -154,11 +156,76 @@ def test_best_tracks_equal_sorted_products(spark):
             for p in range(9)
             for rank, t in enumerate(sorted((t for t in range(40) if (p, t) not in left_out), key=lambda t: (-(users[p] @ items[t]), t))[:7], start=1)
         ]
-        for block in (5, 32_768):
-            scoring.TRACK_BLOCK, before = block, scoring.TRACK_BLOCK
-            got = scoring.best_tracks(*frames, 7, frame).collect()
-            scoring.TRACK_BLOCK = before
-            assert sorted(tuple(row) for row in got) == wanted
+        for lane in (5, 32_768):
+            got = scoring.best_scored_tracks(*frames, 7, frame, lane).collect()
+            assert sorted(tuple(row)[:3] for row in got) == wanted
+            assert all(row.score == users[row.playlist_idx] @ items[row.track_idx] for row in got)
+
+
+def test_the_bound_ends_the_search_and_keeps_lists_exact(spark):
+    """Norms that fall as those of popularity do: most tracks are never scored."""
+    rng = np.random.default_rng(6)
+    users = rng.integers(0, 8, (50, 8)).astype(float)
+    items = np.floor(rng.random((9000, 8)) * 200 / np.sqrt(1 + np.arange(9000))[:, None])
+    frames = [
+        spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(matrix)], f"{name} int, features array<float>")
+        for matrix, name in ((users, "playlist_idx"), (items, "track_idx"))
+    ]
+    own = {(p, int(t)) for p in range(50) for t in rng.integers(0, 300, 100)}
+    seeds = spark.createDataFrame([*own], "playlist_idx int, track_idx int")
+    got = {}
+    for row in scoring.best_scored_tracks(*frames, 20, seeds).collect():
+        got.setdefault(row.playlist_idx, []).append((row.rank, row.track_idx))
+    for p in range(50):
+        order = np.lexsort((np.arange(9000), -(items @ users[p])))
+        wanted = [int(t) for t in order if (p, int(t)) not in own][:20]
+        assert sorted(got[p]) == list(enumerate(wanted, start=1))
+    shares = scoring.scored_shares(*frames, 20, seeds).collect()
+    assert len(shares) == 50 and max(row.share for row in shares) < 0.5 and min(row.scored for row in shares) >= 20
+
+
+def test_lists_of_no_tracks_no_playlists_and_values_that_are_no_numbers(spark):
+    schema = "{} int, features array<float>"
+    users = spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.0, 0.0])], schema.format("playlist_idx"))
+    items = spark.createDataFrame([(5, [1.0, 1.0]), (3, [float("nan"), 1.0]), (4, [1.0, float("inf")])], schema.format("track_idx"))
+    assert sorted(tuple(r) for r in scoring.best_tracks(users, items, 3).collect()) == [(1, 1, 5), (2, 1, 5)]
+    assert scoring.best_tracks(users, items.limit(0), 3).count() == scoring.best_tracks(users.limit(0), items, 3).count() == 0
+
+
+GRID = [{"rank": 4, "maxIter": 2}, {"rank": 8, "maxIter": 4}, {"rank": 2, "maxIter": 1}]
+
+
+def test_a_grid_side_by_side_gives_the_same_figures(planted):
+    train, test, _ = planted
+    blocks = {"numUserBlocks": 4, "numItemBlocks": 4}
+    grid = [{**one, **blocks} for one in GRID]
+    one_by_one = model.grid_search(train, test, grid, 10).collect()
+    together = tuning.grid_scores(train, test, grid, 10, at_once=3, leave_out_seen=False).collect()
+    assert [(r.rank, r.num_playlists, round(r.mean_ap, 9)) for r in together] == [(r.rank, r.num_playlists, round(r.mean_ap, 9)) for r in one_by_one]
+    fresh = tuning.grid_scores(train, test, grid, 10).first()
+    assert fresh.mean_ap > one_by_one[0].mean_ap
+
+
+def test_estimator_and_evaluator_work_in_a_split_of_spark_ml(planted):
+    train, test, _ = planted
+    ranker, evaluator = tuning.PlaylistRanker(k=10), tuning.MapAtK(10)
+    grid = ParamGridBuilder().addGrid(ranker.rank, [2, 8]).addGrid(ranker.maxIter, [3]).build()
+    chosen = TrainValidationSplit(estimator=ranker, estimatorParamMaps=grid, evaluator=evaluator, trainRatio=0.8, parallelism=2, seed=1).fit(train)
+    assert len(chosen.validationMetrics) == 2 and chosen.bestModel.als.rank == (2, 8)[int(np.argmax(chosen.validationMetrics))]
+    judged = chosen.transform(test)
+    own = judged.join(train, ["playlist_idx", "track_idx"]).count()
+    assert own == 0 and evaluator.evaluate(judged) > 0.2
+
+
+def test_the_evaluator_agrees_with_the_ranking_evaluator(planted):
+    train, test, _ = planted
+    judged = tuning.PlaylistRanker(k=12, rank=4, maxIter=2).fit(train).transform(test)
+    lists = judged.groupBy("playlist_idx").agg(F.array_sort(F.collect_list(F.struct("rank", "track_idx"))).alias("ranked"))
+    truth = test.groupBy("playlist_idx").agg(F.collect_list(F.col("track_idx").cast("double")).alias("label"))
+    arrays = lists.join(truth, "playlist_idx").select(F.transform("ranked", lambda one: one["track_idx"].cast("double")).alias("prediction"), "label")
+    theirs = RankingEvaluator(metricName="meanAveragePrecisionAtK", k=12).evaluate(arrays)
+    assert tuning.MapAtK(12).evaluate(judged) == pytest.approx(theirs, abs=1e-12)
+    assert tuning.MapAtK(12).evaluate(judged.limit(0)) == 0.0 and tuning.MapAtK().isLargerBetter()
 
 
 def test_run_all(spark, slice_dir, tmp_path):
@@ -195,6 +262,25 @@ def test_an_older_run_keeps_its_own_dictionaries(spark, tmp_path):
     assert run.load_run(spark, out)["track_indexer"].first().track_uri.startswith("spotify:track:5")
 
 
+@pytest.mark.parametrize("lost_in", ["submit", "evaluate", "run_split"])
+def test_a_run_that_is_lost_leaves_the_older_one_whole(spark, slice_dir, tmp_path, monkeypatch, lost_in):
+    out, small = str(tmp_path / "run"), {"k": 5, "test_share": 0.4, "rank": 2, "maxIter": 1, "numUserBlocks": 2, "numItemBlocks": 2}
+    run.run_all(spark, slice_dir, out, "1", **small)
+    before = run.load_run(spark, out)
+    wanted = sorted(map(tuple, before["track_indexer"].collect())), sorted(map(tuple, run.read_submission(spark, out, "1").collect()))
+
+    def lost(*_, **__):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(run, lost_in, lost)
+    for run_id in ("2", "1"):
+        with pytest.raises(KeyboardInterrupt):
+            run.run_all(spark, slice_dir, out, run_id, **small)
+        newest = run.load_run(spark, out)
+        assert wanted == (sorted(map(tuple, newest["track_indexer"].collect())), sorted(map(tuple, run.read_submission(spark, out, "1").collect())))
+        assert newest["model"].rank == 2 and newest["interactions"].count() == before["interactions"].count()
+
+
 def test_wanted_playlists_alone_are_submitted(spark, slice_dir, tmp_path):
     out = str(tmp_path / "wanted")
     wanted = spark.createDataFrame([(0,), (7,), (4321,)], "playlist_id bigint")

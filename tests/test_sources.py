@@ -119,14 +119,47 @@ def test_submission_file_forms(spark, tmp_path):
         assert lines.readline().strip() == "playlist_id,recommended_track_uris"
 
 
-def test_versions_read_the_newest_noted_run(spark, tmp_path):
+def test_versions_read_the_newest_published_run(spark, tmp_path):
     root = str(tmp_path / "versions")
+    assert versions.newest_run(spark, root) is None
     versions.write_version(spark.range(3), root, "20240102_000000")
     versions.write_version(spark.range(5), root, "20240101_000000")
     assert versions.read_newest(spark, root).count() == 3
-    # Data without a note, as after a lost job, are not read.
-    spark.range(9).write.parquet(versions.data_path(root, "20250101_000000"))
+    assert versions.read_version(spark, root, "20240101_000000").count() == 5
+    # Data of a lost job, complete or not, are not read.
+    lost = versions.new_attempt(root, "20250101_000000")
+    spark.range(9).write.parquet(f"{lost}/data")
     assert versions.read_newest(spark, root).count() == 3
+    with pytest.raises(versions.NotPublished, match="no such version"):
+        versions.read_version(spark, root, "20250101_000000")
+
+
+def test_two_runs_with_one_id_do_not_mix(spark, tmp_path):
+    root = str(tmp_path / "versions")
+    one, two = versions.new_attempt(root, "1"), versions.new_attempt(root, "1")
+    assert one != two
+    for attempt, n in ((one, 3), (two, 7)):
+        for name in ("left", "right"):
+            spark.range(n).write.parquet(f"{attempt}/{name}")
+    versions.publish(spark, root, "1", two, ["left", "right"])
+    with pytest.raises(versions.NotPublished, match="published already"):
+        versions.publish(spark, root, "1", one, ["left", "right"])
+    folder = versions.folder_of(spark, root, "1")
+    assert {spark.read.parquet(f"{folder}/{name}").count() for name in ("left", "right")} == {7}
+    (row,) = versions.published(spark, root).collect()
+    assert {(t["name"], t["rows"]) for t in row["tables"]} == {("left", 7), ("right", 7)}
+
+
+def test_an_incomplete_attempt_is_not_published(spark, tmp_path):
+    root = str(tmp_path / "versions")
+    versions.write_version(spark.range(2), root, "1")
+    attempt = versions.new_attempt(root, "2")
+    spark.range(4).write.parquet(f"{attempt}/left")
+    with pytest.raises(versions.NotPublished, match="not complete"):
+        versions.publish(spark, root, "2", attempt, ["left", "right"])
+    assert versions.newest_run(spark, root) == "1"
+    with pytest.raises(ValueError):
+        versions.new_attempt(root, "a/b")
 
 
 def test_run_metrics_grow_by_one_row(spark, tmp_path):
