@@ -382,6 +382,7 @@ union all select distinct 'track', track_idx from train)"""
         sql[f"recommend_{name}_sizes"] = f"""with {HELD}, {known}
 select distinct playlist_idx, least({K}, n) as tracks, least({K}, n) as distinct_tracks, least({K}, n) as last_rank
 from (select playlist_idx from {wanted}), known"""
+    sql["als_normal_equations"] = f"with {HELD} select distinct playlist_idx, true as holds from train"
     sql["recommend_all_scored"] = f"with {HELD} select distinct playlist_idx, true as in_range from train"
     sql["inner_product_topk"] = """with v as (
   select vec_id, list_transform(embedding, lambda x: floor(16 * x::double)) as x from embeddings

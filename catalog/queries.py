@@ -548,6 +548,13 @@ def als_factor_shapes(spark, sf_dir):
     )
 
 
+@query
+def als_normal_equations(spark, sf_dir):
+    """Per playlist: whether its factors solve the least squares problem of the fit."""
+    errors = model.normal_equation_errors(_fitted(spark, sf_dir), views.train(spark, sf_dir))
+    return errors.select("playlist_idx", (F.col("error") < 0.01).alias("holds"))
+
+
 @query
 def train_summary(spark, sf_dir):
     return model.train_summary(model.als_input(views.train(spark, sf_dir), 64), model.make_als(), "20171101_000000")

@@ -7,6 +7,7 @@ from mixloom.storage import staged
 
 HOT_KEYS = 256
 HOT_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
 def hot_key_counts(df: DataFrame, key: str, limit: int = HOT_KEYS, min_rows: int = HOT_ROWS) -> dict:
@@ -59,12 +60,24 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, hot: list, how: str =
 
 def join_small(left: DataFrame, right: DataFrame, keys: list, how: str, max_rows: int = HOT_ROWS) -> DataFrame:
     """Join to a side that is small in ordinary data: broadcast it only if its
-    counted size allows, otherwise shuffle. ``right`` should be a written table."""
-    if right.limit(max_rows + 1).count() <= max_rows:
+    counted size allows, otherwise shuffle. ``right`` should be a written table.
+    Texts and lists have no size of their own, so their bytes are added up too."""
+    if _is_small(right, max_rows):
         right = F.broadcast(right)
     return left.join(right, keys, how)
 
 
+def _is_small(df: DataFrame, max_rows: int) -> bool:
+    sizes = [F.octet_length(name) for name, kind in df.dtypes if kind in ("string", "binary")]
+    sizes += [F.octet_length(F.to_json(F.struct(name))) for name, kind in df.dtypes if kind.startswith(("array", "map", "struct"))]
+    some = df.limit(max_rows + 1)
+    if not sizes:
+        return some.count() <= max_rows
+    total = F.sum(sum((F.coalesce(size, F.lit(0)).cast("long") for size in sizes), F.lit(0).cast("long")))
+    found = some.agg(F.count(F.lit(1)).alias("rows"), total.alias("bytes")).first()
+    return found["rows"] <= max_rows and (found["bytes"] or 0) <= BROADCAST_BYTES
+
+
 def _placed(df: DataFrame, order: list) -> DataFrame:
     """Range-partition by ``order``, sort inside, and fix each row's place.
 

@@ -125,6 +125,37 @@ def recommend_unseen(model: ALSModel, seeds: DataFrame, k: int = K) -> DataFrame
     return best_tracks(users.join(pairs.select("playlist_idx"), "playlist_idx", "left_semi"), items, k, pairs)
 
 
+def normal_equation_errors(model: ALSModel, interactions: DataFrame) -> DataFrame:
+    """(playlist_idx, error): how far each playlist's factors are from solving their own problem,
+    given the tracks' factors, which is what the last half-iteration of a fit solves.
+
+    With y the factors of the playlist's tracks, c = alpha * count and Y those of all tracks, the
+    gradient is Y'Y x + sum c y (y.x) - sum (1 + c) y + reg n x. It must be zero where a factor is
+    positive, and not negative where it is zero; ``error`` is the largest departure as a share
+    of the largest entry of sum (1 + c) y. Y'Y is rank x rank, whatever the number of tracks.
+    """
+    users, items = factors_of(model)
+    rank, reg, alpha = model.rank, PARAMETERS["regParam"], PARAMETERS["alpha"]
+    y = [F.element_at("y", k + 1).cast("double") for k in range(rank)]
+    squares = items.withColumnRenamed("features", "y").agg(*[F.sum(y[i] * y[j]).alias(f"s{i}_{j}") for i in range(rank) for j in range(i, rank)]).first()
+    gram = F.array(*[F.array(*[F.lit(squares[f"s{min(i, j)}_{max(i, j)}"]) for j in range(rank)]) for i in range(rank)])
+
+    def product(one, other):
+        return F.aggregate(F.zip_with(one, other, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda total, x: total + x)
+
+    pairs = als_rows(interactions).join(items.withColumnRenamed("features", "y"), "track_idx")
+    judged = pairs.join(users.withColumnRenamed("features", "x"), "playlist_idx")
+    c = F.col("count").cast("double") * alpha
+    judged = judged.withColumn("inner", product("y", "x"))
+    sums = [F.sum(c * F.col("inner") * y[k]).alias(f"a{k}") for k in range(rank)] + [F.sum((1 + c) * y[k]).alias(f"b{k}") for k in range(rank)]
+    summed = judged.groupBy("playlist_idx").agg(F.count(F.lit(1)).alias("n"), *sums).join(users, "playlist_idx")
+    x = [F.element_at("features", k + 1).cast("double") for k in range(rank)]
+    own = [product(F.element_at(gram, k + 1), "features") + F.col(f"a{k}") + reg * F.col("n") * x[k] - F.col(f"b{k}") for k in range(rank)]
+    wrong = [F.when(x[k] > 0, F.abs(own[k])).otherwise(F.greatest(-own[k], F.lit(0.0))) for k in range(rank)]
+    largest = F.greatest(*[F.abs(F.col(f"b{k}")) for k in range(rank)])
+    return summed.select("playlist_idx", (F.greatest(*wrong) / largest).alias("error"))
+
+
 def save_model(model: ALSModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -91,6 +91,14 @@ def test_subset_equals_its_part_of_all(planted):
     assert some == sorted(tuple(row) for row in whole.collect())
 
 
+def test_factors_solve_their_equations(planted):
+    train, _, fitted = planted
+    errors = [r.error for r in model.normal_equation_errors(fitted, train).collect()]
+    assert len(errors) == train.select("playlist_idx").distinct().count() and max(errors) < 0.01
+    other = model.normal_equation_errors(fitted, train.withColumn("track_idx", (F.col("track_idx") + 37) % 120))
+    assert other.agg(F.max("error")).first()[0] > 0.2
+
+
 def test_saved_versions(spark, planted, tmp_path):
     _, _, fitted = planted
     root = str(tmp_path / "models")

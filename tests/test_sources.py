@@ -119,6 +119,17 @@ def test_submission_file_forms(spark, tmp_path):
         assert lines.readline().strip() == "playlist_id,recommended_track_uris"
 
 
+def test_scratch_is_dropped_as_a_whole(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "scratch")
+    monkeypatch.setattr(storage, "scratch_dir", lambda _: folder)
+    kept = storage.staged(spark.range(5), "kept")
+    assert kept.count() == 5 and os.path.isdir(folder)
+    storage.drop_scratch(spark)
+    assert not os.path.exists(folder)
+    storage.drop_scratch(spark)  # nothing there is nothing to do
+    assert storage.staged(spark.range(2), "again").count() == 2
+
+
 def test_versions_read_the_newest_published_run(spark, tmp_path):
     root = str(tmp_path / "versions")
     assert versions.newest_run(spark, root) is None
