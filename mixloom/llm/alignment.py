@@ -22,9 +22,11 @@ an id or have none; an empty table gives no rows; other columns are not read.
 """
 
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,10 @@ from mixloom.llm.byte_bpe import byte_encoding, vocabulary
 from mixloom.storage import staged
 
 BLOCK_BYTES = 4 << 20  # of text
-WINDOW = 1 << 16
+WINDOW = 1 << 12
 META = "\u2581"  # how the pieces of the second tokenizer write a space
+STRETCHES = re.compile(" +[^ ]*")
+KEPT, KEPT_LENGTH = 1 << 18, 48  # stretches whose ids a worker keeps, and their longest
 
 
 @lru_cache(maxsize=2)
@@ -65,19 +69,74 @@ def pieces(path: str):
     return processor, out
 
 
+class PieceEncoder:
+    """Ids by a piece file, stretch by stretch: a stretch is spaces and what follows up to the next
+    space. No piece has a space after another character, so none crosses from one stretch into the
+    next, and the ids of a text are those of its stretches; frequent ones are kept. A file with such
+    pieces has its texts encoded whole."""
+
+    def __init__(self, path: str):
+        self.processor, self.bytes = pieces(path)
+        self.kept: dict[str, bytes | None] = {}  # ids as four bytes each
+        self.apart = not any(b" " in token.lstrip(b" ") for token in self.bytes)
+
+    def _learn(self, stretches: set[str]) -> dict[str, bytes | None]:
+        """The ids of stretches, which begin with the space that the processor adds; None for those
+        whose ids do not keep their bytes."""
+        listed = list(stretches)
+        out = {}
+        for one, ids in zip(listed, self.processor.encode([one[1:] for one in listed], num_threads=1), strict=True):
+            ids = ids if one != " " else [self.processor.piece_to_id(META)]
+            out[one] = array("I", ids).tobytes() if b"".join([self.bytes[i] for i in ids]) == one.encode() else None
+        return out
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """The ids of each text, with the space before it; None if they do not keep its bytes. A
+        null or empty text has none."""
+        split = [(STRETCHES.findall(" " + text) if self.apart else [" " + text]) if text else [] for text in texts]
+        seen = set(chain.from_iterable(split))
+        new = self._learn(seen - self.kept.keys())
+        if len(self.kept) + len(new) > KEPT:
+            self.kept = {one: self.kept[one] for one in seen & self.kept.keys()}
+        fits = len(self.kept) + len(new) <= KEPT
+        if fits and max(map(len, new), default=0) <= KEPT_LENGTH:
+            self.kept.update(new)
+            of_texts = self.kept
+        else:
+            of_texts = self.kept | new
+            self.kept.update((one, ids) for one, ids in new.items() if fits and len(one) <= KEPT_LENGTH)
+        out: list[np.ndarray | None] = []
+        for stretches in split:
+            found = [of_texts[one] for one in stretches]
+            out.append(None if None in found else np.frombuffer(b"".join(found), np.uint32))
+        return out
+
+
+@lru_cache(maxsize=2)
+def piece_encoder(path: str) -> PieceEncoder:
+    """Kept per Python worker."""
+    return PieceEncoder(path)
+
+
 def common_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of each side are before every common end, in rising order."""
-    cut_a: list[int] = []
-    cut_b: list[int] = []
+    cuts: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
     for begin in range(0, len(ends_a), WINDOW):
         window = ends_a[begin : begin + WINDOW]
         low, high = np.searchsorted(ends_b, [window[0], window[-1] + 1])
-        index_a = dict(zip(window.tolist(), count(begin + 1)))
-        index_b = dict(zip(ends_b[low:high].tolist(), count(int(low) + 1)))
+        index_a = dict(zip(window.tolist(), range(begin + 1, begin + 1 + len(window))))
+        index_b = dict(zip(ends_b[low:high].tolist(), range(int(low) + 1, int(high) + 1)))
         both = sorted(index_a.keys() & index_b.keys())
-        cut_a += map(index_a.__getitem__, both)
-        cut_b += map(index_b.__getitem__, both)
-    return np.array(cut_a, np.int64), np.array(cut_b, np.int64)
+        cuts.append(np.array([[index_a[end] for end in both], [index_b[end] for end in both]], np.int64))
+    cut_a, cut_b = np.concatenate(cuts, axis=1)
+    return cut_a, cut_b
+
+
+@lru_cache(maxsize=2)
+def token_sizes(path_a: str, path_b: str) -> tuple[np.ndarray, np.ndarray]:
+    """By id the bytes of both sides' tokens."""
+    one, two = (np.array([len(t) for t in side], np.int64) for side in (byte_tokens(path_a), pieces(path_b)[1]))
+    return one, two
 
 
 class Alignment:
@@ -86,22 +145,14 @@ class Alignment:
     tokens there are up to the end of each."""
 
     def __init__(self, texts: list[str | None], path_a: str, path_b: str):
-        encode, (processor, of_b) = byte_encoding(path_a, False), pieces(path_b)
-        size_a, size_b = (np.array([len(t) for t in side], np.int64) for side in (byte_tokens(path_a), of_b))
-        a, b = [], []
-        for text in texts:
-            ids_a, ids_b = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
-            if text:
-                ids_b = np.array(processor.encode(text, num_threads=1), np.uint32)
-                if b"".join([of_b[i] for i in ids_b.tolist()]) == b" " + text.encode():
-                    ids_a = encode(" " + text)
-                else:
-                    ids_b = ids_b[:0]
-            a.append(ids_a)
-            b.append(ids_b)
+        encode, encoder = byte_encoding(path_a, False), piece_encoder(path_b)
+        size_a, size_b = token_sizes(path_a, path_b)
+        b = encoder.encode(texts)
+        none = np.zeros(0, np.uint32)
+        b = [none if ids is None else ids for ids in b]
+        a = [encode(" " + text) if len(ids) else none for text, ids in zip(texts, b, strict=True)]
         self.from_a, self.from_b = (np.concatenate([[0], np.cumsum([len(x) for x in side])]).astype(np.int64) for side in (a, b))
-        none = [np.zeros(0, np.uint32)]
-        self.a, self.b = (np.concatenate([*side, *none]).astype(np.int64) for side in (a, b))
+        self.a, self.b = (np.concatenate([*side, none]).astype(np.int64) for side in (a, b))
         self.ends_a, self.ends_b = np.cumsum(size_a[self.a]), np.cumsum(size_b[self.b])
         self.cut_a, self.cut_b = common_cuts(self.ends_a, self.ends_b)
         self.n_groups = np.diff(np.searchsorted(self.cut_a, self.from_a, "right"))
