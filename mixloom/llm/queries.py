@@ -43,7 +43,8 @@ def op2_warc_archive(spark, sf_dir):
     records = table(spark, sf_dir, "pages").select(F.col("page_id").alias("record_id"), "url", F.encode("html", "UTF-8").alias("payload"))
     path = scratch_path(spark, "warc")
     warc.write_archive(records, path, min_revisit_bytes=100)
-    return warc.parsed(warc.read_archive(spark, path)).select(
+    records = warc.record_bytes(warc.read_archive(spark, path))
+    return warc.parsed(warc.split_records(records)).select(
         F.col("record_id").alias("page_id"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_digest"),

@@ -8,7 +8,7 @@ two log-likelihoods divided by its characters; it is accepted at the calibrated
 above.
 
 Training takes at most ``max_per_class`` distinct URLs of each class, those with the
-smallest hashes outside the calibration fold and of at most ``MAX_TRAINING_CHARS``
+smallest hashes outside the calibration fold and of at most ``max_chars``
 characters; that bounds the models, which go to the executors. Every URL is scored whole;
 scores, the calibration (all rule-judged URLs of the fold) and verdicts cover every row.
 The cutoff is the one with the highest sum of the two classes' rates of right
@@ -43,7 +43,6 @@ FOLDS = 5
 GRID = 100  # steps of the cutoff for one unit of score
 REACH = 20  # scores beyond plus or minus this count as this
 REMEMBERED = 200_000
-MAX_TRAINING_CHARS = 2048
 
 
 def split_url(rows: DataFrame) -> DataFrame:
@@ -71,14 +70,15 @@ def _in_fold() -> Column:
     return F.pmod(F.xxhash64("url", F.lit("calibration")), F.lit(FOLDS)) == 0
 
 
-def training_urls(judged: DataFrame, max_per_class: int) -> DataFrame:
-    """At most ``max_per_class`` distinct URLs of each class, of the smallest hashes."""
-    usable = (F.col("url") != "") & (F.char_length("url") <= MAX_TRAINING_CHARS)
+def training_urls(judged: DataFrame, max_per_class: int, max_chars: int) -> DataFrame:
+    """At most ``max_per_class`` distinct URLs of each class, of the smallest hashes, of at most
+    ``max_chars`` characters; dealt out again, as the cut leaves them in one partition."""
+    usable = (F.col("url") != "") & (F.char_length("url") <= max_chars)
     labelled = judged.filter(F.col("rule_verdict").isNotNull() & usable & ~_in_fold())
     distinct = labelled.select("url", "rule_verdict").distinct()
     by_hash = [F.xxhash64("url", F.lit("training")), F.col("url")]
     classes = [distinct.filter(F.col("rule_verdict") == c).orderBy(*by_hash).limit(max_per_class) for c in ("allow", "block")]
-    return classes[0].unionByName(classes[1])
+    return classes[0].unionByName(classes[1]).repartition("url")
 
 
 def gram_counts(urls: DataFrame, order: int) -> DataFrame:
@@ -149,10 +149,10 @@ class RatioScorer:
         return math.fsum(self._difference(text[at : at + order + 1]) for at in range(len(url))) / len(url)
 
 
-def learn(judged: DataFrame, order: int, max_per_class: int) -> dict[str, dict[str, int]]:
-    """Gram counts by class. Their number is bounded by the sample."""
+def learn(judged: DataFrame, order: int, max_per_class: int, max_chars: int) -> dict[str, dict[str, int]]:
+    """Gram counts by class: at most 2 * ``max_per_class`` * ``max_chars`` * (``order`` + 1)."""
     found: dict[str, dict[str, int]] = {"allow": {}, "block": {}}
-    for row in gram_counts(training_urls(judged, max_per_class), order).toLocalIterator():
+    for row in gram_counts(training_urls(judged, max_per_class, max_chars), order).toLocalIterator():
         found[row["rule_verdict"]][row["gram"]] = row["n"]
     return found
 
@@ -175,11 +175,13 @@ def calibrated_cutoff(scored: DataFrame) -> float:
     return cutoff
 
 
-def filter_urls(pages: DataFrame, rules=RULES, order: int = 4, max_per_class: int = 10_000) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score, cutoff) of every page."""
+def filter_urls(pages: DataFrame, rules=RULES, order: int = 4, max_per_class: int = 10_000, max_chars: int = 2048) -> DataFrame:
+    """(page_id, host, path, rule, verdict, score, cutoff) of every page. The models are fitted on
+    at most ``max_per_class`` distinct URLs of each class of at most ``max_chars`` characters;
+    every URL is scored whole, and all of the calibration fold decide on the cutoff."""
     spark = pages.sparkSession
     judged = judged_by_rules(pages, rules)
-    learned = spark.sparkContext.broadcast(learn(judged, order, max_per_class))
+    learned = spark.sparkContext.broadcast(learn(judged, order, max_per_class, max_chars))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = RatioScorer(learned.value["allow"], learned.value["block"], order)

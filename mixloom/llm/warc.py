@@ -111,10 +111,25 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return records.select("header", F.when(is_revisit, F.lit(b"")).otherwise(F.col("payload")).alias("body"), "payload")
 
 
+END = "\r\n\r\n"  # of a header block, and of a record
+
+
 def record_bytes(records: DataFrame) -> DataFrame:
-    """(record): the bytes of each record as a WARC file has them."""
-    end = F.encode(F.lit("\r\n\r\n"), "UTF-8")
-    return records.select(F.concat(F.encode("header", "UTF-8"), "body", end).alias("record"))
+    """(record, payload): the bytes of each record as a WARC file has them."""
+    end = F.encode(F.lit(END), "UTF-8")
+    return records.select(F.concat(F.encode("header", "UTF-8"), "body", end).alias("record"), "payload")
+
+
+def split_records(records: DataFrame) -> DataFrame:
+    """(header, body, payload) from the bytes of records: the header block up to its empty line,
+    then as many bytes as it says. A record that does not end there stops the job."""
+    header = F.concat(F.substring_index(F.col("record").cast("string"), END, 1), F.lit(END))
+    size = F.regexp_extract("header", "\r\nContent-Length: ([0-9]+)\r\n", 1).cast("int")
+    begun = F.octet_length("header")
+    known = records.select("record", "payload", header.alias("header")).select("*", size.alias("size"), begun.alias("begun"))
+    body, rest = F.expr("substring(record, begun + 1, size)"), F.expr("substring(record, begun + size + 1)")
+    ends = rest == F.encode(F.lit(END), "UTF-8")
+    return known.select(_verified(ends, F.col("header"), "a record does not end where its header says").alias("header"), body.alias("body"), "payload")
 
 
 def parsed(records: DataFrame) -> DataFrame:

@@ -41,6 +41,18 @@ def test_archive_round_trip(spark, tmp_path):
     whole = [bytes(r["record"]) for r in warc.record_bytes(warc.read_archive(spark, path)).collect()]
     assert all(r.startswith(b"WARC/1.1\r\n") and r.endswith(b"\r\n\r\n") for r in whole)
     assert sum(r.endswith(b"\r\n\r\n" + long + b"\r\n\r\n") for r in whole) == 1
+    from_bytes = warc.parsed(warc.split_records(warc.record_bytes(warc.read_archive(spark, path)))).collect()
+    assert sorted(map(str, from_bytes)) == sorted(map(str, found))
+
+
+def test_a_record_that_is_cut_short_stops_the_reader(spark, tmp_path):
+    path = archive(spark, tmp_path, [(1, "u", b"\xff\x00\r\n\r\nz" * 40, "", ""), (2, "é", b"", "", "")])
+    records = warc.record_bytes(warc.read_archive(spark, path))
+    bodies = {bytes(r["body"]) for r in warc.split_records(records).collect()}
+    assert bodies == {b"\xff\x00\r\n\r\nz" * 40, b""}
+    cut = records.withColumn("record", F.expr("substring(record, 1, octet_length(record) - 1)"))
+    with pytest.raises(Exception, match="does not end where its header says"):
+        warc.split_records(cut).collect()
 
 
 def test_a_changed_payload_stops_the_reader(spark, tmp_path):
@@ -131,7 +143,7 @@ def test_scores_against_plain_models(spark):
     frame = spark.createDataFrame(pages, "page_id long, url string, score string")
     order = 2
     judged = url_filter.judged_by_rules(frame)
-    training = [(r["url"], r["rule_verdict"]) for r in url_filter.training_urls(judged, 10).collect()]
+    training = [(r["url"], r["rule_verdict"]) for r in url_filter.training_urls(judged, 10, 2048).collect()]
     classes = {c: [u for u, v in training if v == c] for c in ("allow", "block")}
     assert all(0 < len(c) <= 10 for c in classes.values())
     alphabet = len({c for u, _ in training for c in u})
