@@ -19,7 +19,9 @@ in a window per query.
 Defined results: vectors that are null or hold a null or non-finite component take no part,
 nor do rows with a null id; a query meets every vector of its own length but those of its own
 id; ties go to the smaller id; a repeated row is ranked as often as it is there; a query
-without candidates has no row; other columns are not read.
+without candidates has no row; other columns are not read. Scores are whole numbers of 64 bits:
+a table with a component so large that a sum of products might not fit is an error that names
+the row.
 """
 
 
@@ -43,7 +45,7 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(vectors.T, self.order, axis=1).astype(np.float64)
+        self.values = np.take_along_axis(vectors.T, self.order, axis=1)
         self.least, self.most = vectors.min(axis=0), vectors.max(axis=0)
         self.reach = int(np.abs(vectors).max(initial=0))
 
@@ -62,13 +64,13 @@ class ImpactIndex:
         n, dims = self.vectors.shape
         high = np.maximum(query * self.least, query * self.most)
         used = np.flatnonzero(query)
-        # one sum of floats holds score and count, exactly: whole numbers that stay below 2 ** 53
-        fits = dims < 1 << 12 and int(np.abs(query).max(initial=0)) * self.reach * dims < 1 << (SHIFT - 1)
-        total = np.zeros(n)
+        # one sum of floats may hold score and count, exactly: whole numbers that stay below 2 ** 53
+        packed = dims < 1 << 12 and int(np.abs(query).max(initial=0)) * self.reach * dims < 1 << (SHIFT - 1)
+        score, count = np.zeros(n, np.int64), np.zeros(n, np.int64)
         done = np.zeros(dims, np.int64)
         top, bottom = int(high.max(initial=0)), int(np.minimum(query * self.least, query * self.most).min(initial=0))
         possible = np.flatnonzero(self.ids != query_id)
-        for share in ROUNDS if fits else ():
+        for share in ROUNDS:
             impact = top - int((top - bottom) * share)
             at, worth = [], []
             for dim in used:
@@ -77,15 +79,19 @@ class ImpactIndex:
                 if upto > done[dim]:
                     part = slice(n - upto, n - done[dim]) if weight > 0 else slice(done[dim], upto)
                     at.append(self.order[dim, part])
-                    worth.append(self.values[dim, part] * weight + (1 << SHIFT))
+                    worth.append(self.values[dim, part] * weight)
                     done[dim] = upto
-            if at:
-                total += np.bincount(np.concatenate(at), np.concatenate(worth), n)
-            count = np.rint(total / (1 << SHIFT))
-            score = total - count * (1 << SHIFT)
+            if at and packed:
+                total = np.bincount(np.concatenate(at), np.concatenate(worth) + (1 << SHIFT), n)
+                found = np.rint(total / (1 << SHIFT))
+                score += (total - found * (1 << SHIFT)).astype(np.int64)
+                count += found.astype(np.int64)
+            elif at:
+                np.add.at(score, np.concatenate(at), np.concatenate(worth))
+                count += np.bincount(np.concatenate(at), minlength=n)
             opened = done > 0
             # a dimension not opened adds its highest value at most; an opened one less than the round's impact
-            bound = score + float(high[~opened].sum()) + (int(opened.sum()) - count) * max(impact, 0)
+            bound = score + int(high[~opened].sum()) + (int(opened.sum()) - count) * max(impact, 0)
             if share == 1:
                 bound = score
             bound = bound[possible]
@@ -101,12 +107,13 @@ class ImpactIndex:
 
 
 def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """(id, x, size) of the rows that take part."""
+    """(id, x, size, reach) of the rows that take part; ``reach`` is the largest scaled component."""
     whole: Column = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), whole.alias("v")).filter("id is not null and v is not null")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     floored = F.transform("v", lambda x: F.floor(x * scale).cast("long"))
-    return rows.filter(finite).select("id", floored.alias("x"), F.size("v").alias("size"))
+    reach = F.aggregate("v", F.lit(0.0), lambda most, x: F.greatest(most, F.abs(x * scale)))
+    return rows.filter(finite).select("id", floored.alias("x"), F.size("v").alias("size"), reach.alias("reach"))
 
 
 def exact_top_k(
@@ -115,11 +122,15 @@ def exact_top_k(
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every`` the
     ``k`` rows with the highest inner product."""
     rows = integer_vectors(vectors, id_col, vector_col, scale)
-    n = rows.count()
-    blocks, chunks = max(1, -(-n // BLOCK_ROWS)), max(1, -(-n // (every * QUERY_ROWS)))
+    asks = F.col("id") % every == 0
+    most = F.max(F.struct("reach", "id")).alias("most")
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(asks).alias("queries"), F.max("size").alias("size"), most).first()
+    if seen["n"] and (reach := seen["most"]["reach"] + 1.0) * reach * seen["size"] >= 2.0**62:
+        raise ValueError(f"the products of row {seen['most']['id']} may not fit: its components reach {seen['most']['reach'] / scale:g}")
+    blocks, chunks = max(1, -(-seen["n"] // BLOCK_ROWS)), max(1, -(-seen["queries"] // QUERY_ROWS))
     place = F.xxhash64("id")
     held = rows.withColumns({"block": F.pmod(place, F.lit(blocks)), "chunk": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))), "asks": F.lit(False)})
-    queries = rows.filter(F.col("id") % every == 0)
+    queries = rows.filter(asks)
     asking = queries.withColumns({"block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), "chunk": F.pmod(place, F.lit(chunks)), "asks": F.lit(True)})
     columns = ["size", F.col("block").cast("int").alias("block"), F.col("chunk").cast("int").alias("chunk"), "asks", "id", "x"]
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
