@@ -80,19 +80,40 @@ class BestSoFar:
         step = max(1, AT_ONCE // len(tracks))
         for begin in range(0, len(active), step):
             rows = active[begin : begin + step]
-            keys = _keys((self.factors[rows] @ factors.T).astype(np.float32) + np.float32(0), tracks)  # no -0
+            scores = (self.factors[rows] @ factors.T).astype(np.float32) + np.float32(0)  # no -0
             some = slice(*np.searchsorted(own_row, [rows[0], rows[-1] + 1]))
             at = np.searchsorted(rows, own_row[some])
             there = rows[at] == own_row[some]
-            keys[at[there], own_column[some][there]] = NONE
-            better = (keys > self.least[rows, None]).any(axis=1)
-            rows = rows[better]
-            both = np.concatenate([self.best[rows], keys[better]], axis=1)
-            best = np.partition(both, len(tracks), axis=1)[:, len(tracks) :]
-            self.best[rows], self.least[rows] = best, best.min(axis=1)
+            scores[at[there], own_column[some][there]] = -np.inf
+            full = self.least[rows] > NONE
+            for part, wide in ((full, False), (~full, True)):
+                if part.any():
+                    self._take(rows[part], scores[part] if not part.all() else scores, tracks, wide)
         full = self.least > NONE
         self.floor[full] = _of_keys(self.least[full])[0]
 
+    def _take(self, rows: np.ndarray, scores: np.ndarray, tracks: np.ndarray, wide: bool) -> None:
+        """The best of ``rows`` after these scores. Lists that are full look at scores that reach
+        their floor alone; with ``wide`` all scores are ordered."""
+        if wide:
+            keys = _keys(scores, tracks)
+        else:
+            row, column = np.nonzero(scores >= self.floor[rows, None].astype(np.float32))
+            found = _keys(scores[row, column], tracks[column])
+            better = found > self.least[rows[row]]
+            row, found = row[better], found[better]
+            counts = np.bincount(row, minlength=len(rows))
+            touched = np.flatnonzero(counts)
+            if not len(touched):
+                return
+            keys = np.full((len(touched), int(counts.max())), NONE, np.int64)
+            begun = np.cumsum(counts) - counts
+            keys[np.repeat(np.arange(len(touched)), counts[touched]), np.arange(len(row)) - begun[row]] = found
+            rows = rows[touched]
+        both = np.concatenate([self.best[rows], keys], axis=1)
+        best = np.partition(both, keys.shape[1], axis=1)[:, keys.shape[1] :]
+        self.best[rows], self.least[rows] = best, best.min(axis=1)
+
     def lists(self) -> list[np.ndarray]:
         """(playlist, rank, track, score, tracks scored) of all lists, best first."""
         keys = -np.sort(-np.where(self.best == NONE, NONE + 1, self.best), axis=1)
