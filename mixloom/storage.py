@@ -45,9 +45,34 @@ def drop_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+#: Spark's own removal of a query's shuffle files when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` to the scratch folder and go on from the files: the lineage ends here,
-    later reads take only the columns they need, and the planner knows the size."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    later reads take only the columns they need, and the planner knows the size.
+
+    With ``drop_shuffles`` the write's shuffle files go as soon as it has ended, and not when the
+    driver happens to collect its garbage; nothing reads them again.
+    """
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
+    if drop_shuffles:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the table of :func:`staged` that ``df`` reads; nothing may read it after."""
+    spark = df.sparkSession
+    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if f"/mixloom-{spark.sparkContext.applicationId}/" not in path:
+            raise ValueError(f"not a staged table: {path}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -130,6 +130,19 @@ def test_scratch_is_dropped_as_a_whole(spark, tmp_path, monkeypatch):
     assert storage.staged(spark.range(2), "again").count() == 2
 
 
+def test_a_staged_table_is_dropped_alone(spark, tmp_path):
+    one, two = storage.staged(spark.range(50).repartition(3, "id"), "one", drop_shuffles=True), storage.staged(spark.range(7), "two")
+    assert one.count() == 50 and spark.conf.get(storage.CLEANUP) == "false"
+    storage.drop_staged(one.filter("id > 3"))
+    assert two.count() == 7
+    with pytest.raises(Exception, match="exist"):
+        one.collect()
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    with pytest.raises(ValueError, match="not a staged table"):
+        storage.drop_staged(spark.read.parquet(str(tmp_path / "own")))
+    assert spark.read.parquet(str(tmp_path / "own")).count() == 3
+
+
 def test_versions_read_the_newest_published_run(spark, tmp_path):
     root = str(tmp_path / "versions")
     assert versions.newest_run(spark, root) is None
