@@ -15,6 +15,8 @@ second pass goes on from the seating the first has reached.
 All contexts of a word are in one bucket, so what its tables send to the root is known there.
 What passes between buckets are the totals of each restaurant: a bucket sends its share of
 every context it holds to that context's shard, and gets the sums back in the same order.
+Shards number their contexts when they first hear of them, so that hashes travel once and
+differences of numbers after that.
 Predictive probabilities are averaged over the samples kept, each with the totals it had.
 
 Blocks of documents send their distinct words with the contexts they follow and training
@@ -40,11 +42,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixloom.llm.blocks import Words, by_bucket, from_payload, pack, stage_blocks, text_bytes, unpack
-from mixloom.storage import staged
+from mixloom.storage import drop_staged, staged
 
 FOLDS = 10
-OWN_SUMS = -1  # in the place of a bucket's number
 BUCKET_BYTES = 4 << 20
+MODEL_BLOCK_BYTES = 6 << 20  # of text: a larger block has fewer cells for its tokens
 DISCOUNT, STRENGTH = 0.8, 1.0  # of the context restaurants
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 10.0
 BURN_IN, SAMPLES = 3, 3  # sweeps of a pass before and at which samples are kept
@@ -76,6 +78,16 @@ def whole(split: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(split[1:].reshape(size, -1).T).view(f"u{size}").ravel().astype(np.int64)
 
 
+def steps(numbers: np.ndarray) -> np.ndarray:
+    """Rising numbers, or hashes, as their packed differences."""
+    return planes(np.diff(numbers, prepend=numbers.dtype.type(0)))
+
+
+def summed(split: np.ndarray, kind: type = np.int64) -> np.ndarray:
+    """What ``steps`` was given."""
+    return np.cumsum(whole(split).view(kind))
+
+
 class Block:
     """The token sequences of a block: ``tokens`` (numbers of its dictionary) and the ``cells``
     (token after context, numbered alike) they fall in."""
@@ -200,83 +212,21 @@ class Tables:
         return np.exp(low)
 
 
-class Seating:
-    """Table sizes of many dishes, each of ``customers`` (2 or more) in one restaurant, customer
-    by customer: the plain sampler that ``Tables`` is held against."""
-
-    def __init__(self, customers: np.ndarray, weight: np.ndarray, discount: float):
-        """Starts near what ``weight``, strength and parent probability, will keep up."""
-        self.customers, self.discount = customers, discount
-        expected = 1 + np.rint(weight * np.log1p((customers - 1) / (weight + 1)))
-        self.tables = np.minimum(customers, expected.astype(np.int64))
-        self._lay_out(np.minimum(customers, 2 * self.tables + 2))
-        within = np.arange(len(self.sizes)) - np.repeat(self.begin, self.room)
-        self.sizes[(within > 0) & (within < np.repeat(self.tables, self.room))] = 1
-        self.sizes[self.begin] = customers - self.tables + 1
-
-    def _lay_out(self, room: np.ndarray) -> None:
-        self.room = room
-        self.begin = np.cumsum(room) - room
-        self.sizes = np.zeros(int(room.sum()), np.int64)
-
-    def _make_room(self) -> None:
-        """Every dish gets a free place for one more table, unless each customer has one."""
-        full = (self.tables >= self.room) & (self.room < self.customers)
-        if full.any():
-            begin, room, sizes = self.begin, self.room, self.sizes
-            self._lay_out(np.where(full, np.minimum(self.customers, 2 * room + 2), room))
-            self.sizes[np.repeat(self.begin - begin, room) + np.arange(len(sizes))] = sizes
-
-    def move(self, weight: np.ndarray, rng: np.random.Generator) -> None:
-        """One customer of every dish leaves and is seated again."""
-        if not len(self.customers):
-            return
-        self._make_room()
-        draw = rng.random((4, len(self.customers)))
-        filled = np.cumsum(self.sizes)
-        before = filled[self.begin] - self.sizes[self.begin]
-        left = np.searchsorted(filled, before + (draw[0] * self.customers).astype(np.int64), side="right")
-        self.sizes[left] -= 1
-        self.tables -= self.sizes[left] == 0
-        others = self.customers - 1
-        opens = draw[1] * (weight + others - self.discount * self.tables) < weight
-        # an old table in proportion to size less discount: found by size, kept with chance
-        # (size - discount) / size, and always where it is the only one
-        filled = np.cumsum(self.sizes)
-        before = filled[self.begin] - self.sizes[self.begin]
-        chosen = left
-        waiting, place, keep = np.flatnonzero(~opens), draw[2], draw[3]
-        place, keep = place[waiting], keep[waiting]
-        while len(waiting):
-            at = np.searchsorted(filled, before[waiting] + (place * others[waiting]).astype(np.int64), side="right")
-            chosen[waiting] = at
-            refused = (keep * self.sizes[at] >= self.sizes[at] - self.discount) & (self.tables[waiting] > 1)
-            waiting = waiting[refused]
-            place, keep = rng.random((2, len(waiting)))
-        open_now = np.flatnonzero(opens)
-        if len(open_now):
-            empty = np.flatnonzero(self.sizes == 0)
-            chosen[open_now] = empty[np.searchsorted(empty, self.begin[open_now])]
-        self.sizes[chosen] += 1
-        self.tables += opens
-
-
 class Bucket:
     """All tokens of one bucket with their contexts, and the sampler over them.
 
-    ``contexts`` are the hashes of its contexts in rising order, and ``width`` is one more than
-    they are: the last number stands for the root itself. Packets with a given ``width`` have
-    the numbers already."""
+    ``contexts`` are its contexts in rising order, by their hashes or, once ``numbered``, their
+    numbers; ``width`` is one more than they are: the last place stands for the root itself."""
 
-    def __init__(self, number: int, packets: list[bytes], width: int | None = None):
+    def __init__(self, number: int, packets: list[bytes]):
         parts = [unpack(p) for p in packets]
-        hashes, self.lengths, contexts, train = (np.concatenate([p[c] for p in parts]) for c in range(4))
+        hashes, self.lengths = (np.concatenate([p[c] for p in parts]) for c in (0, 1))
+        contexts = np.concatenate([summed(p[2], np.uint64)[whole(p[3])] for p in parts])
+        train = np.concatenate([whole(p[4]) for p in parts])
         self.part_tokens = [len(p[0]) for p in parts]
-        self.part_cells = [len(p[2]) for p in parts]
-        self.contexts = np.zeros(0, np.uint64)
-        if width is None:
-            self.contexts, contexts = np.unique(contexts, return_inverse=True)
-            width = len(self.contexts) + 1
+        self.part_cells = [len(whole(p[3])) for p in parts]
+        self.contexts, contexts = np.unique(contexts, return_inverse=True)
+        width = len(self.contexts) + 1
         words, self.word_of_entry = np.unique(hashes, return_inverse=True)
         keys = np.repeat(self.word_of_entry, self.lengths) * width + contexts
         cells, self.cell_of_entry = np.unique(keys, return_inverse=True)
@@ -289,9 +239,18 @@ class Bucket:
         self.known = np.bincount(word, count, words).astype(np.int64)
 
     def cells(self) -> bytes:
-        """What sampling needs of the bucket; ``entries`` has what the blocks asked for."""
+        """What sampling needs of the bucket but its contexts; ``entries`` has what the blocks
+        asked for."""
         lengths = np.bincount(self.word, minlength=self.words)
-        return pack(self.contexts, *map(planes, (lengths, self.context, self.count)))
+        return pack(*map(planes, (lengths, self.context, self.count)))
+
+    def numbered(self, numbers: np.ndarray, customers: np.ndarray, dishes: np.ndarray) -> bytes:
+        """The bucket with its contexts by number, and what all buckets have of each: customers
+        and distinct dishes. The order of cells stays."""
+        order = np.argsort(numbers)
+        place = np.append(np.argsort(order), self.width - 1)
+        self.context = place[self.context]
+        return pack(steps(numbers[order]), planes(customers[order]), planes(dishes[order]), self.cells())
 
     def entries(self) -> bytes:
         """By block the words and cells it asked for, the cells counted from their word's first."""
@@ -309,14 +268,25 @@ class Bucket:
         return zip(of_words, np.split(by_cell[at], np.cumsum(cells)[:-1]), strict=True)
 
     @classmethod
-    def from_cells(cls, number: int, packet: bytes) -> "Bucket":
+    def from_cells(cls, number: int, cells: bytes, contexts: np.ndarray) -> "Bucket":
         self = cls.__new__(cls)
-        self.contexts, *counts = unpack(packet)
-        lengths, context, count = map(whole, counts)
+        self.contexts = contexts
+        lengths, context, count = map(whole, unpack(cells))
         word = np.repeat(np.arange(len(lengths)), lengths)
-        self._set(number, len(self.contexts) + 1, word, context, count, len(lengths))
+        self._set(number, len(contexts) + 1, word, context, count, len(lengths))
         return self
 
+    @classmethod
+    def from_numbered(cls, number: int, packet: bytes) -> tuple["Bucket", np.ndarray, np.ndarray]:
+        """(bucket, customers, dishes) of what ``numbered`` gave."""
+        numbers, customers, dishes, cells = unpack(packet)
+        return cls.from_cells(number, cells, summed(numbers)), whole(customers), whole(dishes)
+
+    @classmethod
+    def from_hashed(cls, number: int, cells: bytes, contexts: bytes) -> "Bucket":
+        """The bucket with its contexts by their hashes."""
+        return cls.from_cells(number, cells, summed(unpack(contexts)[0], np.uint64))
+
     def totals(self) -> np.ndarray:
         """By context: customers and distinct dishes; the last row's dishes are the known words."""
         inside = np.bincount(self.context, self.count, self.width)
@@ -389,29 +359,39 @@ class Totals:
         return (customers - ROOT_DISCOUNT * tables + self.root_weight()) / (ROOT_STRENGTH + self.root_customers)
 
 
+def shards_of(contexts: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places of its contexts) of hashes or numbers."""
+    return by_bucket(contexts % contexts.dtype.type(shards), shards)
+
+
 def received(contexts: np.ndarray, shards: int, answers: list[dict]) -> tuple[bytes | None, list[np.ndarray]]:
-    """The packet a bucket kept, and the sums over all buckets for each of its contexts."""
+    """The packet a bucket kept, and what the shards say of each of its contexts."""
     found = {a["shard"]: unpack(a["packet"]) for a in answers}
     kept = next((items[0] for items in found.values() if items[0] is not None), None)
     sums = [np.zeros(len(contexts), np.int64) for _ in next(iter(found.values()))[1:]]
-    for shard, at in by_bucket(contexts % np.uint64(shards), shards):
+    for shard, at in shards_of(contexts, shards):
         for total, part in zip(sums, found[shard][1:], strict=True):
             total[at] = whole(part)
     return kept, sums
 
 
+def _listed(answers: DataFrame) -> DataFrame:
+    """(bucket, answers) of what shards told."""
+    return answers.groupBy("bucket").agg(F.collect_list(F.struct("shard", "packet")).alias("answers"))
+
+
 class PitmanYor:
     """The model of one corpus, learned from its training documents."""
 
     def __init__(self, docs: DataFrame, seed: int = 7):
         self.seed = seed
         self.buckets = int(max(16, text_bytes(docs) // BUCKET_BYTES))
-        self.blocks = stage_blocks(docs)
+        self.blocks = stage_blocks(docs, block_bytes=MODEL_BLOCK_BYTES)
         self.cells = self._cells()
         self._learn()
 
     def _cells(self) -> DataFrame:
-        """Staged (bucket, blocks, cells, entries): what all blocks have of a bucket's words."""
+        """Staged (bucket, blocks, contexts, cells, entries): what all blocks have of a bucket's words."""
         buckets = self.buckets
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,10 +401,9 @@ class PitmanYor:
                     block.find_cells()
                     rows = []
                     for bucket, tokens, cells in block.parts(buckets):
-                        packet = pack(
-                            block.hash[tokens], narrow(block.cells_of_token[tokens]),
-                            block.hash[block.cell_context[cells]], narrow(block.cell_train[cells]),
-                        )
+                        contexts, context = np.unique(block.hash[block.cell_context[cells]], return_inverse=True)
+                        counts = planes(block.cell_train[cells])
+                        packet = pack(block.hash[tokens], narrow(block.cells_of_token[tokens]), steps(contexts), planes(context), counts)
                         rows.append((bucket, number, packet))
                     columns = list(zip(*rows, strict=True))
                     types = [pa.int32(), pa.int64(), pa.binary()]
@@ -435,30 +414,35 @@ class PitmanYor:
                 for number, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     parts = parts.as_py()
                     bucket = Bucket(number, [p["packet"] for p in parts])
-                    columns = [[number], [[p["block"] for p in parts]], [bucket.cells()], [bucket.entries()]]
-                    types = [pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "blocks", "cells", "entries"])
+                    columns = [[number], [[p["block"] for p in parts]], [pack(steps(bucket.contexts))], [bucket.cells()], [bucket.entries()]]
+                    types = [pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+                    names = ["bucket", "blocks", "contexts", "cells", "entries"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
         sent = self.blocks.mapInArrow(send, "bucket int, block long, packet binary")
         parts = F.sort_array(F.collect_list(F.struct("block", "packet"))).alias("parts")
-        schema = "bucket int, blocks array<long>, cells binary, entries binary"
-        return staged(sent.groupBy("bucket").agg(parts).mapInArrow(build, schema), "model-cells")
+        schema = "bucket int, blocks array<long>, contexts binary, cells binary, entries binary"
+        return staged(sent.groupBy("bucket").agg(parts).mapInArrow(build, schema), "model-cells", drop_shuffles=True)
 
-    def _summed(self, rows: DataFrame, of) -> tuple[DataFrame, np.ndarray]:
+    def _summed(self, rows: DataFrame, of, own_sums: int, hashed: bool = False) -> tuple[DataFrame, np.ndarray]:
         """Lets buckets add up what they have of each context. ``of`` gives for a row of
         ``rows``: the bucket, counts (each an array by its contexts), the bucket's own numbers,
-        and a packet to keep. Returns staged (bucket, answers), to be read by ``received``, and
-        the sums of the buckets' own numbers."""
+        and a packet to keep. Returns staged answers by bucket and shard, to be listed and read by
+        ``received``, and the sums of the buckets' own numbers. Where contexts are still ``hashed``, the answers
+        begin with their places in the shard."""
         shards = self.buckets
 
+        def keys(contexts: np.ndarray) -> np.ndarray:
+            return steps(contexts if hashed else contexts // shards)
+
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(batch.num_rows):
                     bucket, counts, own, kept = of(*(c[row].as_py() for c in batch.columns))
                     home, out = bucket.number % shards, {}
-                    for shard, at in by_bucket(bucket.contexts % np.uint64(shards), shards):
-                        out[shard] = [bucket.contexts[at], *(planes(c[at]) for c in counts)]
-                    out.setdefault(home, [np.zeros(0, np.uint64), *[planes(np.zeros(0, np.int64))] * len(counts)])
+                    for shard, at in shards_of(bucket.contexts, shards):
+                        out[shard] = [keys(bucket.contexts[at]), *(planes(c[at]) for c in counts)]
+                    out.setdefault(home, [keys(bucket.contexts[:0]), *[planes(np.zeros(0, np.int64))] * len(counts)])
                     packets = [pack(np.array(own if s == home else [], np.float64), kept if s == home else None, *x) for s, x in out.items()]
                     columns = [pa.array(list(out), pa.int32()), pa.array([bucket.number] * len(out), pa.int32()), pa.array(packets, pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, ["shard", "bucket", "packet"])
@@ -468,50 +452,51 @@ class PitmanYor:
                 for shard, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     parts = parts.as_py()
                     numbers, items = [p["bucket"] for p in parts], [unpack(p["packet"]) for p in parts]
-                    ends = np.cumsum([len(i[2]) for i in items])[:-1]
-                    contexts, at = np.unique(np.concatenate([i[2] for i in items]), return_inverse=True)
+                    asked = [summed(i[2], np.uint64 if hashed else np.int64) for i in items]
+                    ends = np.cumsum([len(x) for x in asked])[:-1]
+                    contexts, at = np.unique(np.concatenate(asked), return_inverse=True)
                     sums = [np.bincount(at, np.concatenate([whole(x) for x in c]), len(contexts)).astype(np.int64) for c in list(zip(*items, strict=True))[3:]]
-                    packets = [pack(i[1], *(planes(c[a]) for c in sums)) for i, a in zip(items, np.split(at, ends), strict=True)]
-                    own = [i[0] for i in items if len(i[0])]
-                    if own:
-                        numbers, packets = [*numbers, OWN_SUMS], [*packets, pack(np.sum(own, axis=0))]
-                    columns = [pa.array(numbers, pa.int32()), pa.array([shard] * len(numbers), pa.int32()), pa.array(packets, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "shard", "packet"])
+                    told = [np.arange(len(contexts)), *sums] if hashed else sums
+                    packets = [pack(i[1], *(planes(c[a]) for c in told)) for i, a in zip(items, np.split(at, ends), strict=True)]
+                    own = [np.sum([i[0] for i in items if len(i[0])], axis=0).tolist() if any(len(i[0]) for i in items) else None]
+                    lists = pa.array(own + [None] * (len(numbers) - 1), pa.list_(pa.float64()))
+                    columns = [pa.array(numbers, pa.int32()), pa.array([shard] * len(numbers), pa.int32()), pa.array(packets, pa.binary()), lists]
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "shard", "packet", "own"])
 
         sent = rows.mapInArrow(send, "shard int, bucket int, packet binary")
         parts = F.sort_array(F.collect_list(F.struct("bucket", "packet"))).alias("parts")
-        answers = staged(sent.groupBy("shard").agg(parts).mapInArrow(add, "bucket int, shard int, packet binary"), "model-totals")
-        own = [unpack(bytes(r["packet"]))[0] for r in answers.filter(F.col("bucket") == OWN_SUMS).collect()]
-        listed = F.collect_list(F.struct("shard", "packet")).alias("answers")
-        return answers.filter(F.col("bucket") != OWN_SUMS).groupBy("bucket").agg(listed), np.sum(own, axis=0)
+        answers = staged(sent.groupBy("shard").agg(parts).mapInArrow(add, "bucket int, shard int, packet binary, own array<double>"), "model-totals", drop_shuffles=True)
+        own = answers.agg(*[F.sum(F.get("own", F.lit(k))).alias(f"own{k}") for k in range(own_sums)]).first()
+        return answers, np.array([x or 0.0 for x in own])
 
     def _learn(self) -> None:
         """The first pass samples with a table a dish, the second with what came of it."""
         seed, shards = self.seed, self.buckets
-        cells = self.cells.select("bucket", "cells")
 
-        def count(number: int, packet: bytes):
-            bucket = Bucket.from_cells(number, packet)
+        def count(number: int, cells: bytes, contexts: bytes):
+            bucket = Bucket.from_hashed(number, cells, contexts)
             customers, dishes = bucket.totals().astype(np.int64)
             return bucket, [customers[:-1], dishes[:-1]], [dishes[-1], customers.sum(), dishes[:-1].sum()], None
 
-        answers, own = self._summed(cells, count)
-        known, train_tokens, tables = own if len(np.shape(own)) else np.zeros(3)
+        cells = self.cells.select("bucket", "cells", "contexts")
+        told, (known, train_tokens, tables) = self._summed(cells, count, 3, hashed=True)
+        known = float(known)
         self.known, self.train_tokens = known, int(train_tokens)
         root = tables, known
+        self.numbered = self._numbered(self.cells.join(_listed(told), "bucket"))
+        drop_staged(told)
+        drop_staged(self.cells)
 
-        def first(number: int, packet: bytes, answers: list[dict]):
-            bucket = Bucket.from_cells(number, packet)
-            _, (customers, dishes) = received(bucket.contexts, shards, answers)
+        def first(number: int, packet: bytes):
+            bucket, customers, dishes = Bucket.from_numbered(number, packet)
             rows = sampled(bucket, customers, dishes * SAMPLES, root)
-            return bucket, [rows[:, :-2].sum(axis=0)], rows[:, -2:].ravel(), pack(planes(customers), bucket.reached)
+            return bucket, [rows[:, :-2].sum(axis=0)], rows[:, -2:].ravel(), bucket.reached
 
         def second(number: int, packet: bytes, answers: list[dict]):
-            bucket = Bucket.from_cells(number, packet)
-            kept, (tables,) = received(bucket.contexts, shards, answers)
-            customers, begin = unpack(kept)
-            rows = sampled(bucket, whole(customers), tables, root, begin)
-            return bucket, list(rows[:, :-2]), rows[:, -2:].ravel(), pack(customers, planes(tables), begin)
+            bucket, customers, _ = Bucket.from_numbered(number, packet)
+            begin, (tables,) = received(bucket.contexts, shards, answers)
+            rows = sampled(bucket, customers, tables, root, begin)
+            return bucket, list(rows[:, :-2]), rows[:, -2:].ravel(), pack(planes(tables), begin)
 
         def sampled(bucket: Bucket, customers: np.ndarray, tables: np.ndarray, root: tuple[float, float], begin: bytes | None = None):
             model = Totals(np.append(customers, 0), np.append(tables / SAMPLES, 0), *root, known)
@@ -519,10 +504,34 @@ class PitmanYor:
 
         for step in (first, second):
             self.sampled_with = root
-            answers, own = self._summed(cells.join(answers, "bucket"), step)
-            self.realised = np.reshape(own, (SAMPLES, 2)) if len(np.shape(own)) else np.zeros((SAMPLES, 2))
+            rows, heard = self.numbered.select("bucket", "numbered"), told
+            told, own = self._summed(rows if step is first else rows.join(_listed(heard), "bucket"), step, 2 * SAMPLES)
+            if step is second:
+                drop_staged(heard)
+            self.realised = np.reshape(own, (SAMPLES, 2))
             root = tuple(self.realised.mean(axis=0))
-        self.answers = answers
+        self.answers = _listed(told)
+
+    def _numbered(self, counted: DataFrame) -> DataFrame:
+        """Staged (bucket, numbered, blocks, entries): the buckets with the numbers that shards gave
+        their contexts."""
+        shards = self.buckets
+
+        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    own, cells, contexts, answers = (batch.column(c)[row].as_py() for c in range(4))
+                    bucket = Bucket.from_hashed(own, cells, contexts)
+                    _, (places, customers, dishes) = received(bucket.contexts, shards, answers)
+                    numbers = places * shards + (bucket.contexts % np.uint64(shards)).astype(np.int64)
+                    packet = bucket.numbered(numbers, customers, dishes)
+                    passed = [batch.column(c).slice(row, 1) for c in (4, 5)]
+                    columns = [pa.array([own], pa.int32()), pa.array([packet], pa.binary()), *passed]
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "numbered", "blocks", "entries"])
+
+        schema = "bucket int, numbered binary, blocks array<long>, entries binary"
+        chosen = counted.select("bucket", "cells", "contexts", "answers", "blocks", "entries")
+        return staged(chosen.mapInArrow(number, schema), "model-numbered", drop_shuffles=True)
 
     def scores(self) -> DataFrame:
         """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
@@ -532,11 +541,11 @@ class PitmanYor:
         def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(batch.num_rows):
-                    number, blocks, cells, entries, totals = (c[row].as_py() for c in batch.columns)
-                    bucket = Bucket.from_cells(number, cells)
+                    number, packet, blocks, entries, totals = (c[row].as_py() for c in batch.columns)
+                    bucket, customers, _ = Bucket.from_numbered(number, packet)
                     kept, counts = received(bucket.contexts, buckets, totals)
-                    customers, tables, begin = unpack(kept)
-                    customers = np.append(whole(customers), 0)
+                    tables, begin = unpack(kept)
+                    customers = np.append(customers, 0)
                     model = Totals(customers, np.append(whole(tables) / SAMPLES, 0), *root, known)
                     samples = [Totals(customers, np.append(t, 0), *r, known) for t, r in zip(counts, realised, strict=True)]
                     by_cell = bucket.log_probabilities(model, samples, seed, begin).astype(np.float32)
@@ -565,7 +574,8 @@ class PitmanYor:
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-        sent = self.cells.join(self.answers, "bucket").mapInArrow(answer, "bucket int, block long, packet binary")
+        asked = self.numbered.join(self.answers, "bucket")
+        sent = asked.mapInArrow(answer, "bucket int, block long, packet binary")
         answers = sent.groupBy("block").agg(F.collect_list(F.struct("bucket", "packet")).alias("answers"))
         schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         return self.blocks.join(answers, "block").select("payload", "answers").mapInArrow(score, schema)

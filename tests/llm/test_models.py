@@ -49,7 +49,7 @@ def test_base_scores_and_counts(spark):
     assert all(r["score"] < 0 for r in found)
 
 
-def test_scores_do_not_depend_on_partitions(spark):
+def test_scores_repeat(spark):
     rows = corpus(2)
     one = {r["doc_id"]: r["score"] for r in py.language_scores(frame(spark, rows).coalesce(1)).collect()}
     again = {r["doc_id"]: r["score"] for r in py.language_scores(frame(spark, rows).coalesce(1)).collect()}
@@ -63,14 +63,25 @@ def test_empty_and_untrained(spark):
 
 
 def bucket_of(counts, width):
-    """A bucket of one packet: ``counts`` by (hash, context)."""
-    hashes = sorted({w for w, _ in counts})
+    """A bucket of ``counts`` by (word, context); the last context is the root itself."""
     cells = sorted(counts)
-    packet = py.pack(
-        np.array(hashes, np.uint64), np.array([sum(w == h for w, _ in cells) for h in hashes], np.uint16),
-        np.array([c for _, c in cells], np.uint16), np.array([counts[c] for c in cells], np.uint32),
-    )
-    return py.Bucket(0, [packet], width)
+    words = sorted({w for w, _ in cells})
+    lengths = [sum(w == word for w, _ in cells) for word in words]
+    packet = py.pack(*(py.planes(np.array(x)) for x in (lengths, [c for _, c in cells], [counts[c] for c in cells])))
+    return py.Bucket.from_cells(0, packet, np.arange(width - 1))
+
+
+def test_numbers_come_back_in_order():
+    counts = {(w, c): w + c for w in range(5) for c in range(7)}
+    bucket = bucket_of(counts, 8)
+    numbers = np.array([40, 3, 900, 17, 0, 65_000, 5])
+    packet = bucket.numbered(numbers, np.arange(7) * 10, np.arange(7) * 100)
+    again, customers, dishes = py.Bucket.from_numbered(0, packet)
+    assert again.contexts.tolist() == sorted(numbers.tolist())
+    assert [(numbers.tolist()[c], n) for (_, c), n in sorted(counts.items())] == [
+        (int(again.contexts[c]), int(n)) for c, n in zip(again.context, again.count, strict=True)
+    ]
+    assert customers.tolist() == [10 * k for k in np.argsort(numbers)] and dishes.tolist() == [100 * k for k in np.argsort(numbers)]
 
 
 def test_predictive_probabilities_sum_to_one():
@@ -107,11 +118,72 @@ def stirling(c, d):
     return table[c]
 
 
+class Seating:
+    """Table sizes of many dishes, each of ``customers`` (2 or more) in one restaurant, customer
+    by customer: the plain sampler that the library's is held against."""
+
+    def __init__(self, customers: np.ndarray, weight: np.ndarray, discount: float):
+        """Starts near what ``weight``, strength and parent probability, will keep up."""
+        self.customers, self.discount = customers, discount
+        expected = 1 + np.rint(weight * np.log1p((customers - 1) / (weight + 1)))
+        self.tables = np.minimum(customers, expected.astype(np.int64))
+        self._lay_out(np.minimum(customers, 2 * self.tables + 2))
+        within = np.arange(len(self.sizes)) - np.repeat(self.begin, self.room)
+        self.sizes[(within > 0) & (within < np.repeat(self.tables, self.room))] = 1
+        self.sizes[self.begin] = customers - self.tables + 1
+
+    def _lay_out(self, room: np.ndarray) -> None:
+        self.room = room
+        self.begin = np.cumsum(room) - room
+        self.sizes = np.zeros(int(room.sum()), np.int64)
+
+    def _make_room(self) -> None:
+        """Every dish gets a free place for one more table, unless each customer has one."""
+        full = (self.tables >= self.room) & (self.room < self.customers)
+        if full.any():
+            begin, room, sizes = self.begin, self.room, self.sizes
+            self._lay_out(np.where(full, np.minimum(self.customers, 2 * room + 2), room))
+            self.sizes[np.repeat(self.begin - begin, room) + np.arange(len(sizes))] = sizes
+
+    def move(self, weight: np.ndarray, rng: np.random.Generator) -> None:
+        """One customer of every dish leaves and is seated again."""
+        if not len(self.customers):
+            return
+        self._make_room()
+        draw = rng.random((4, len(self.customers)))
+        filled = np.cumsum(self.sizes)
+        before = filled[self.begin] - self.sizes[self.begin]
+        left = np.searchsorted(filled, before + (draw[0] * self.customers).astype(np.int64), side="right")
+        self.sizes[left] -= 1
+        self.tables -= self.sizes[left] == 0
+        others = self.customers - 1
+        opens = draw[1] * (weight + others - self.discount * self.tables) < weight
+        # an old table in proportion to size less discount: found by size, kept with chance
+        # (size - discount) / size, and always where it is the only one
+        filled = np.cumsum(self.sizes)
+        before = filled[self.begin] - self.sizes[self.begin]
+        chosen = left
+        waiting, place, keep = np.flatnonzero(~opens), draw[2], draw[3]
+        place, keep = place[waiting], keep[waiting]
+        while len(waiting):
+            at = np.searchsorted(filled, before[waiting] + (place * others[waiting]).astype(np.int64), side="right")
+            chosen[waiting] = at
+            refused = (keep * self.sizes[at] >= self.sizes[at] - self.discount) & (self.tables[waiting] > 1)
+            waiting = waiting[refused]
+            place, keep = rng.random((2, len(waiting)))
+        open_now = np.flatnonzero(opens)
+        if len(open_now):
+            empty = np.flatnonzero(self.sizes == 0)
+            chosen[open_now] = empty[np.searchsorted(empty, self.begin[open_now])]
+        self.sizes[chosen] += 1
+        self.tables += opens
+
+
 @pytest.mark.parametrize(("customers", "weight", "discount"), [(2, 0.3, 0.8), (4, 1.5, 0.5), (7, 0.05, 0.8), (6, 3.0, 0.0)])
 def test_gibbs_seating_has_the_right_distribution(customers, weight, discount):
     rng = np.random.default_rng(1)
     n = 20_000
-    seating = py.Seating(np.full(n, customers), np.full(n, weight), discount)
+    seating = Seating(np.full(n, customers), np.full(n, weight), discount)
     for _ in range(60):
         seating.move(np.full(n, weight), rng)
     assert (np.add.reduceat(seating.sizes, seating.begin) == customers).all()
@@ -221,6 +293,29 @@ def test_few_vectors_and_none(spark):
     assert topk.exact_top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_components_that_are_too_large_are_an_error(spark):
+    schema = "vec_id long, embedding array<double>"
+    for large in (1e17, 1e300, -3e7):
+        with pytest.raises(ValueError, match="row 7"):
+            topk.exact_top_k(spark.createDataFrame([(0, [1.0, 2.0]), (7, [0.0, large])], schema)).collect()
+    rows = [(k, [float(v) for v in np.random.default_rng(k).integers(-(10**6), 10**6, 8)]) for k in range(120)]
+    found = [tuple(r) for r in topk.exact_top_k(spark.createDataFrame(rows, schema), every=10).collect()]
+    wanted = []
+    for q, x in rows[::10]:
+        scores = sorted((-sum(int(a) * 256 * int(b) * 256 for a, b in zip(x, y)), v) for v, y in rows if v != q)[:5]
+        wanted += [(q, rank, v, -s) for rank, (s, v) in enumerate(scores, start=1)]
+    assert sorted(found) == sorted(wanted)
+
+
+def test_queries_are_dealt_by_their_own_number(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 16)
+    rows = [(50 * k, [float(k % 7), 1.0]) for k in range(90)]
+    found = topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert found.count() == 450
+    chunks = found._jdf.queryExecution().analyzed().toString()
+    assert "sequence(0, 5" in chunks
+
+
 def test_packets():
     for n in (0, 3, 5000):
         items = [np.arange(n, dtype=t) for t in (np.uint8, np.uint16, np.uint32, np.uint64, np.int32, np.int64, np.float32, np.float64)]
