@@ -1,0 +1,26 @@
+"""What a fit keeps on disk: few blocks, and no shuffles of iterations that are over."""
+
+import time
+from types import SimpleNamespace
+
+from mixloom.plans import model
+
+
+def test_a_fit_sends_factors_to_few_blocks_and_drops_what_it_shuffled(spark, monkeypatch):
+    given, collected = {}, []
+
+    def fit(rows):
+        time.sleep(0.5)
+        return "fitted"
+
+    monkeypatch.setattr(model, "make_als", lambda **values: given.update(values) or SimpleNamespace(fit=fit))
+    monkeypatch.setattr(model, "shared_dir", lambda spark: None)
+    monkeypatch.setattr(model._shuffles_dropped.__wrapped__, "__defaults__", (0.05,))
+    jvm = SimpleNamespace(System=SimpleNamespace(gc=lambda: collected.append(1)))
+    rows = SimpleNamespace(sparkSession=SimpleNamespace(_jvm=jvm), count=lambda: 32_000_000)
+    assert model.fit_rows(rows) == "fitted"
+    assert given == {"numUserBlocks": 16, "numItemBlocks": 16, "checkpointInterval": 1}
+    assert collected
+    n = len(collected)
+    time.sleep(0.2)
+    assert len(collected) == n  # it ends with the fit
