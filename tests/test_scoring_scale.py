@@ -1,0 +1,24 @@
+"""Blocks of playlists, and the lists that leave them."""
+
+import numpy as np
+
+from mixloom.operators import scoring
+
+
+def test_tracks_are_copied_to_few_blocks():
+    assert scoring.blocks_of(900_000, 12) == 24  # two to a core, of at most 65,536
+    assert [scoring.blocks_of(n, 12) for n in (0, 1, 5_000, 90_000)] == [1, 1, 3, 12]
+
+
+def test_lists_leave_a_block_some_playlists_at_a_time(monkeypatch):
+    monkeypatch.setattr(scoring, "LISTED", 3)
+    random = np.random.default_rng(1)
+    playlists, tracks = np.arange(10, dtype=np.int64), np.arange(40, dtype=np.int64)
+    x, y = random.integers(0, 9, (10, 4)).astype(float), random.integers(0, 9, (40, 4)).astype(float)
+    best = scoring.BestSoFar(playlists, x, np.zeros((0, 2), np.int64), 5)
+    best.add(tracks, y, float("inf"))
+    parts = list(best.lists())
+    assert [len(set(part[0].tolist())) for part in parts] == [3, 3, 3, 1]
+    found = np.concatenate([np.stack([part[0], part[1], part[2]]) for part in parts], axis=1).T.tolist()
+    scores = x @ y.T
+    assert found == [[p, n + 1, t] for p in range(10) for n, t in enumerate(sorted(range(40), key=lambda t: (-scores[p, t], t))[:5])]
