@@ -1,16 +1,17 @@
 """The test tables as playlist corpus, on Spark."""
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import shape
 from mixloom.operators.flatten import implicit_entries, interactions_of, keep_tracks
-from mixloom.operators.ranking import without_seeds
-from mixloom.operators.skew import chunked_lists, dense_numbers, join_small, long_keys, numbers_in_group, skew_join
+from mixloom.operators.skew import chunked_lists, dense_numbers, join_small, long_keys, numbers_in_group
 from mixloom.operators.split import heldout_rows, mark_test, train_rows
 from mixloom.schema import TRACK_PREFIX
 from mixloom.sources.sinks import write_parquet
-from mixloom.storage import scratch_path
+from mixloom.storage import scratch_path, staged
 
 _staged: dict = {}
 _paths: dict = {}
@@ -197,7 +198,7 @@ def to_slices(nested: DataFrame) -> DataFrame:
 # --- interactions for the ranking and model queries ---------------------------
 
 DEPTH = 500
-WALK = 1000
+NEAR = 1000  # the first tracks, which lists are cut from
 
 
 def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,22 +253,33 @@ def ranked(spark: SparkSession, sf_dir: str, k: int = DEPTH) -> DataFrame:
     not among the playlist's own; staged. A list with exact values for the
     ranking queries.
 
-    A playlist with s seeds walks the first k + s ranks, which is enough for k
-    fresh ones, so the work is the number of interactions and not playlists
-    times tracks.
+    A playlist's own tracks, in order of rank, leave gaps of fresh ones between them; only the
+    gaps that reach into the first ``k`` fresh ones are kept. Gaps are cut from one array of the
+    first ``NEAR`` tracks, without a shuffle of their rows, and what lies beyond is joined.
     """
 
     def build():
         seeds = train(spark, sf_dir).select("playlist_idx", "track_idx")
-        sizes = seeds.groupBy("playlist_idx").agg(F.count(F.lit(1)).alias("n"))
-        # In pieces, so that a long walk is never one array.
-        last = (F.col("n") + k).cast("int")
-        begin = F.col("piece") * WALK
-        pieces = sizes.select("playlist_idx", last.alias("last"), F.explode(F.sequence(F.lit(0), F.expr(f"(n + {k} - 1) div {WALK}").cast("int"))).alias("piece"))
-        walk = pieces.select("playlist_idx", F.explode(F.sequence(begin + 1, F.least(begin + WALK, "last"))).alias("rank"))
-        # Every playlist walks the first k ranks: those rows stay in place.
-        first = list(range(1, k + 1))
-        return without_seeds(skew_join(walk, popular(spark, sf_dir), "rank", first), seeds, k)
+        places = popular(spark, sf_dir)
+        own = seeds.filter("playlist_idx is not null").join(places, "track_idx").select("playlist_idx", "rank")
+        # a gap ends before an own track, the last one nowhere
+        ends = own.unionByName(seeds.select("playlist_idx").distinct().withColumn("rank", F.lit(2**31 - 1)))
+        in_order = Window.partitionBy("playlist_idx").orderBy("rank")
+        before = F.row_number().over(in_order) - 1  # own tracks before the gap
+        gaps = ends.withColumns({"before": before, "begin": F.lag("rank", 1, 0).over(in_order) + 1})
+        gaps = gaps.withColumn("last", F.least(F.col("rank") - 1, F.col("before") + k)).filter("begin <= last")
+        gaps = staged(gaps.select("playlist_idx", "before", "begin", "last"), "gaps")
+
+        first = places.filter(F.col("rank") <= NEAR).agg(F.array_sort(F.collect_list(F.struct("rank", "track_idx"))).alias("first"))
+        first = first.select(F.col("first.track_idx").alias("first"))
+        near = gaps.filter(F.col("begin") <= NEAR).crossJoin(F.broadcast(first))
+        cut = F.slice("first", F.col("begin"), F.least("last", F.lit(NEAR)) - F.col("begin") + 1)
+        near = near.select("playlist_idx", (F.col("begin") - F.col("before")).alias("from"), F.posexplode(cut).alias("place", "track_idx"))
+        near = near.select("playlist_idx", (F.col("from") + F.col("place")).alias("rank"), "track_idx")
+
+        reach = F.explode(F.sequence(F.greatest("begin", F.lit(NEAR + 1)), "last"))
+        far = gaps.filter(F.col("last") > NEAR).select("playlist_idx", "before", reach.alias("rank")).join(places, "rank")
+        return near.unionByName(far.select("playlist_idx", (F.col("rank") - F.col("before")).alias("rank"), "track_idx"))
 
     return stage(spark, sf_dir, "ranked", build)
 

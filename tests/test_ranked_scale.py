@@ -1,0 +1,35 @@
+"""Lists of popular tracks are cut from one array, not joined and anti-joined row by row."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalog import views
+
+
+@pytest.mark.parametrize("near", [1, 3, 1000])
+def test_lists_without_own_tracks(spark, tmp_path, monkeypatch, near):
+    pairs = [(p, t) for p in range(12) for t in range(20) if (p * 7 + t * t) % (t + 2) == 0] + [(50, t) for t in range(19)] + [(None, 3), (60, None), (61, None)]
+    train = spark.createDataFrame(pairs, "playlist_idx int, track_idx int").withColumn("count", F.lit(1))
+    monkeypatch.setattr(views, "train", lambda spark, sf_dir: train)
+    monkeypatch.setattr(views, "NEAR", near)
+    found = sorted(map(tuple, views.ranked(spark, str(tmp_path), 6).collect()), key=str)
+    counts = {}
+    for _, track in pairs:
+        counts[track] = counts.get(track, 0) + 1
+    popular = sorted(counts, key=lambda t: (-counts[t], -1 if t is None else t))
+    wanted = []
+    for playlist in {p for p, _ in pairs}:
+        own = {t for p, t in pairs if p == playlist and p is not None and t is not None}
+        wanted += [(playlist, n + 1, t) for n, t in enumerate([t for t in popular if t not in own][:6])]
+    assert found == sorted(wanted, key=str)
+
+
+def test_no_row_of_a_list_is_shuffled(spark, tmp_path, monkeypatch):
+    train = spark.createDataFrame([(p, (p + t) % 30) for p in range(9) for t in range(4)], "playlist_idx int, track_idx int").withColumn("count", F.lit(1))
+    built = {}
+    monkeypatch.setattr(views, "train", lambda spark, sf_dir: train)
+    monkeypatch.setattr(views, "popular", lambda spark, sf_dir: spark.range(1, 31).selectExpr("cast(id as int) rank", "cast(id - 1 as int) track_idx"))
+    monkeypatch.setattr(views, "stage", lambda spark, sf_dir, name, build: built.setdefault(name, build()))
+    shown = views.ranked(spark, str(tmp_path), 6)._jdf.queryExecution().executedPlan().toString()
+    near = shown[: shown.index("explode(sequence")]
+    assert "posexplode" in near and "hashpartitioning(playlist_idx" not in shown
