@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from catalog import shape, views
+from catalog import queries, shape, views
 from mixloom.operators.skew import chunked_lists
 from mixloom.sources import slices
 
@@ -37,3 +37,23 @@ def test_rows_move_before_they_are_collected(spark):
     shown = plan(lists)
     assert shown.index("partial_collect_list") < shown.index("Exchange ")
     assert sorted(map(tuple, lists.collect())) == [(k, 0, list(range(k, 40, 5))) for k in range(5)]
+
+
+def test_a_large_slice_is_one_file_also_after_a_shuffled_join(spark, tmp_path, monkeypatch):
+    nested = spark.range(0, 60 * shape.SLICE_SIZE, 100).select(F.col("id").alias("pid"), F.lit("n").alias("name"))
+    nested.write.parquet(str(tmp_path / "nested"))
+    monkeypatch.setattr(views, "nested_playlists", lambda spark, sf_dir: spark.read.parquet(str(tmp_path / "nested")))
+    # no broadcast, and partitions as large inputs have them: some of the lines, one of the first and last ones
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        path = queries._large_slices(spark, str(tmp_path))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    for part in range(3):
+        folder = os.path.join(path, f"part={part}")
+        (only,) = [one for one in os.listdir(folder) if one.startswith("mpd")]
+        pids = [p["pid"] for p in json.loads(open(os.path.join(folder, only)).read())["playlists"]]
+        assert pids == list(range(part * 20_000, (part + 1) * 20_000, 100))
