@@ -510,7 +510,10 @@ class PitmanYor:
                 drop_staged(heard)
             self.realised = np.reshape(own, (SAMPLES, 2))
             root = tuple(self.realised.mean(axis=0))
-        self.answers = _listed(told)
+        # one table for the scores: what it is made of is gone before they need disk of their own
+        self.asked = staged(self.numbered.join(_listed(told), "bucket"), "model-asked", drop_shuffles=True)
+        drop_staged(self.numbered)
+        drop_staged(told)
 
     def _numbered(self, counted: DataFrame) -> DataFrame:
         """Staged (bucket, numbered, blocks, entries): the buckets with the numbers that shards gave
@@ -574,8 +577,7 @@ class PitmanYor:
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-        asked = self.numbered.join(self.answers, "bucket")
-        sent = asked.mapInArrow(answer, "bucket int, block long, packet binary")
+        sent = self.asked.mapInArrow(answer, "bucket int, block long, packet binary")
         answers = sent.groupBy("block").agg(F.collect_list(F.struct("bucket", "packet")).alias("answers"))
         schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         return self.blocks.join(answers, "block").select("payload", "answers").mapInArrow(score, schema)
