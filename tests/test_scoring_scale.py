@@ -2,7 +2,8 @@
 
 import numpy as np
 
-from mixloom.operators import scoring
+from catalog import queries
+from mixloom.operators import ranking, scoring
 
 
 def test_tracks_are_copied_to_few_blocks():
@@ -22,3 +23,35 @@ def test_lists_leave_a_block_some_playlists_at_a_time(monkeypatch):
     found = np.concatenate([np.stack([part[0], part[1], part[2]]) for part in parts], axis=1).T.tolist()
     scores = x @ y.T
     assert found == [[p, n + 1, t] for p in range(10) for n, t in enumerate(sorted(range(40), key=lambda t: (-scores[p, t], t))[:5])]
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lists_leave_the_search_as_lists_and_are_counted_as_lists(spark):
+    schema = "{} int, features array<float>"
+    users = spark.createDataFrame([(p, [float(p), 1.0]) for p in range(5)], schema.format("playlist_idx"))
+    items = spark.createDataFrame([(t, [float(t % 3), float(t)]) for t in range(20)], schema.format("track_idx"))
+    seeds = spark.createDataFrame([(p, t) for p in range(5) for t in range(17, 20)], "playlist_idx int, track_idx int")
+    for lane in (8, 100):
+        lists = scoring.best_lists(users, items, 4, seeds, lane)
+        rows = scoring.best_scored_tracks(users, items, 4, seeds, lane).orderBy("playlist_idx", "rank").collect()
+        assert lists.count() == 5 and sorted((r.playlist_idx, r.track_idxs) for r in lists.collect()) == [
+            (p, [r.track_idx for r in rows if r.playlist_idx == p]) for p in range(5)
+        ]
+    sizes = queries._sizes(lists)
+    assert plan(sizes).count("Exchange") == plan(lists.select("*")).count("Exchange") and "Aggregate" not in plan(sizes)
+    assert sorted(map(tuple, sizes.collect())) == [(p, 4, 4, 4) for p in range(5)]
+
+
+def test_lists_score_as_their_rows_do(spark):
+    lists = spark.createDataFrame([(1, [5, 6, 7, 8]), (2, [9, 5]), (3, [1]), (4, [5, 6])], "playlist_idx int, track_idxs array<int>")
+    held = [(1, 8), (1, 5), (1, 5), (1, None), (2, 6), (3, 1), (9, 1), (None, 5)]
+    truth = spark.createDataFrame(held, "playlist_idx int, track_idx int")
+    for k in (1, 3, 500):
+        for missing in ("drop", "zero"):
+            wanted = ranking.scores(scoring.rows_of(lists), truth, k, missing).orderBy("playlist_idx").collect()
+            assert ranking.scores_of_lists(lists, truth, k, missing).orderBy("playlist_idx").collect() == wanted
+    shown = plan(ranking.scores_of_lists(lists, truth))
+    assert "Generate" not in shown  # no row per track
