@@ -57,3 +57,29 @@ def test_a_large_slice_is_one_file_also_after_a_shuffled_join(spark, tmp_path, m
         (only,) = [one for one in os.listdir(folder) if one.startswith("mpd")]
         pids = [p["pid"] for p in json.loads(open(os.path.join(folder, only)).read())["playlists"]]
         assert pids == list(range(part * 20_000, (part + 1) * 20_000, 100))
+
+
+def test_slices_move_lines_and_not_lists_and_equal_the_nested_playlists(spark, tmp_path, monkeypatch):
+    """Orders and parts that come twice or not at all, null keys and a long order."""
+    monkeypatch.setattr(views, "SLICES_PER_TASK", 1)
+    folder = str(tmp_path)
+    lines = [(n % 40 + 990 if n >= 600 else 7, n % 5 + 1, n % 4, n) for n in range(900)] + [(None, 1, 1, 1), (5000, 1, 1, 1), (8, None, 1, 1), (8, 99, 1, 1)]
+    day = F.expr("timestamp_ntz'1995-01-01 00:00:00'")
+    lines = spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int")
+    lines = lines.withColumns({"l_extendedprice": F.lit(1.5), "l_shipdate": day, "l_quantity": F.col("l_linenumber").cast("double")})
+    lines.unionByName(lines.filter("l_linenumber % 50 = 0")).write.parquet(f"{folder}/lineitem.parquet")
+    orders = spark.createDataFrame([(key, 3) for key in [7, 7, 8, 9, *range(980, 1040)]] + [(None, 1)], "o_orderkey long, o_custkey long")
+    orders = orders.withColumns({"o_orderpriority": F.lit("5-LOW"), "o_orderstatus": F.lit("O"), "o_orderdate": day})
+    orders.write.parquet(f"{folder}/orders.parquet")
+    parts = spark.createDataFrame([(1, "one", "b"), (2, "two", "b"), (2, "two again", "c"), (3, None, "c"), (None, "none", "d")], "p_partkey long, p_name string, p_brand string")
+    parts.write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame([(7, "a text"), (1000, ""), (None, "x")], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+
+    made = views.slices(spark, folder)
+    assert not [key for key in views._staged if key[1:] == (folder, "playlists")]  # nothing nested is written or moved
+    moves = [one for one in plan(made).split("\n") if "rangepartitioning(slice_no" in one]
+    assert len(moves) == 1
+    nested = views.nested_playlists(spark, folder)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(made) == rows(views.to_slices(nested))
+    assert sum(len(row.playlists) for row in made.collect()) == nested.count() > 66
