@@ -20,6 +20,10 @@ from mixloom.llm.quality import rejected_dropped
 from mixloom.llm.substring import remove_repeats
 from mixloom.storage import scratch_path
 
+#: Text of a block of stage 3: executors that have run the stages before keep what those
+#: needed, so this stage gets by with half of what it takes alone.
+BLOCK_BYTES = 1 << 20
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rejected_dropped(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -30,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = remove_repeats(docs)
+    cleaned = remove_repeats(docs, block_bytes=BLOCK_BYTES)
     if "n_chars" not in docs.columns:
         return cleaned
     return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

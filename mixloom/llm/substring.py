@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mixloom.llm.blocks import Words, by_bucket, from_payload, pack, runs_hash, stage_blocks, text_bytes, unpack
+from mixloom.llm.blocks import BLOCK_BYTES, Words, by_bucket, from_payload, pack, runs_hash, stage_blocks, text_bytes, unpack
 from mixloom.storage import staged
 
 K = 13
@@ -136,11 +136,13 @@ def _entries(w: Windows, block: int, at: np.ndarray, one: np.ndarray, two: np.nd
 class Substrings:
     """The four steps over one set of blocks; columns ``id_col`` and ``text_col``."""
 
-    def __init__(self, docs: DataFrame, k: int, id_col: str, text_col: str):
+    def __init__(self, docs: DataFrame, k: int, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES):
         self.k = k
         self.windows = partial(Windows, id_col=id_col, text_col=text_col, k=k)
-        self.buckets = int(min(1 << 24, max(16, text_bytes(docs, text_col) // BUCKET_BYTES)))
-        self.blocks = stage_blocks(docs, text_col)
+        # smaller blocks send to fewer buckets, so that packets do not get more
+        bucket_bytes = BUCKET_BYTES * max(1, BLOCK_BYTES // block_bytes)
+        self.buckets = int(min(1 << 24, max(16, text_bytes(docs, text_col) // bucket_bytes)))
+        self.blocks = stage_blocks(docs, text_col, block_bytes)
 
     def shared_anchors(self) -> DataFrame:
         """(block, packets): each block's anchors that at least two documents have."""
@@ -305,8 +307,8 @@ def _removed(w: Windows, paths: list[dict], k: int) -> np.ndarray:
     return np.cumsum(marks[:n]) > 0
 
 
-def _steps(docs: DataFrame, k: int, id_col: str, text_col: str, finish, schema) -> DataFrame:
-    steps = Substrings(docs, k, id_col, text_col)
+def _steps(docs: DataFrame, k: int, id_col: str, text_col: str, finish, schema, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    steps = Substrings(docs, k, id_col, text_col, block_bytes)
     paths = steps.paths(steps.sourced_edges(steps.shared_anchors()))
     return steps.finished(paths, finish, schema)
 
@@ -329,9 +331,12 @@ def repeat_digests(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col
     return _steps(chosen, k, "doc_id", "text", finish, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """``docs`` with the repeated words taken out of the texts. A text that loses words is its
-    kept words joined by one space; all other texts, and all other columns, stay as they are."""
+    kept words joined by one space; all other texts, and all other columns, stay as they are.
+    A task's memory grows with ``block_bytes`` of text; the rows are the same for any."""
     at = docs.columns.index(text_col)
     types = [f.dataType for f in docs.schema.fields]
     if not isinstance(types[at], T.StringType):
@@ -346,4 +351,4 @@ def remove_repeats(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col
             texts[doc] = b" ".join([w.words.dictionary[i] for i in kept]).decode()
         return w.rows.set_column(at, w.rows.schema.field(at), pa.array(texts, pa.string()))
 
-    return _steps(docs, k, id_col, text_col, finish, docs.schema)
+    return _steps(docs, k, id_col, text_col, finish, docs.schema, block_bytes)
