@@ -24,3 +24,13 @@ def test_a_fit_sends_factors_to_few_blocks_and_drops_what_it_shuffled(spark, mon
     n = len(collected)
     time.sleep(0.2)
     assert len(collected) == n  # it ends with the fit
+
+
+def test_more_rows_make_more_blocks_of_a_fit_and_not_larger_ones(monkeypatch):
+    given = {}
+    monkeypatch.setattr(model, "make_als", lambda **values: given.update(values) or SimpleNamespace(fit=lambda rows: "fitted"))
+    monkeypatch.setattr(model, "shared_dir", lambda spark: None)
+    jvm = SimpleNamespace(System=SimpleNamespace(gc=lambda: None))
+    for rows, blocks in ((540_000, 16), (194_400_000, 98), (1_000_000_000, 500)):
+        assert model.fit_rows(SimpleNamespace(sparkSession=SimpleNamespace(_jvm=jvm), count=lambda rows=rows: rows)) == "fitted"
+        assert blocks - 1 <= given["numUserBlocks"] <= blocks and given["numItemBlocks"] == given["numUserBlocks"]
